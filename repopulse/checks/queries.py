@@ -220,21 +220,21 @@ def repo_snapshot_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = repo_daily_activity(spark, sf_dir)
-    return trending.trending_repos(daily, repo_dim(spark, sf_dir), PARAMS)
+    ranks = trending.trending_ranks(repo_daily_activity(spark, sf_dir), PARAMS)
+    return trending.trending_repos(ranks, repo_dim(spark, sf_dir), PARAMS)
 
 
 def trending_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily, dim = repo_daily_activity(spark, sf_dir), repo_dim(spark, sf_dir)
-    top = trending.trending_repos(daily, None, PARAMS)
-    return trending.trending_languages(daily, dim, top, PARAMS)
+    ranks = trending.trending_ranks(daily, PARAMS)
+    return trending.trending_languages(daily, dim, ranks, PARAMS)
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = repo_daily_activity(spark, sf_dir)
-    top = trending.trending_repos(daily, None, PARAMS)
+    ranks = trending.trending_ranks(daily, PARAMS)
     dim, state = repo_dim(spark, sf_dir), latest_fetch(spark, sf_dir)
-    return refresh_queue.refresh_queue(daily, top, dim, state, PARAMS, _moment(QUEUED_AT))
+    return refresh_queue.refresh_queue(daily, ranks, dim, state, PARAMS, _moment(QUEUED_AT))
 
 
 def queue_head(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,8 +291,8 @@ def repository_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrichment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = trending.trending_repos(repo_daily_activity(spark, sf_dir), None, PARAMS)
-    return reports.enrichment_coverage(top, repo_dim(spark, sf_dir))
+    ranks = trending.trending_ranks(repo_daily_activity(spark, sf_dir), PARAMS)
+    return reports.enrichment_coverage(ranks, repo_dim(spark, sf_dir))
 
 
 def history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

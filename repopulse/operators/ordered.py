@@ -1,21 +1,27 @@
 """Row-order operators that stay parallel when one key holds a large part of all rows.
 
-A window partitioned by a key puts all rows of the key into one task. Here the rows of a *hot* key
-are cut into slices along the order column first. Rows of one slice are handled by one task, and
-what crosses a slice border is worked out on one summary row per slice.
-
-Both broadcast sides are bounded by construction. A key is hot above `limit` rows, where `limit` is
-at least 1/MAX_HOT_KEYS of all rows, so there are fewer than MAX_HOT_KEYS hot keys; and a hot key
-gets one slice per `limit` rows, so there are fewer than 2 * MAX_HOT_KEYS slices.
+A window partitioned by a key puts all rows of the key into one task. That is right for ordinary
+keys and wrong for a *hot* one, so hot keys are looked for first, with one small job over the key
+and order columns. Usually there are none and the plain window is all there is. Otherwise the rows
+of the hot keys are cut into slices along the order column: rows of a slice are handled by one task,
+and what crosses a slice border is worked out on one summary row per slice.
+
+Everything that is broadcast or collected here is bounded: at most MAX_HOT_KEYS keys are treated as
+hot (the largest), and they get at most MAX_HOT_KEYS + MAX_SLICES slices in all. A key beyond that
+holds less than 1/MAX_HOT_KEYS of the rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 4096
+MAX_SLICES = 16_384
 SLICE = "_slice"
 
 
@@ -23,59 +29,91 @@ def _position(order: str) -> Column:
     return F.unix_micros(F.col(order))
 
 
-def mark_slices(df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add SLICE: null for ordinary keys, else a number that grows with the timestamp `order`.
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot keys of a DataFrame, with the time range and number of slices of each."""
 
-    Equal timestamps of a key share a slice. Costs one map-side aggregate over the key and order
-    columns, and no shuffle of the rows themselves.
-    """
-    per_key = df.groupBy(*keys).agg(
+    keys: list[str]
+    order: str
+    table: DataFrame
+
+    def ordinary(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.table), self.keys, "left_anti")
+
+    def sliced(self, df: DataFrame) -> DataFrame:
+        """Rows of the hot keys with SLICE, which grows with the order column.
+
+        Equal order values of a key share a slice.
+        """
+        marked = df.join(F.broadcast(self.table), self.keys)
+        # Whole-number arithmetic: floor((x - low) * slices / (high - low + 1)).
+        offset = (_position(self.order) - F.col("_low")).cast("decimal(20,0)") * F.col("_slices")
+        span = (F.col("_high") - F.col("_low") + 1).cast("decimal(20,0)")
+        number = F.floor(offset / span).cast("int")
+        return marked.withColumn(SLICE, number).drop("_low", "_high", "_slices")
+
+
+def find_hot_keys(
+    df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS
+) -> HotKeys | None:
+    """Keys with more than `hot_rows` rows, or None. Runs one aggregate with map-side combine."""
+    counted = df.groupBy(*keys).agg(
         F.count("*").alias("_rows"),
         F.min(_position(order)).alias("_low"),
         F.max(_position(order)).alias("_high"),
     )
-    total = df.agg(F.count("*")).scalar()
-    limit = F.greatest(F.lit(hot_rows), F.ceil(total / F.lit(MAX_HOT_KEYS)))
-    hot = per_key.where((F.col("_rows") > limit) & (F.col("_low") < F.col("_high"))).select(
-        *keys, "_low", "_high", F.ceil(F.col("_rows") / limit).alias("_slices")
+    largest = (
+        counted.where((F.col("_rows") > hot_rows) & (F.col("_low") < F.col("_high")))
+        .orderBy(F.desc("_rows"))
+        .limit(MAX_HOT_KEYS)
     )
-    # Integer arithmetic on microseconds: floor((x - low) * slices / (high - low + 1)).
-    offset = (_position(order) - F.col("_low")).cast("decimal(20,0)") * F.col("_slices")
-    span = (F.col("_high") - F.col("_low") + 1).cast("decimal(20,0)")
-    number = F.floor(offset / span).cast("int")
-    marked = df.join(F.broadcast(hot), keys, "left")
-    return marked.withColumn(SLICE, number).drop("_low", "_high", "_slices")
+    share = F.col("_rows") / F.sum("_rows").over(Window.partitionBy())
+    slices = F.least(F.ceil(F.col("_rows") / hot_rows), F.ceil(share * MAX_SLICES))
+    table = largest.select(*keys, "_low", "_high", slices.cast("int").alias("_slices"))
+    rows = table.collect()
+    if not rows:
+        return None
+    return HotKeys(keys, order, df.sparkSession.createDataFrame(rows, table.schema))
 
 
-def keep_last_copy(
-    marked: DataFrame, keys: list[str], order: str, tie: list[str]
-) -> DataFrame:
-    """For hot keys, one row per (key, order value): the greatest by `tie`.
+def keep_last_copy(df: DataFrame, group: list[str], tie: list[str]) -> DataFrame:
+    """One row per group: the greatest by `tie`.
 
     Copies collapse before the shuffle, so a record delivered very often does not pile up in one
-    task. Ordinary keys pass unchanged; their copies are few enough for a window.
+    task.
     """
-    rest = [c for c in marked.columns if c not in (*keys, order, SLICE)]
-    ordinary = marked.where(F.col(SLICE).isNull())
-    collapsed = (
-        marked.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, order, SLICE)
-        .agg(F.max_by(F.struct(*rest), F.struct(*tie)).alias("_row"))
-        .select(*keys, order, SLICE, "_row.*")
-    )
-    return ordinary.unionByName(collapsed)
+    rest = [c for c in df.columns if c not in group]
+    latest = F.max_by(F.struct(*rest), F.struct(*tie))
+    return df.groupBy(*group).agg(latest.alias("_row")).select(*group, "_row.*")
+
+
+def split_by_heat(
+    df: DataFrame,
+    hot: HotKeys | None,
+    ordinary: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Apply one function to the rows of ordinary keys and another to the sliced hot ones."""
+    if hot is None:
+        return ordinary(df)
+    return ordinary(hot.ordinary(df)).unionByName(sliced(hot.sliced(df)))
 
 
 def with_next(
     df: DataFrame, keys: list[str], order: str, name: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Add `name`: the `order` value of the key's next row, null on its last row."""
-    marked = mark_slices(df, keys, order, hot_rows)
-    inside = Window.partitionBy(*keys, SLICE).orderBy(order)
-    local = marked.withColumn("_next", F.lead(order).over(inside))
-
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    firsts = marked.where(F.col(SLICE).isNotNull()).groupBy(*keys, SLICE).agg(F.min(order).alias("_first"))
-    borders = firsts.select(*keys, SLICE, F.lead("_first").over(across).alias("_next_first"))
-    joined = local.join(F.broadcast(borders), [*keys, SLICE], "left")
-    return joined.select(*df.columns, F.coalesce("_next", "_next_first").alias(name))
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(name, F.lead(order).over(Window.partitionBy(*keys).orderBy(order)))
+
+    def across_slices(rows: DataFrame) -> DataFrame:
+        inside = Window.partitionBy(*keys, SLICE).orderBy(order)
+        between = Window.partitionBy(*keys).orderBy(SLICE)
+        firsts = rows.groupBy(*keys, SLICE).agg(F.min(order).alias("_first"))
+        borders = firsts.select(*keys, SLICE, F.lead("_first").over(between).alias("_border"))
+        local = rows.withColumn("_next", F.lead(order).over(inside))
+        joined = local.join(F.broadcast(borders), [*keys, SLICE], "left")
+        return joined.select(*df.columns, F.coalesce("_next", "_border").alias(name))
+
+    return split_by_heat(df, find_hot_keys(df, keys, order, hot_rows), plain, across_slices)

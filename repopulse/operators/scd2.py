@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from repopulse.operators.ordered import HOT_ROWS, SLICE, keep_last_copy, mark_slices, with_next
+from repopulse.operators.ordered import (
+    HOT_ROWS,
+    SLICE,
+    find_hot_keys,
+    keep_last_copy,
+    split_by_heat,
+    with_next,
+)
 
 START = "__START_AT"
 END = "__END_AT"
@@ -25,70 +32,76 @@ def scd2(
     columns, `sequence` included, show the latest snapshot of the version. Rows may come in any
     order; of several rows with one (key, sequence) the greatest by `tie` counts.
 
-    One shuffle and one sort of the rows for all keys. A key too large for a task is cut into time
-    slices, and versions that cross a slice border are stitched from one row per slice.
+    Ordinary keys take one shuffle and one sort. A key too large for a task is cut into time slices,
+    and versions that cross a slice border are stitched together from one row per slice.
     """
     tie = list(tie or tracked)
-    marked = mark_slices(snapshots, keys, sequence, hot_rows)
-    rows = keep_last_copy(marked, keys, sequence, tie)
-    parts = _slice_versions(rows, keys, sequence, tracked, tie)
-    borders = _slice_borders(parts, keys, tracked)
-    stitched = parts.join(F.broadcast(borders), [*keys, SLICE], "left")
-
-    opens_slice = F.col("_start") == F.col("_first_start")
-    closes_slice = F.col("_next").isNull()
-    start = F.when(opens_slice & F.col("_continues"), F.col("_carried_start"))
-    end = F.when(closes_slice, F.col("_closed_at")).otherwise(F.col("_next"))
-    superseded = closes_slice & F.coalesce("_goes_on", F.lit(False))
-    return stitched.where(~superseded).select(
-        *snapshots.columns,
-        F.coalesce(start, F.col("_start")).alias(START),
-        end.alias(END),
-    )
+    columns = snapshots.columns
+
+    def plain(rows: DataFrame) -> DataFrame:
+        versions = _versions_within(rows, keys, sequence, tracked, tie)
+        return versions.select(*columns, F.col("_start").alias(START), F.col("_next").alias(END))
+
+    def across_slices(rows: DataFrame) -> DataFrame:
+        slices = [*keys, SLICE]
+        single = keep_last_copy(rows, [*slices, sequence], tie)
+        parts = _versions_within(single, slices, sequence, tracked, tie)
+        return _stitch(parts, keys, tracked).select(*columns, START, END)
 
+    hot = find_hot_keys(snapshots, keys, sequence, hot_rows)
+    return split_by_heat(snapshots, hot, plain, across_slices)
 
-def _slice_versions(
-    rows: DataFrame, keys: list[str], sequence: str, tracked: list[str], tie: list[str]
+
+def _versions_within(
+    rows: DataFrame, group: list[str], sequence: str, tracked: list[str], tie: list[str]
 ) -> DataFrame:
-    """Versions seen within each (key, slice) alone: the last row of each run of equal values.
+    """Versions seen within each group: the last row of every run of equal tracked values.
 
+    Adds `_start`, the sequence the run began with, and `_next`, the one the next run begins with.
     All windows share one partitioning and order, so they run on a single sort.
     """
-    with_ties = Window.partitionBy(*keys, SLICE).orderBy(sequence, *tie)
-    by_time = Window.partitionBy(*keys, SLICE).orderBy(sequence)
+    with_ties = Window.partitionBy(*group).orderBy(sequence, *tie)
+    by_time = Window.partitionBy(*group).orderBy(sequence)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = F.struct(*tracked)
 
-    next_seq = F.lead(sequence).over(with_ties)
-    unique = rows.withColumn("_after", next_seq).where(
-        F.col("_after").isNull() | (F.col("_after") != F.col(sequence))
-    )
+    following = rows.withColumn("_next", F.lead(sequence).over(with_ties))
+    single = following.where(F.col("_next").isNull() | (F.col("_next") != F.col(sequence)))
     previous = F.lag(state).over(by_time)
-    changed = unique.withColumn("_changed", previous.isNull() | ~previous.eqNullSafe(state))
-    run_start = F.last(F.when(F.col("_changed"), F.col(sequence)), ignorenulls=True)
-    runs = changed.withColumn("_start", run_start.over(so_far)).withColumn(
-        "_ends", F.lead("_changed").over(by_time)
-    )
-    return (
-        runs.where(F.coalesce("_ends", F.lit(True)))
-        .withColumnRenamed("_after", "_next")
-        .drop("_changed", "_ends")
+    opened = single.withColumn("_opens", previous.isNull() | ~previous.eqNullSafe(state))
+    start = F.last(F.when(F.col("_opens"), F.col(sequence)), ignorenulls=True).over(so_far)
+    runs = opened.withColumn("_start", start).withColumn("_ends", F.lead("_opens").over(by_time))
+    return runs.where(F.coalesce("_ends", F.lit(True))).drop("_opens", "_ends")
+
+
+def _stitch(parts: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """Versions of whole keys from the versions within their slices.
+
+    Only the first and last version of a slice can belong to one that crosses its border. The
+    borders are one row per slice, so they are broadcast.
+    """
+    borders = _borders(parts, keys, tracked)
+    joined = parts.join(F.broadcast(borders), [*keys, SLICE])
+    is_first = F.col("_start") == F.col("_first_start")
+    is_last = F.col("_next").isNull()
+    start = F.when(is_first & F.col("_continues"), F.col("_carried_start"))
+    # A version that goes on in the next slice is shown by its last part only.
+    return joined.where(~(is_last & F.coalesce("_goes_on", F.lit(False)))).select(
+        "*",
+        F.coalesce(start, F.col("_start")).alias(START),
+        F.when(is_last, F.col("_closed_at")).otherwise(F.col("_next")).alias(END),
     )
 
 
-def _slice_borders(parts: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
-    """One row per slice of a hot key: how its first and last version connect to its neighbours."""
+def _borders(parts: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
+    """How the first and last version of each slice connect to the slices before and after."""
     state = F.struct(*tracked)
-    slices = (
-        parts.where(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(
-            F.count("*").alias("_versions"),
-            F.min("_start").alias("_first_start"),
-            F.max("_start").alias("_last_start"),
-            F.min_by(F.struct(state.alias("state"), "_next"), F.col("_start")).alias("_first"),
-            F.max_by(state, F.col("_start")).alias("_last_state"),
-        )
+    slices = parts.groupBy(*keys, SLICE).agg(
+        F.count("*").alias("_versions"),
+        F.min("_start").alias("_first_start"),
+        F.max("_start").alias("_last_start"),
+        F.min_by(F.struct(state.alias("state"), "_next"), F.col("_start")).alias("_first"),
+        F.max_by(state, F.col("_start")).alias("_last_state"),
     )
     in_order = Window.partitionBy(*keys).orderBy(SLICE)
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
@@ -98,14 +111,14 @@ def _slice_borders(parts: DataFrame, keys: list[str], tracked: list[str]) -> Dat
     linked = slices.withColumn(
         "_continues", previous.isNotNull() & previous.eqNullSafe(F.col("_first.state"))
     )
-    passes = F.col("_continues") & (F.col("_versions") == 1)
+    passes_through = F.col("_continues") & (F.col("_versions") == 1)
     flow = linked.select(
         *keys,
         SLICE,
         "_continues",
         "_first_start",
-        # Start of the version still open at the slice's end, if it began in this slice.
-        F.when(~passes, F.col("_last_start")).alias("_opened"),
+        # Start of the version still open at the end of the slice, if it began in this slice.
+        F.when(~passes_through, F.col("_last_start")).alias("_opened"),
         # When this slice ends the version that was open before it, if it does.
         F.when(~F.col("_continues"), F.col("_first_start"))
         .otherwise(F.col("_first._next"))

@@ -52,7 +52,8 @@ def build_gold(
     store(
         "repo_snapshot_daily", repos.repo_snapshot_daily(fetches), ["snapshot_date", "repo_id"]
     )
-    top = store("trending_repos", trending.trending_repos(daily, dim, params))
-    store("trending_languages", trending.trending_languages(daily, dim, top, params))
-    store("refresh_queue", refresh_queue.refresh_queue(daily, top, dim, state, params, queued_at))
+    ranks = store("trending_ranks", trending.trending_ranks(daily, params))
+    store("trending_repos", trending.trending_repos(ranks, dim, params))
+    store("trending_languages", trending.trending_languages(daily, dim, ranks, params))
+    store("refresh_queue", refresh_queue.refresh_queue(daily, ranks, dim, state, params, queued_at))
     return tables
