@@ -13,7 +13,7 @@ from repopulse.functions.payload import is_blank
 from repopulse.functions.rescue import rescued
 from repopulse.schemas import EVENT_DDL, FETCH_DDL, QUEUE_DDL
 
-HOUR_KEY = r"(\d{4}-\d{2}-\d{2})-(\d{1,2})(?:\.|/|$)"
+HOUR_KEY = r"\d{4}-\d{2}-\d{2}-\d{1,2}(?=[./]|$)"
 
 
 def typed_lines(lines: DataFrame, ddl: str) -> DataFrame:
@@ -109,13 +109,20 @@ def landed_files(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], "path string")
 
 
-def landed_hours(spark: SparkSession, root: str) -> DataFrame:
-    """Hour keys present in a landing folder, whether they name a file or a folder of parts."""
+def key_of(path: Column) -> Column:
+    """Hour key in a path, whether it names a file or a folder of parts; null if there is none."""
+    return F.nullif(F.regexp_extract(path, HOUR_KEY, 0), F.lit(""))
+
+
+def keyed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Visible files below a folder with the hour they belong to."""
     files = landed_files(spark, root).where(~F.col("path").rlike(r"/[._][^/]*$"))
-    day = F.regexp_extract("path", HOUR_KEY, 1)
-    hour = F.regexp_extract("path", HOUR_KEY, 2)
-    keyed = files.select(F.concat_ws("-", F.nullif(day, F.lit("")), hour).alias("hour_key"))
-    return keyed.where(F.col("hour_key").rlike(r"\d-\d")).distinct()
+    keyed = files.select("path", key_of(F.col("path")).alias("hour_key"))
+    return keyed.where(F.col("hour_key").isNotNull())
+
+
+def landed_hours(spark: SparkSession, root: str) -> DataFrame:
+    return keyed_files(spark, root).select("hour_key").distinct()
 
 
 def landed_on(spark: SparkSession, root: str, day: date) -> bool:
