@@ -9,8 +9,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RESULT = "test string, severity string, failures bigint"
-
 
 @dataclass(frozen=True)
 class NotNull:
@@ -123,14 +121,16 @@ def run_tests(df: DataFrame, table: str, tests: list[Test]) -> DataFrame:
     set_tests = [test for test in tests if not isinstance(test, (NotNull, InRange))]
     results = []
     if row_tests:
-        counted = df.agg(*[F.count_if(t.offence()).alias(t.name) for t in row_tests])
-        rows = [_result(f"{table}.{t.name}", t.severity, F.col(t.name)) for t in row_tests]
+        counted = df.agg(*[F.count_if(t.offence()).alias(f"n{i}") for i, t in enumerate(row_tests)])
+        rows = [
+            _result(f"{table}.{t.name}", t.severity, F.col(f"n{i}"))
+            for i, t in enumerate(row_tests)
+        ]
         results.append(counted.select(F.inline(F.array(*rows))))
     for test in set_tests:
         found = test.offenders(df).agg(F.count("*").alias("n"))
-        results.append(
-            found.select(F.inline(F.array(_result(f"{table}.{test.name}", test.severity, F.col("n")))))
-        )
+        row = _result(f"{table}.{test.name}", test.severity, F.col("n"))
+        results.append(found.select(F.inline(F.array(row))))
     return reduce(DataFrame.unionByName, results)
 
 
