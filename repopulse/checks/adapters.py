@@ -6,9 +6,10 @@ Everything downstream sees the same columns as in production. Users play reposit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repopulse.functions.once import with_once
 from repopulse.operators.scd2 import scd2
 from repopulse.plans import silver
 from repopulse.plans.slimming import fetch_records
@@ -17,19 +18,119 @@ from repopulse.session import prepare
 from repopulse.sources.landing import event_rows
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-FIRST_FETCH = "2024-01-01"
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# `events` as staged events, over (event_id, at, repo, k, kind).
+ACTIVITY = {
+    "event_id": "cast(event_id AS string)",
+    "event_type": """CASE
+        WHEN kind = 'view' AND k % 10 = 9 THEN 'ReleaseEvent'
+        WHEN kind = 'view' THEN 'WatchEvent'
+        WHEN kind = 'click' THEN 'PushEvent'
+        WHEN kind = 'purchase' THEN 'ForkEvent'
+        WHEN kind = 'signup' THEN 'PullRequestEvent'
+        ELSE 'IssuesEvent' END""",
+    "action": """CASE
+        WHEN kind = 'view' AND k % 10 = 9 THEN 'published'
+        WHEN kind = 'signup' THEN if(k % 2 = 0, 'opened', 'merged')
+        WHEN kind = 'error' THEN 'opened' END""",
+    "created_at": "at",
+    "event_date": "to_date(at)",
+    "event_hour": "hour(at)",
+    "actor_id": "k",
+    "actor_login": "if(k % 5 = 0, concat('u', k, '[bot]'), concat('u', k))",
+    "is_bot": "k % 5 = 0",
+    "repo_id": "repo",
+    "repo_name": """if(repo % 7 = 0 AND at >= timestamp '2024-01-16 12:00:00',
+        concat('o', repo % 10, '/r', repo, '-next'), concat('o', repo % 10, '/r', repo))""",
+    "repo_owner": "concat('o', repo % 10)",
+    "org_login": "if(repo % 3 = 0 AND k % 4 != 0, concat('org', repo % 10), NULL)",
+    "_ingested_at": "cast(to_date(at) AS timestamp) + INTERVAL 27 HOURS",
+}
+
+# `events` as one raw feed line each, over the columns above and `spoil`.
+FEED_LINE = f"""to_json(named_struct(
+    'id', if(spoil = 7, NULL, event_id),
+    'type', if(spoil = 4, 'SparkleEvent', event_type),
+    'created_at', if(spoil = 0, 'yesterday', date_format(created_at, "{ISO}")),
+    'public', true,
+    'actor', named_struct('id', actor_id, 'login', actor_login),
+    'repo', named_struct(
+        'id', if(spoil = 2, NULL, repo_id),
+        'name', if(spoil = 1, NULL, repo_name),
+        'url', if(spoil = 8, 'https://feed.example/r', NULL)),
+    'org', if(org_login IS NULL, NULL, named_struct('id', 9, 'login', org_login)),
+    'payload', named_struct(
+        'action', action,
+        'number', actor_id,
+        'is_draft', actor_id % 2 = 0,
+        'detail', named_struct(
+            'size', repo_id, 'labels', array('a', event_type), 'assignee', cast(NULL AS string))),
+    'colour', if(spoil = 6, 'red', NULL)
+), map('ignoreNullFields', 'false'))"""
+
+SPOILED_LINE = """CASE spoil
+    WHEN 2 THEN replace(line, '"repo":{"id":null', '"repo":{"id":"many"')
+    WHEN 3 THEN left(line, 40)
+    WHEN 5 THEN '[1]'
+    ELSE line END"""
+
+# `orders` as the service's answers, over (n, repo, price, priority, state, at, stamp).
+ANSWER = {
+    "id": "repo",
+    "full_name": "concat('o', repo % 10, '/r', repo)",
+    "owner": "named_struct('login', concat('o', repo % 10), 'type', 'User')",
+    "description": "concat('order ', n)",
+    "homepage": "if(n % 2 = 0, '', concat('https://r', repo, '.example'))",
+    "language": "nullif(priority, '5-LOW')",
+    "topics": "CASE n % 3 WHEN 0 THEN array('b', 'a') WHEN 1 THEN array('a', 'b') END",
+    "license": "named_struct('spdx_id', state)",
+    "fork": "false",
+    "parent": "cast(NULL AS struct<full_name: string>)",
+    "archived": "n % 50 = 7",
+    "disabled": "false",
+    "is_template": "false",
+    "visibility": "'public'",
+    "default_branch": "'main'",
+    "size": "n % 1000",
+    "stargazers_count": "floor(price / 100)",
+    "forks_count": "floor(floor(price / 100) / 10)",
+    "open_issues_count": "n % 40",
+    "subscribers_count": "n % 7",
+    "created_at": "concat(date_add(date '2023-11-15', cast(repo % 60 AS int)), 'T00:00:00Z')",
+    "updated_at": "stamp",
+    "pushed_at": "stamp",
+}
+ANSWER_STRUCT = ", ".join(f"'{name}', {value}" for name, value in ANSWER.items())
+RESPONSE = {
+    "repo_id": "repo",
+    "requested_name": "concat('o', repo % 10, '/r', repo)",
+    "fetched_at": "stamp",
+    "http_status": "status",
+    "response_etag": """if(n % 2 = 0, concat('"', n, '"'), NULL)""",
+    "sent_etag": """concat('"', n, '"')""",
+    "body": f"if(status = 200, named_struct({ANSWER_STRUCT}), NULL)",
+}
+STATUS = """CASE WHEN n % 20 = 0 THEN 404 WHEN n % 20 = 1 THEN 451
+    WHEN n % 20 <= 6 THEN 304 ELSE 200 END"""
+
+# `orders` as the response log of 50 fetch runs; one run gets a third of all requests.
+RUN_LOG = {
+    "run_id": "if(o_orderkey % 3 = 0, 0, o_custkey % 50)",
+    "seq": "o_orderkey",
+    "status": """CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderkey % 61 = 0 THEN 500
+        WHEN o_orderkey % 20 = 0 THEN 404 WHEN o_orderkey % 20 = 1 THEN 451
+        WHEN o_orderkey % 20 <= 6 THEN 304 ELSE 200 END""",
+    "remaining": "5000 - o_orderkey % 5000",
+    "rate_limited": "o_orderkey % 4999 = 4998",
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _repo_name(repo_id: Column) -> Column:
-    return _text("o", repo_id % 10, "/r", repo_id)
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,51 +139,14 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every seventh repository is renamed at noon of 2024-01-16, and the organisation is missing on
     some rows, so the latest name of a day is not just any name of it.
     """
-    raw = _table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    kind = F.col("event_type")
-    events = raw.select(
+    keyed = table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("at"),
-        F.col("user_id").alias("repo"),
-        k.alias("k"),
-        kind.alias("kind"),
-    )
-    k, repo, at, kind = F.col("k"), F.col("repo"), F.col("at"), F.col("kind")
-    release = (kind == "view") & (k % 10 == 9)
-    event_type = (
-        F.when(release, "ReleaseEvent")
-        .when(kind == "view", "WatchEvent")
-        .when(kind == "click", "PushEvent")
-        .when(kind == "purchase", "ForkEvent")
-        .when(kind == "signup", "PullRequestEvent")
-        .otherwise("IssuesEvent")
-    )
-    action = (
-        F.when(release, "published")
-        .when(kind == "signup", F.when(k % 2 == 0, "opened").otherwise("merged"))
-        .when(kind == "error", "opened")
-    )
-    renamed = (repo % 7 == 0) & (at >= F.lit("2024-01-16 12:00:00").cast("timestamp"))
-    name = F.when(renamed, _text(_repo_name(repo), "-next")).otherwise(_repo_name(repo))
-    login = F.when(k % 5 == 0, _text("u", k, "[bot]")).otherwise(_text("u", k))
-    midnight = F.to_date("at").cast("timestamp")
-    return events.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        event_type.alias("event_type"),
-        action.alias("action"),
-        at.alias("created_at"),
-        F.to_date("at").alias("event_date"),
-        F.hour("at").alias("event_hour"),
-        k.alias("actor_id"),
-        login.alias("actor_login"),
-        (k % 5 == 0).alias("is_bot"),
-        repo.alias("repo_id"),
-        name.alias("repo_name"),
-        _text("o", repo % 10).alias("repo_owner"),
-        F.when((repo % 3 == 0) & (k % 4 != 0), _text("org", repo % 10)).alias("org_login"),
-        (midnight + F.expr("INTERVAL 27 HOURS")).alias("_ingested_at"),
+        "cast(ts AS timestamp) AS at",
+        "user_id AS repo",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+        "event_type AS kind",
     )
+    return keyed.selectExpr(*_named(ACTIVITY))
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,46 +155,10 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     By event_id % 97: 0 unreadable time, 1 no repository name, 2 text as repository id, 3 broken
     JSON, 4 an unknown event type, 5 a JSON array, 6 an unknown field, 7 no id, 8 an unknown member.
     """
-    e = activity(spark, sf_dir)
-    spoil = F.col("event_id").cast("bigint") % 97
-    nested = F.struct(
-        F.col("repo_id").alias("size"),
-        F.array(F.lit("a"), F.col("event_type")).alias("labels"),
-        F.lit(None).cast("string").alias("assignee"),
-    )
-    payload_fields = F.struct(
-        "action",
-        F.col("actor_id").alias("number"),
-        (F.col("actor_id") % 2 == 0).alias("is_draft"),
-        nested.alias("detail"),
-    )
-    org = F.struct(F.lit(9).alias("id"), F.col("org_login").alias("login"))
-    repo = F.struct(
-        F.when(spoil != 2, F.col("repo_id")).alias("id"),
-        F.when(spoil != 1, F.col("repo_name")).alias("name"),
-        F.when(spoil == 8, F.lit("https://feed.example/r")).alias("url"),
-    )
-    line = F.to_json(
-        F.struct(
-            F.when(spoil != 7, F.col("event_id")).alias("id"),
-            F.when(spoil == 4, F.lit("SparkleEvent")).otherwise(F.col("event_type")).alias("type"),
-            F.when(spoil == 0, F.lit("yesterday"))
-            .otherwise(F.date_format("created_at", ISO))
-            .alias("created_at"),
-            F.lit(True).alias("public"),
-            F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"),
-            repo.alias("repo"),
-            F.when(F.col("org_login").isNotNull(), org).alias("org"),
-            payload_fields.alias("payload"),
-            F.when(spoil == 6, F.lit("red")).alias("colour"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
-    line = F.when(
-        spoil == 2, F.replace(line, F.lit('"repo":{"id":null'), F.lit('"repo":{"id":"many"'))
-    ).otherwise(line)
-    value = F.when(spoil == 3, F.left(line, F.lit(40))).when(spoil == 5, F.lit("[1]")).otherwise(line)
-    return e.select(value.alias("value"), F.lit("feed.json.gz").alias("_source_file"), "event_id")
+    rows = activity(spark, sf_dir).selectExpr("*", "cast(event_id AS bigint) % 97 AS spoil")
+    written = with_once(rows, line=F.expr(FEED_LINE))
+    spoiled = with_once(written, value=F.expr(SPOILED_LINE))
+    return spoiled.selectExpr("value", "'feed.json.gz' AS _source_file", "event_id")
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,59 +167,23 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`orders` as the service's answers, one per order; `body` is a struct of API_REPO_DDL."""
-    raw = _table(spark, sf_dir, "orders")
-    order, repo = F.col("o_orderkey"), F.col("o_custkey")
-    minute = (order * 7919 % 43200).cast("int")
-    at = F.lit(FIRST_FETCH).cast("timestamp") + F.make_dt_interval(mins=minute)
-    bucket = order % 20
-    status = F.when(bucket == 0, 404).when(bucket == 1, 451).when(bucket <= 6, 304).otherwise(200)
-    created = F.date_add(F.lit("2023-11-15").cast("date"), (repo % 60).cast("int"))
-    stars = F.floor(F.col("o_totalprice") / 100)
-    homepage = F.when(order % 2 == 0, "").otherwise(_text("https://r", repo, ".example"))
-    topics = F.when(order % 3 == 0, F.array(F.lit("b"), F.lit("a"))).when(
-        order % 3 == 1, F.array(F.lit("a"), F.lit("b"))
-    )
-    stamp = F.date_format(at, ISO)
-    body = {
-        "id": repo,
-        "full_name": _repo_name(repo),
-        "owner": F.struct(_text("o", repo % 10).alias("login"), F.lit("User").alias("type")),
-        "description": _text("order ", order),
-        "homepage": homepage,
-        "language": F.nullif("o_orderpriority", F.lit("5-LOW")),
-        "topics": topics,
-        "license": F.struct(F.col("o_orderstatus").alias("spdx_id")),
-        "fork": F.lit(False),
-        "parent": F.lit(None).cast("struct<full_name: string>"),
-        "archived": order % 50 == 7,
-        "disabled": F.lit(False),
-        "is_template": F.lit(False),
-        "visibility": F.lit("public"),
-        "default_branch": F.lit("main"),
-        "size": order % 1000,
-        "stargazers_count": stars,
-        "forks_count": F.floor(stars / 10),
-        "open_issues_count": order % 40,
-        "subscribers_count": order % 7,
-        "created_at": F.concat(created.cast("string"), F.lit("T00:00:00Z")),
-        "updated_at": stamp,
-        "pushed_at": stamp,
-    }
-    return raw.select(
-        repo.alias("repo_id"),
-        _repo_name(repo).alias("requested_name"),
-        stamp.alias("fetched_at"),
-        status.alias("http_status"),
-        F.when(order % 2 == 0, _text('"', order, '"')).alias("response_etag"),
-        _text('"', order, '"').alias("sent_etag"),
-        F.when(status == 200, F.struct(*[v.alias(n) for n, v in body.items()])).alias("body"),
+    timed = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS n",
+        "o_custkey AS repo",
+        "o_totalprice AS price",
+        "o_orderpriority AS priority",
+        "o_orderstatus AS state",
+        "timestamp '2024-01-01 00:00:00'"
+        " + make_dt_interval(0, 0, cast(o_orderkey * 7919 % 43200 AS int)) AS at",
     )
+    stamped = timed.selectExpr("*", f'date_format(at, "{ISO}") AS stamp', f"{STATUS} AS status")
+    return stamped.selectExpr(*_named(RESPONSE))
 
 
 def response_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same answers with the body as JSON text, null members included."""
-    text = F.to_json("body", {"ignoreNullFields": "false"})
-    return responses(spark, sf_dir).withColumn("body", text)
+    answers = responses(spark, sf_dir).withColumnRenamed("body", "answer")
+    return with_once(answers, body=F.to_json("answer", {"ignoreNullFields": "false"}))
 
 
 def landed_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,22 +212,4 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` as the response log of 50 fetch runs; one run gets a third of all requests."""
-    order = F.col("o_orderkey")
-    run = F.when(order % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey") % 50)
-    bucket = order % 20
-    status = (
-        F.when(order % 89 == 0, F.lit(None).cast("int"))
-        .when(order % 61 == 0, F.lit(500))
-        .when(bucket == 0, 404)
-        .when(bucket == 1, 451)
-        .when(bucket <= 6, 304)
-        .otherwise(200)
-    )
-    return _table(spark, sf_dir, "orders").select(
-        run.cast("bigint").alias("run_id"),
-        order.alias("seq"),
-        status.alias("status"),
-        (5000 - order % 5000).alias("remaining"),
-        (order % 4999 == 4998).alias("rate_limited"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*_named(RUN_LOG))

@@ -167,7 +167,7 @@ def history_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The history operator on another table: each customer's order status and priority."""
-    orders = data._table(spark, sf_dir, "orders").select(
+    orders = data.table(spark, sf_dir, "orders").select(
         "o_custkey",
         F.col("o_orderdate").cast("timestamp").alias("o_orderdate"),
         "o_orderkey",

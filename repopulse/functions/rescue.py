@@ -1,4 +1,4 @@
-"""Typed reading of JSON lines that keeps whatever does not fit the schema."""
+"""What a JSON line holds beyond the typed row that was read from it."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ RAW_MAP = "map<string, string>"
 ENTRIES = "array<struct<key: string, value: string>>"
 
 
-def _texts(json_text: Column) -> Column:
-    """Every key of a JSON object with the text of its value."""
+def raw_texts(json_text: Column) -> Column:
+    """Every key of a JSON object with the text of its value; null for anything else."""
     return F.from_json(json_text, RAW_MAP)
 
 
@@ -19,45 +19,54 @@ def _entry(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def _misfits(raw: Column, typed: Column, schema: T.StructType, path: str) -> list[Column]:
-    """Lists of (path, raw text) for the values of one object that the schema cannot hold."""
-    names = [field.name for field in schema.fields]
-    unknown = F.filter(
-        F.map_entries(raw), lambda entry: ~entry["key"].isin(names) & entry["value"].isNotNull()
-    )
-    found = [
-        F.transform(
-            unknown, lambda entry: _entry(F.concat(F.lit(path), entry["key"]), entry["value"])
-        )
-    ]
-    for field in schema.fields:
-        text = raw[field.name]
-        value = typed.getField(field.name)
-        mismatch = text.isNotNull() & value.isNull()
-        found.append(F.when(mismatch, F.array(_entry(F.lit(path + field.name), text))))
-        if isinstance(field.dataType, T.StructType):
-            nested = F.when(value.isNotNull(), _texts(text))
-            found += _misfits(nested, value, field.dataType, f"{path}{field.name}.")
-    return found
+def _misfits(raw: Column, typed: Column, schema: T.StructType) -> Column:
+    """Entries of one object that the typed struct does not hold. JSON nulls hold nothing."""
 
+    def lost(entry: Column) -> Column:
+        key = entry["key"]
+        case = F
+        for field in schema.fields:
+            case = case.when(key == field.name, typed.getField(field.name).isNull())
+        return entry["value"].isNotNull() & case.otherwise(True)
 
-def _first_per_key(entries: Column) -> Column:
-    """A JSON line may repeat a key; a map may not."""
-    keys = entries.getField("key")
-    first = F.filter(entries, lambda entry, i: F.array_position(keys, entry["key"]) == i + 1)
-    return F.map_from_entries(first)
+    return F.filter(F.map_entries(raw), lost)
+
+
+def _below(name: str, entries: Column) -> Column:
+    def dotted(entry: Column) -> Column:
+        return _entry(F.concat(F.lit(f"{name}."), entry["key"]), entry["value"])
 
+    return F.transform(entries, dotted)
 
-def rescued(line: Column, typed: Column, schema: T.StructType, source_file: Column) -> Column:
-    """JSON text of all values that are in the line but not in the typed row, else null.
 
-    Keys are dotted paths; the file path is added so a row can be traced. A line that is no JSON
-    object at all is kept whole.
+def misfits(raw: Column, typed: Column, schema: T.StructType) -> Column:
+    """(path, raw text) of all values of a line that its typed struct does not hold.
+
+    Paths are dotted. Each object is walked once.
     """
-    raw = _texts(line)
     nothing = F.array().cast(ENTRIES)
-    parts = [F.coalesce(part, nothing).cast(ENTRIES) for part in _misfits(raw, typed, schema, "")]
+    parts = [_misfits(raw, typed, schema)]
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            member = typed.getField(field.name)
+            inner = _misfits(raw_texts(raw[field.name]), member, field.dataType)
+            parts.append(F.when(member.isNotNull(), _below(field.name, inner)))
+    return F.concat(*[F.coalesce(part.cast(ENTRIES), nothing) for part in parts])
+
+
+def rescued(line: Column, raw: Column, lost: Column, source_file: Column) -> Column:
+    """JSON text of the lost values with the file they came from; null when nothing was lost.
+
+    A line that is no JSON object at all is kept whole.
+    """
     broken = F.array(_entry(F.lit("_corrupt_record"), line)).cast(ENTRIES)
-    found = F.when(raw.isNull(), broken).otherwise(F.concat(*parts))
     origin = F.array(_entry(F.lit("_file_path"), source_file)).cast(ENTRIES)
-    return F.when(F.size(found) > 0, F.to_json(_first_per_key(F.concat(found, origin))))
+    kept = F.when(raw.isNull(), broken).when(F.size(lost) > 0, lost)
+    return F.to_json(_first_per_key(F.concat(kept, origin)))
+
+
+def _first_per_key(entries: Column) -> Column:
+    """A JSON line may repeat a key; a map may not."""
+    keys = entries.getField("key")
+    first = F.filter(entries, lambda entry, i: F.array_position(keys, entry["key"]) == i + 1)
+    return F.map_from_entries(first)

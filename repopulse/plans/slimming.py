@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repopulse.functions.once import with_once
 from repopulse.functions.payload import VARIANT_MAP, is_blank, is_json_object, scalar_fields
 from repopulse.schemas import API_REPO_DDL, REPO_DDL
 
@@ -27,9 +28,8 @@ def slim_events(lines: DataFrame, event_types: list[str] | None = None) -> DataF
     """
     passed_on = [c for c in lines.columns if c != "value"]
     good = lines.where(is_json_object(F.col("value")))
-    event = good.select(*passed_on, F.from_json("value", RAW_EVENT_DDL).alias("e")).select(
-        *passed_on, "e.*"
-    )
+    parsed = with_once(good, e=F.from_json("value", RAW_EVENT_DDL))
+    event = parsed.select(*passed_on, "e.*")
     if event_types:
         event = event.where(F.col("type").isin(*event_types))
     has_org = F.size("org") > 0
@@ -80,7 +80,8 @@ def slim_repository(answer: Column) -> Column:
 
 def parse_bodies(responses: DataFrame) -> DataFrame:
     """A response log with the JSON text in `body` replaced by its kept members."""
-    return responses.withColumn("body", F.from_json("body", API_REPO_DDL))
+    texts = responses.withColumnRenamed("body", "_text")
+    return with_once(texts, body=F.from_json("_text", API_REPO_DDL)).drop("_text")
 
 
 def fetch_records(responses: DataFrame) -> DataFrame:

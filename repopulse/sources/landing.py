@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from repopulse.functions.once import with_once
 from repopulse.functions.payload import is_blank
-from repopulse.functions.rescue import rescued
+from repopulse.functions.rescue import misfits, raw_texts, rescued
 from repopulse.schemas import EVENT_DDL, FETCH_DDL, QUEUE_DDL
 
 HOUR_KEY = r"\d{4}-\d{2}-\d{2}-\d{1,2}(?=[./]|$)"
@@ -23,11 +24,14 @@ def typed_lines(lines: DataFrame, ddl: str) -> DataFrame:
     not fit is kept in `_rescued_data` instead of failing the job.
     """
     schema = T.StructType.fromDDL(ddl)
-    parsed = lines.where(~is_blank(F.col("value"))).withColumn("_typed", F.from_json("value", schema))
-    leftover = rescued(F.col("value"), F.col("_typed"), schema, F.col("_source_file"))
-    return parsed.select(
+    line = F.col("value")
+    parsed = with_once(
+        lines.where(~is_blank(line)), _typed=F.from_json(line, schema), _raw=raw_texts(line)
+    )
+    checked = with_once(parsed, _lost=misfits(F.col("_raw"), F.col("_typed"), schema))
+    return checked.select(
         "_typed.*",
-        leftover.alias("_rescued_data"),
+        rescued(line, F.col("_raw"), F.col("_lost"), F.col("_source_file")).alias("_rescued_data"),
         "_source_file",
         F.current_timestamp().alias("_ingested_at"),
     )
