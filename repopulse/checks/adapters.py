@@ -189,8 +189,15 @@ def response_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The answers as landed fetch records, loaded three hours after the day they were made."""
     day = F.left("fetched_at", F.lit(10)).cast("timestamp")
-    return fetch_records(responses(spark, sf_dir)).withColumn(
-        "_ingested_at", day + F.expr("INTERVAL 27 HOURS")
+    records = fetch_records(responses(spark, sf_dir)).withColumnRenamed("repo", "_repo")
+    return with_once(records, repo=F.col("_repo")).select(
+        "repo_id",
+        "requested_name",
+        "fetched_at",
+        "http_status",
+        "etag",
+        "repo",
+        (day + F.expr("INTERVAL 27 HOURS")).alias("_ingested_at"),
     )
 
 

@@ -444,6 +444,23 @@ shots AS (
 
 PERCENT = "round(100 * CAST({0} AS DOUBLE) / nullif({1}, 0), 1)"
 
+SILVER_COLUMNS = f"""
+  event_id, CASE WHEN spoil = 4 THEN 'SparkleEvent' ELSE event_type END AS event_type, action,
+  strftime(date_trunc('second', created_at), {T}) AS created_at, CAST(event_date AS VARCHAR) AS event_date,
+  event_hour, actor_id, actor_login, is_bot, repo_id, repo_name, repo_owner, org_login,
+  payload AS payload_json"""
+
+LATE_DAILY = query(
+    f"SELECT {DAILY_COLUMNS} FROM daily", ACTIVITY, LATE_ACTIVITY, daily_of("late_activity")
+)
+
+STAGED_HISTORY = query(
+    f"""SELECT {SNAPSHOT_COLUMNS}, strftime(valid_from, {T}) AS valid_from,
+  strftime(valid_to, {T}) AS valid_to, valid_to IS NULL AS is_current FROM history""",
+    FETCHES,
+    HISTORY,
+)
+
 ORACLE: dict[str, str] = {
     "slim_events": query(
         """
@@ -505,14 +522,14 @@ WHERE h NOT IN (SELECT date_trunc('hour', created_at) FROM activity WHERE event_
     ),
     "silver_events": query(
         f"""
-SELECT event_id, CASE WHEN spoil = 4 THEN 'SparkleEvent' ELSE event_type END AS event_type, action,
-  strftime(date_trunc('second', created_at), {T}) AS created_at, CAST(event_date AS VARCHAR) AS event_date,
-  event_hour, actor_id, actor_login, is_bot, repo_id, repo_name, repo_owner, org_login,
-  payload AS payload_json, 'feed.json.gz' AS _source_file
+SELECT {SILVER_COLUMNS}, 'feed.json.gz' AS _source_file
 FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)""",
         ACTIVITY,
         FEED,
     ),
+    "streamed_events": query(
+        f"SELECT {SILVER_COLUMNS} FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)", ACTIVITY, FEED
+    ),
     "expectation_counts": query(
         """
 SELECT 'valid_event_id' AS rule, 'drop' AS action, count(*) FILTER (spoil IN (3, 5, 7)) AS violations FROM feed
@@ -536,12 +553,8 @@ FROM fetches""",
         f"SELECT {SNAPSHOT_COLUMNS}, strftime(fetched_at, {T}) AS fetched_at FROM fetches WHERE http_status = 200",
         FETCHES,
     ),
-    "repo_history_scd2": query(
-        f"""SELECT {SNAPSHOT_COLUMNS}, strftime(valid_from, {T}) AS valid_from,
-  strftime(valid_to, {T}) AS valid_to, valid_to IS NULL AS is_current FROM history""",
-        FETCHES,
-        HISTORY,
-    ),
+    "repo_history_scd2": STAGED_HISTORY,
+    "streamed_history": STAGED_HISTORY,
     "history_contiguity": query("SELECT count(*) AS offences FROM offences", FETCHES, HISTORY, CHAIN),
     "order_status_history": f"""
 WITH single AS (
@@ -571,9 +584,8 @@ FROM numbered n JOIN spans s ON n.o_custkey = s.o_custkey AND n.version = s.vers
         ACTIVITY,
         HOURLY,
     ),
-    "changed_dates_recompute": query(
-        f"SELECT {DAILY_COLUMNS} FROM daily", ACTIVITY, LATE_ACTIVITY, daily_of("late_activity")
-    ),
+    "changed_dates_recompute": LATE_DAILY,
+    "daily_activity_upkeep": LATE_DAILY,
     "latest_fetch": query(
         f"""SELECT repo_id, strftime(last_checked_at, {T}) AS last_checked_at, latest_outcome, is_available,
   last_etag, strftime(metrics_as_of, {T}) AS metrics_as_of, stargazers_count, forks_count,

@@ -32,6 +32,8 @@ from repopulse.plans.gold import build_gold
 from repopulse.session import shared_dir
 from repopulse.sources import landing
 from repopulse.sources.tables import rebuild, scan
+from repopulse.streaming import flows
+from repopulse.streaming.history import repo_history_sink, track_history
 
 # The test tables hold few repositories, so the caps are lower than in production.
 PARAMS = Params(trending_top_n=25, active_top_n=40, refresh_top_n=30, request_cap=200)
@@ -180,6 +182,38 @@ def order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.withColumnsRenamed({scd2.START: "valid_from", scd2.END: "valid_to"})
 
 
+# --- streams --------------------------------------------------------------------------------------
+
+
+def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed lines landed as files in two parts, each loaded through bronze into silver."""
+    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    lines = data.feed_lines(spark, sf_dir)
+    for part in (0, 1):
+        landed = lines.where(F.col("event_id").cast("bigint") % 2 == part).select("value")
+        landed.write.mode("append").option("compression", "gzip").text(f"{root}/landed")
+        flows.load_events(
+            spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*"
+        )
+        flows.type_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_s")
+    return scan(spark, "silver", root).drop("_ingested_at", "_source_file")
+
+
+def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch records landed in two parts, mixed in time, and followed into the history table."""
+    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    records = data.landed_fetches(spark, sf_dir).drop("_ingested_at")
+    sink = repo_history_sink(spark, f"{root}/silver_history", buckets=8)
+    for part in (0, 1):
+        landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(2)) == part)
+        landed.write.mode("append").option("compression", "gzip").json(f"{root}/landed")
+        flows.load_fetches(
+            spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*"
+        )
+        track_history(spark, f"{root}/bronze", sink, f"{root}/_h")
+    return silver.staged_history(spark.read.parquet(sink.history_path))
+
+
 # --- gold -----------------------------------------------------------------------------------------
 
 
@@ -191,15 +225,16 @@ def hourly_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.hourly_activity(data.activity(spark, sf_dir))
 
 
-def changed_dates_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load up to a mark, then upkeep with everything that came later or late.
-
-    Every ninth event of the early days is loaded late, so old dates change as well.
-    """
+def _late_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth event of the early days is loaded late, so old dates change as well."""
     late = (F.col("event_id").cast("bigint") % 9 == 0) & (F.col("event_date") < "2024-01-10")
-    events = data.activity(spark, sf_dir).withColumn(
-        "_ingested_at", F.when(late, _moment(QUEUED_AT)).otherwise(F.col("_ingested_at"))
-    )
+    loaded = F.when(late, _moment(QUEUED_AT)).otherwise(F.col("_ingested_at"))
+    return data.activity(spark, sf_dir).withColumn("_ingested_at", loaded)
+
+
+def changed_dates_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load up to a mark, then upkeep with everything that came later or late."""
+    events = _late_activity(spark, sf_dir)
     mark = int(LOAD_MARK.timestamp()) * 1_000_000
     first_load = events.where(F.col("_ingested_at") <= F.timestamp_micros(F.lit(mark)))
     table = activity.repo_daily_activity(first_load)
@@ -207,6 +242,20 @@ def changed_dates_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.merge_dates(table, fresh)
 
 
+def daily_activity_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a stored table: a full build, then an upkeep run with the later loads."""
+    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    events = _late_activity(spark, sf_dir)
+    mark = int(LOAD_MARK.timestamp()) * 1_000_000
+    first_load = events.where(F.col("_ingested_at") <= F.timestamp_micros(F.lit(mark)))
+    for source in (first_load, events):
+        table = incremental.refresh(
+            spark, source, activity.repo_daily_activity, "daily", root, ["repo_id"]
+        )
+    columns = activity.repo_daily_activity(events).columns
+    return table.select(*columns)
+
+
 def latest_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repos.latest_fetch(data.fetches(spark, sf_dir))
 
@@ -292,7 +341,7 @@ def repository_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enrichment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = trending.trending_ranks(repo_daily_activity(spark, sf_dir), PARAMS)
-    return reports.enrichment_coverage(ranks, repo_dim(spark, sf_dir))
+    return reports.enrichment_coverage(ranks, repo_dim(spark, sf_dir), PARAMS)
 
 
 def history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,9 +389,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repo_history_scd2": repo_history_scd2,
     "history_contiguity": history_contiguity,
     "order_status_history": order_status_history,
+    "streamed_events": streamed_events,
+    "streamed_history": streamed_history,
     "repo_daily_activity": repo_daily_activity,
     "hourly_activity": hourly_activity,
     "changed_dates_recompute": changed_dates_recompute,
+    "daily_activity_upkeep": daily_activity_upkeep,
     "latest_fetch": latest_fetch,
     "repo_dim": repo_dim,
     "repo_snapshot_daily": repo_snapshot_daily,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPREAD = 64
+SPREAD = 256
 
 
 def top_ranked(df: DataFrame, n: int, order: list[Column], rank: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.operators.ranking import top_ranked
+from repopulse.operators.small import broadcast_up_to, lookup
+from repopulse.params import Params
 from repopulse.schemas import TRACKED_ATTRIBUTES
 
 
@@ -157,11 +159,12 @@ def repository_profile(repos: DataFrame) -> DataFrame:
     )
 
 
-def enrichment_coverage(trending: DataFrame, repos: DataFrame) -> DataFrame:
+def enrichment_coverage(trending: DataFrame, repos: DataFrame, params: Params) -> DataFrame:
     """How many of the trending repositories have known attributes."""
+    bound = params.trending_top_n
     listed = trending.select("repo_id")
-    known = repos.select("repo_id").join(F.broadcast(listed), "repo_id", "left_semi")
-    marked = listed.join(F.broadcast(known.withColumn("known", F.lit(1))), "repo_id", "left")
+    known = lookup(listed, repos.select("repo_id"), bound).withColumn("known", F.lit(1))
+    marked = listed.join(broadcast_up_to(known, bound), "repo_id", "left")
     return marked.agg(
         F.count("*").alias("trending"),
         F.count("known").alias("enriched"),

@@ -14,6 +14,7 @@ from repopulse.functions.payload import is_blank
 from repopulse.functions.rescue import misfits, raw_texts, rescued
 from repopulse.schemas import EVENT_DDL, FETCH_DDL, QUEUE_DDL
 
+LANDED_FILES = "*.json*"
 HOUR_KEY = r"\d{4}-\d{2}-\d{2}-\d{1,2}(?=[./]|$)"
 
 
@@ -46,12 +47,12 @@ def _with_origin(lines: DataFrame) -> DataFrame:
     return lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
 
 
-def read_lines(spark: SparkSession, path: str | list[str], glob: str = "*.json*") -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], glob: str = LANDED_FILES) -> DataFrame:
     return _with_origin(_text_options(spark.read, glob).load(path))
 
 
 def stream_lines(
-    spark: SparkSession, path: str, glob: str = "*.json*", max_files: int | None = None
+    spark: SparkSession, path: str, glob: str = LANDED_FILES, max_files: int | None = None
 ) -> DataFrame:
     """New files only: the checkpoint of the query remembers each file it has loaded."""
     reader = _text_options(spark.readStream, glob)

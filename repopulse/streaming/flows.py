@@ -36,18 +36,28 @@ def table_stream(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def load_events(
-    spark: SparkSession, landed: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession,
+    landed: str,
+    table: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    glob: str = landing.LANDED_FILES,
 ) -> StreamingQuery:
     """Landed event files to bronze. `max_files` bounds a batch when much has piled up."""
-    lines = landing.stream_lines(spark, landed, max_files=max_files)
+    lines = landing.stream_lines(spark, landed, glob, max_files)
     return append(landing.event_rows(lines), table, checkpoint)
 
 
 def load_fetches(
-    spark: SparkSession, landed: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession,
+    landed: str,
+    table: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    glob: str = landing.LANDED_FILES,
 ) -> StreamingQuery:
     """Landed fetch records to bronze."""
-    lines = landing.stream_lines(spark, landed, max_files=max_files)
+    lines = landing.stream_lines(spark, landed, glob, max_files)
     return append(landing.fetch_rows(lines), table, checkpoint)
 
 

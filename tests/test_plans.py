@@ -7,6 +7,7 @@ import re
 import pytest
 
 from repopulse.checks import adapters, queries
+from repopulse.operators.incremental import rows_to_recompute
 from repopulse.operators.ranking import top_ranked
 from repopulse.operators.scd2 import scd2
 from repopulse.params import Params
@@ -80,3 +81,26 @@ def test_no_query_multiplies_rows_by_rows(spark, name):
     assert "CartesianProduct" not in found
     assert "BroadcastNestedLoopJoin" not in found
     assert "BatchEvalPython" not in found and "ArrowEvalPython" not in found
+
+
+def test_upkeep_prunes_the_dates_it_does_not_need(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    adapters.activity(spark, SF_DIR).write.partitionBy("event_date").parquet(path)
+    mark = 1_706_500_000_000_000
+    found = plan(rows_to_recompute(spark.read.parquet(path), mark))
+    filters = " ".join(re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters: \[(.*?)\]", found)[0])
+    assert "dynamicpruning" in filters
+    assert "GreaterThan(_ingested_at" in found
+
+
+def test_long_lists_are_not_broadcast(spark, daily):
+    short, long = Params(trending_top_n=100), Params(trending_top_n=1_000_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for params, kind in ((short, "BroadcastHashJoin"), (long, "SortMergeJoin")):
+            ranks = trending.trending_ranks(daily, params)
+            dim = queries.repo_dim(spark, SF_DIR)
+            described = plan(trending.trending_repos(ranks, dim, params))
+            assert f"{kind} [repo_id" in described
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
