@@ -15,26 +15,27 @@ def is_blank(line: Column) -> Column:
 def is_json_object(line: Column) -> Column:
     """True for a line that is one JSON object; false for broken text, arrays and scalars.
 
-    The parser stops at the end of the first value, so the end of the line is checked as well.
+    The parser stops at the end of the first value, so the end of the line is checked as well; the
+    pattern is only tried on lines with something behind the last brace.
     """
-    return F.json_object_keys(line).isNotNull() & line.rlike(r"\}\s*$")
+    ends_well = line.endswith("}") | line.rlike(r"\}\s+$")
+    return F.json_object_keys(line).isNotNull() & ends_well
 
 
 def is_scalar(value: Column) -> Column:
     """String, number or boolean: neither JSON null nor a nested object or array."""
-    kind = F.schema_of_variant(value)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return value.isNotNull() & ~F.is_variant_null(value) & ~nested
+    is_object = F.try_variant_get(value, "$", VARIANT_MAP).isNotNull()
+    is_array = F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    return value.isNotNull() & ~F.is_variant_null(value) & ~is_object & ~is_array
 
 
-def scalar_fields(json_text: Column) -> Column:
-    """Scalar entries of a JSON object as a variant map, in order; empty for anything else."""
-    fields = F.from_json(json_text, VARIANT_MAP)
-    kept = F.map_filter(fields, lambda _, value: is_scalar(value))
+def scalars(fields: Column) -> Column:
+    """Scalar entries of a variant map, in order; empty when there is no map."""
     empty = F.from_json(F.lit("{}"), VARIANT_MAP)
-    return F.coalesce(kept, empty)
+    return F.coalesce(F.map_filter(fields, lambda _, value: is_scalar(value)), empty)
 
 
 def slim_payload(json_text: Column) -> Column:
     """The scalar part of a payload as JSON text; `{}` when the payload is no object."""
-    return F.coalesce(F.to_json(scalar_fields(json_text)), F.lit("{}"))
+    kept = F.to_json(scalars(F.from_json(json_text, VARIANT_MAP)))
+    return F.coalesce(kept, F.lit("{}"))

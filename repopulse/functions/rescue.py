@@ -10,11 +10,44 @@ RAW_MAP = "map<string, string>"
 ENTRIES = "array<struct<key: string, value: string>>"
 
 
+CORRUPT = "_corrupt_record"
+
+
 def raw_texts(json_text: Column) -> Column:
     """Every key of a JSON object with the text of its value; null for anything else."""
     return F.from_json(json_text, RAW_MAP)
 
 
+def typed(line: Column, schema: T.StructType) -> Column:
+    """The typed struct of a line, with a last member CORRUPT: the line, if a value did not fit."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(line, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def objects(line: Column, schema: T.StructType) -> Column:
+    """The nested objects of a line as raw maps."""
+    inner = [f"`{f.name}` {RAW_MAP}" for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    return F.from_json(line, ", ".join(inner))
+
+
+def is_clean(keys: Column, typed: Column, objects: Column, schema: T.StructType) -> Column:
+    """Whether a line holds nothing but its schema: no unknown key, no value that did not fit.
+
+    True for nearly every line, and much cheaper to tell than what a line has lost.
+    """
+    clean = keys.isNotNull() & typed[CORRUPT].isNull() & _only(keys, schema)
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            inner = F.map_keys(objects[field.name])
+            clean = clean & F.coalesce(_only(inner, field.dataType), F.lit(True))
+    return clean
+
+
+def _only(keys: Column, schema: T.StructType) -> Column:
+    known = F.array(*[F.lit(name) for name in schema.names])
+    return F.size(F.array_except(keys, known)) == 0
+
+
 def _entry(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
@@ -39,7 +72,7 @@ def _below(name: str, entries: Column) -> Column:
     return F.transform(entries, dotted)
 
 
-def misfits(raw: Column, typed: Column, schema: T.StructType) -> Column:
+def misfits(raw: Column, objects: Column, typed: Column, schema: T.StructType) -> Column:
     """(path, raw text) of all values of a line that its typed struct does not hold.
 
     Paths are dotted. Each object is walked once.
@@ -49,24 +82,25 @@ def misfits(raw: Column, typed: Column, schema: T.StructType) -> Column:
     for field in schema.fields:
         if isinstance(field.dataType, T.StructType):
             member = typed.getField(field.name)
-            inner = _misfits(raw_texts(raw[field.name]), member, field.dataType)
+            inner = _misfits(objects[field.name], member, field.dataType)
             parts.append(F.when(member.isNotNull(), _below(field.name, inner)))
     return F.concat(*[F.coalesce(part.cast(ENTRIES), nothing) for part in parts])
 
 
-def rescued(line: Column, raw: Column, lost: Column, source_file: Column) -> Column:
+def rescued(line: Column, keys: Column, lost: Column, source_file: Column) -> Column:
     """JSON text of the lost values with the file they came from; null when nothing was lost.
 
     A line that is no JSON object at all is kept whole.
     """
-    broken = F.array(_entry(F.lit("_corrupt_record"), line)).cast(ENTRIES)
+    broken = F.array(_entry(F.lit(CORRUPT), line)).cast(ENTRIES)
     origin = F.array(_entry(F.lit("_file_path"), source_file)).cast(ENTRIES)
-    kept = F.when(raw.isNull(), broken).when(F.size(lost) > 0, lost)
-    return F.to_json(_first_per_key(F.concat(kept, origin)))
+    kept = F.when(keys.isNull(), broken).when(F.size(lost) > 0, lost)
+    return F.when(kept.isNotNull(), F.to_json(_first_per_key(F.concat(kept, origin))))
 
 
 def _first_per_key(entries: Column) -> Column:
     """A JSON line may repeat a key; a map may not."""
     keys = entries.getField("key")
+    repeats = F.size(F.array_distinct(keys)) < F.size(keys)
     first = F.filter(entries, lambda entry, i: F.array_position(keys, entry["key"]) == i + 1)
-    return F.map_from_entries(first)
+    return F.map_from_entries(F.when(repeats, first).otherwise(entries))

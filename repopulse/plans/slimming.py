@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.functions.once import with_once
-from repopulse.functions.payload import VARIANT_MAP, is_blank, is_json_object, scalar_fields
+from repopulse.functions.payload import VARIANT_MAP, is_blank, is_json_object, scalars
 from repopulse.schemas import API_REPO_DDL, REPO_DDL
 
 # Identity objects keep these members, whatever their JSON type.
 RAW_EVENT_DDL = (
     "id variant, type string, created_at variant, public variant, "
-    f"actor {VARIANT_MAP}, repo {VARIANT_MAP}, org {VARIANT_MAP}, payload string"
+    f"actor {VARIANT_MAP}, repo {VARIANT_MAP}, org {VARIANT_MAP}, payload {VARIANT_MAP}"
 )
 
 
@@ -42,7 +42,7 @@ def slim_events(lines: DataFrame, event_types: list[str] | None = None) -> DataF
         _members(F.col("actor"), "id", "login").alias("actor"),
         _members(F.col("repo"), "id", "name").alias("repo"),
         F.when(has_org, _members(F.col("org"), "id", "login")).alias("org"),
-        scalar_fields(F.col("payload")).alias("payload"),
+        scalars(F.col("payload")).alias("payload"),
     )
 
 

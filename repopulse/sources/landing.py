@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from repopulse.functions import rescue
 from repopulse.functions.once import with_once
 from repopulse.functions.payload import is_blank
-from repopulse.functions.rescue import misfits, raw_texts, rescued
 from repopulse.schemas import EVENT_DDL, FETCH_DDL, QUEUE_DDL
 
 LANDED_FILES = "*.json*"
@@ -27,12 +27,20 @@ def typed_lines(lines: DataFrame, ddl: str) -> DataFrame:
     schema = T.StructType.fromDDL(ddl)
     line = F.col("value")
     parsed = with_once(
-        lines.where(~is_blank(line)), _typed=F.from_json(line, schema), _raw=raw_texts(line)
+        lines.where(~is_blank(line)),
+        _typed=rescue.typed(line, schema),
+        _objects=rescue.objects(line, schema),
+        _keys=F.json_object_keys(line),
     )
-    checked = with_once(parsed, _lost=misfits(F.col("_raw"), F.col("_typed"), schema))
+    typed, keys = F.col("_typed"), F.col("_keys")
+    objects = F.col("_objects")
+    clean = rescue.is_clean(keys, typed, objects, schema)
+    unclean = with_once(parsed, _raw=F.when(~clean, rescue.raw_texts(line)))
+    checked = with_once(unclean, _lost=rescue.misfits(F.col("_raw"), objects, typed, schema))
+    leftover = rescue.rescued(line, keys, F.col("_lost"), F.col("_source_file"))
     return checked.select(
-        "_typed.*",
-        rescued(line, F.col("_raw"), F.col("_lost"), F.col("_source_file")).alias("_rescued_data"),
+        *[typed[name].alias(name) for name in schema.names],
+        leftover.alias("_rescued_data"),
         "_source_file",
         F.current_timestamp().alias("_ingested_at"),
     )
