@@ -129,6 +129,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, for work that is heavy per row on a table that is a single small file.
+
+    A table of many files has enough splits and passes untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _named(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
@@ -155,7 +164,8 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     By event_id % 97: 0 unreadable time, 1 no repository name, 2 text as repository id, 3 broken
     JSON, 4 an unknown event type, 5 a JSON array, 6 an unknown field, 7 no id, 8 an unknown member.
     """
-    rows = activity(spark, sf_dir).selectExpr("*", "cast(event_id AS bigint) % 97 AS spoil")
+    events = spread(activity(spark, sf_dir))
+    rows = events.selectExpr("*", "cast(event_id AS bigint) % 97 AS spoil")
     written = with_once(rows, line=F.expr(FEED_LINE))
     spoiled = with_once(written, value=F.expr(SPOILED_LINE))
     return spoiled.selectExpr("value", "'feed.json.gz' AS _source_file", "event_id")
@@ -182,7 +192,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same answers with the body as JSON text, null members included."""
-    answers = responses(spark, sf_dir).withColumnRenamed("body", "answer")
+    answers = spread(responses(spark, sf_dir)).withColumnRenamed("body", "answer")
     return with_once(answers, body=F.to_json("answer", {"ignoreNullFields": "false"}))
 
 

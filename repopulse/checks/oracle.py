@@ -577,6 +577,12 @@ SELECT n.o_custkey, strftime(n.o_orderdate, {T}) AS o_orderdate, n.o_orderkey, n
   strftime(s.valid_from, {T}) AS valid_from,
   strftime(lead(s.valid_from) OVER (PARTITION BY n.o_custkey ORDER BY s.valid_from), {T}) AS valid_to
 FROM numbered n JOIN spans s ON n.o_custkey = s.o_custkey AND n.version = s.version AND n.o_orderdate = s.last_seen""",
+    "staged_events": query(
+        f"""SELECT event_id, event_type, action, strftime(created_at, {T}) AS created_at,
+  CAST(event_date AS VARCHAR) AS event_date, event_hour, actor_id, actor_login, is_bot, repo_id, repo_name,
+  repo_owner, org_login, strftime(_ingested_at, {T}) AS _ingested_at FROM activity""",
+        ACTIVITY,
+    ),
     "repo_daily_activity": query(f"SELECT {DAILY_COLUMNS} FROM daily", ACTIVITY, DAILY),
     "hourly_activity": query(
         f"""SELECT CAST(event_date AS VARCHAR) AS event_date, event_hour, event_type, events, bot_events,
@@ -701,7 +707,7 @@ WHERE merge_rank <= 20""",
 FROM (SELECT count(*) AS n FROM activity GROUP BY date_trunc('hour', created_at))""",
         ACTIVITY,
     ),
-    "repeated_events": "SELECT CAST(event_id AS VARCHAR) AS event_id, 2 AS copies FROM events WHERE event_id % 2 = 0",
+    "repeated_events": "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(2 AS BIGINT) AS copies FROM events WHERE event_id % 2 = 0",
     "repository_profile": query(
         f"""SELECT count(*) AS repos, count(DISTINCT license_spdx_id) AS licenses,
   round(avg(CASE WHEN topics = '' THEN 0 ELSE 2 END), 1) AS avg_topics,

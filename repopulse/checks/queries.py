@@ -149,6 +149,10 @@ def expectation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.EVENT_RULES.counts(silver.type_events(data.landed_events(spark, sf_dir)))
 
 
+def staged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.staged_events(data.activity(spark, sf_dir))
+
+
 def repo_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.FETCH_RULES.keep(silver.type_fetches(data.landed_fetches(spark, sf_dir)))
 
@@ -202,7 +206,7 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch records landed in two parts, mixed in time, and followed into the history table."""
     root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
-    records = data.landed_fetches(spark, sf_dir).drop("_ingested_at")
+    records = data.spread(data.landed_fetches(spark, sf_dir)).drop("_ingested_at")
     sink = repo_history_sink(spark, f"{root}/silver_history", buckets=8)
     for part in (0, 1):
         landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(2)) == part)
@@ -384,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_gaps": landing_gaps,
     "silver_events": silver_events,
     "expectation_counts": expectation_counts,
+    "staged_events": staged_events,
     "repo_fetches": repo_fetches,
     "repo_snapshots": repo_snapshots,
     "repo_history_scd2": repo_history_scd2,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +92,15 @@ def floor_hour(text: str) -> datetime:
     return moment.replace(minute=0, second=0, microsecond=0)
 
 
+def hour_span(
+    now: datetime, lookback_hours: int, start: str | None = None, end: str | None = None
+) -> tuple[datetime, datetime]:
+    """Hours a landing run looks at: up to the current hour, and back far enough to heal gaps."""
+    last = floor_hour(end) if end else floor_hour(now.isoformat())
+    first = floor_hour(start) if start else last - timedelta(hours=lookback_hours)
+    return first, last
+
+
 def hour_key(hour: Column) -> Column:
     """Name of an hour: the date and the hour, not zero-padded."""
     return F.concat_ws("-", F.date_format(hour, "yyyy-MM-dd"), F.hour(hour).cast("string"))

@@ -217,6 +217,18 @@ def test_floor_hour(text, hour):
     assert landing.floor_hour(text) == datetime(2026, 9, 1, hour, tzinfo=UTC)
 
 
+def test_hour_span_looks_back_from_the_current_hour():
+    now = datetime(2026, 9, 3, 4, 30, tzinfo=UTC)
+    assert landing.hour_span(now, 48) == (
+        datetime(2026, 9, 1, 4, tzinfo=UTC),
+        datetime(2026, 9, 3, 4, tzinfo=UTC),
+    )
+    assert landing.hour_span(now, 48, "2026-09-01T05:30", "2026-09-02") == (
+        datetime(2026, 9, 1, 5, tzinfo=UTC),
+        datetime(2026, 9, 2, tzinfo=UTC),
+    )
+
+
 def test_hour_grid_is_half_open_and_not_padded(spark):
     grid = landing.hour_grid(spark, landing.floor_hour("2026-09-01T22"), landing.floor_hour("2026-09-02T01"))
     assert [r.hour_key for r in grid.orderBy("hour").collect()] == [
