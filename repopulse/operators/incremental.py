@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.sources.tables import replace_partitions, scan, scan_if_exists
+from repopulse.sources.tables import replace_partitions, scan_if_exists
 
 LOADED_AT = "_ingested_at"
 LOADED_THROUGH = "_loaded_through"
@@ -65,5 +65,7 @@ def refresh(
     """
     target = None if full else scan_if_exists(spark, name, root)
     rows = rows_to_recompute(source, high_water_mark(target))
-    replace_partitions(build(rows), f"{root}/{name}", DATE, sort_by)
-    return scan(spark, name, root)
+    built = build(rows)
+    replace_partitions(built, f"{root}/{name}", DATE, sort_by)
+    stored = scan_if_exists(spark, name, root)
+    return built if stored is None else stored  # nothing is stored while there is no row at all

@@ -69,6 +69,12 @@ def stream_lines(
     return _with_origin(reader.load(path))
 
 
+def spread(lines: DataFrame, tasks: int | None) -> DataFrame:
+    """Lines over more tasks. A gzip file is one task however large it is; this costs a shuffle of
+    the text, so it is for few large files only."""
+    return lines if tasks is None else lines.repartition(tasks)
+
+
 def event_rows(lines: DataFrame) -> DataFrame:
     return typed_lines(lines, EVENT_DDL)
 

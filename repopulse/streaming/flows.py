@@ -42,9 +42,13 @@ def load_events(
     checkpoint: str,
     max_files: int | None = None,
     glob: str = landing.LANDED_FILES,
+    tasks: int | None = None,
 ) -> StreamingQuery:
-    """Landed event files to bronze. `max_files` bounds a batch when much has piled up."""
-    lines = landing.stream_lines(spark, landed, glob, max_files)
+    """Landed event files to bronze.
+
+    `max_files` bounds a batch when much has piled up; `tasks` spreads few large files.
+    """
+    lines = landing.spread(landing.stream_lines(spark, landed, glob, max_files), tasks)
     return append(landing.event_rows(lines), table, checkpoint)
 
 
@@ -55,9 +59,10 @@ def load_fetches(
     checkpoint: str,
     max_files: int | None = None,
     glob: str = landing.LANDED_FILES,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Landed fetch records to bronze."""
-    lines = landing.stream_lines(spark, landed, glob, max_files)
+    lines = landing.spread(landing.stream_lines(spark, landed, glob, max_files), tasks)
     return append(landing.fetch_rows(lines), table, checkpoint)
 
 

@@ -87,6 +87,21 @@ def test_bronze_loads_each_file_once(spark, site, tmp_path):
     assert json.loads(row.payload) == {"action": "opened"}
 
 
+def test_one_large_file_can_be_spread_over_tasks(spark, site):
+    landed, _, lake = site
+    land(landed, "h", *[event(n, "2026-09-20T01:00:00Z") for n in range(200)])
+    flows.load_events(spark, str(landed), f"{lake}/bronze", f"{lake}/_b", tasks=3)
+    bronze = spark.read.parquet(f"{lake}/bronze")
+    assert bronze.count() == 200 and len(bronze.inputFiles()) == 3
+
+
+def test_a_run_without_any_files_gives_empty_tables(spark, site):
+    events, repos, lake = site
+    result = daily_run.run(spark, str(events), str(repos), lake, PARAMS)
+    assert result.violations == {}
+    assert all(table.isEmpty() for table in result.tables.values())
+
+
 def test_silver_drops_and_counts(spark, site):
     landed, _, lake = site
     when = "2026-09-20T23:30:00Z"
