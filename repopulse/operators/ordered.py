@@ -2,13 +2,13 @@
 
 A window partitioned by a key puts all rows of the key into one task. That is right for ordinary
 keys and wrong for a *hot* one, so hot keys are looked for first, with one small job over the key
-and order columns. Usually there are none and the plain window is all there is. Otherwise the rows
-of the hot keys are cut into slices along the order column: rows of a slice are handled by one task,
+column. Usually there are none and the plain window is all there is. Otherwise the rows of the hot
+keys are cut into slices at quantiles of the order column: rows of a slice are handled by one task,
 and what crosses a slice border is worked out on one summary row per slice.
 
-Everything that is broadcast or collected here is bounded: at most MAX_HOT_KEYS keys are treated as
-hot (the largest), and they get at most MAX_HOT_KEYS + MAX_SLICES slices in all. A key beyond that
-holds less than 1/MAX_HOT_KEYS of the rows.
+Everything that is broadcast or collected here is bounded: at most MAX_HOT_KEYS keys (the largest)
+are treated as hot, with at most MAX_SLICES slices in all. A key beyond that holds less than
+1/MAX_HOT_KEYS of the rows.
 """
 
 from __future__ import annotations
@@ -22,16 +22,13 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 4096
 MAX_SLICES = 16_384
+MAX_SLICES_PER_KEY = 4096
 SLICE = "_slice"
 
 
-def _position(order: str) -> Column:
-    return F.unix_micros(F.col(order))
-
-
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot keys of a DataFrame, with the time range and number of slices of each."""
+    """The hot keys of a DataFrame, each with the order values its rows are cut at."""
 
     keys: list[str]
     order: str
@@ -46,34 +43,44 @@ class HotKeys:
         Equal order values of a key share a slice.
         """
         marked = df.join(F.broadcast(self.table), self.keys)
-        # Whole-number arithmetic: floor((x - low) * slices / (high - low + 1)).
-        offset = (_position(self.order) - F.col("_low")).cast("decimal(20,0)") * F.col("_slices")
-        span = (F.col("_high") - F.col("_low") + 1).cast("decimal(20,0)")
-        number = F.floor(offset / span).cast("int")
-        return marked.withColumn(SLICE, number).drop("_low", "_high", "_slices")
+        number = _bounds_below(F.col("_bounds"), F.unix_micros(self.order))
+        return marked.withColumn(SLICE, number).drop("_bounds")
+
+
+def _bounds_below(bounds: Column, value: Column) -> Column:
+    """How many of the sorted bounds are smaller than the value, by halving steps."""
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(MAX_SLICES_PER_KEY.bit_length()))])
+
+    def advance(found: Column, step: Column) -> Column:
+        smaller = F.coalesce(F.get(bounds, found + step - 1) < value, F.lit(False))
+        return F.when(smaller, found + step).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), advance)
 
 
 def find_hot_keys(
     df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS
 ) -> HotKeys | None:
-    """Keys with more than `hot_rows` rows, or None. Runs one aggregate with map-side combine."""
-    counted = df.groupBy(*keys).agg(
-        F.count("*").alias("_rows"),
-        F.min(_position(order)).alias("_low"),
-        F.max(_position(order)).alias("_high"),
-    )
-    largest = (
-        counted.where((F.col("_rows") > hot_rows) & (F.col("_low") < F.col("_high")))
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-    )
-    share = F.col("_rows") / F.sum("_rows").over(Window.partitionBy())
-    slices = F.least(F.ceil(F.col("_rows") / hot_rows), F.ceil(share * MAX_SLICES))
-    table = largest.select(*keys, "_low", "_high", slices.cast("int").alias("_slices"))
-    rows = table.collect()
+    """Keys with more than `hot_rows` rows, or None. `order` is a timestamp column.
+
+    Runs one aggregate with map-side combine; only if there are hot keys, a second one over their
+    rows. The quantiles are approximate and fixed from then on, so each use cuts the same way.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    largest = counted.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
+    rows = largest.collect()
     if not rows:
         return None
-    return HotKeys(keys, order, df.sparkSession.createDataFrame(rows, table.schema))
+    spark = df.sparkSession
+    hot = F.broadcast(spark.createDataFrame(rows, largest.schema).select(*keys))
+
+    wanted = max(-(-row["_rows"] // hot_rows) for row in rows)
+    slices = max(2, min(wanted, MAX_SLICES_PER_KEY, MAX_SLICES // len(rows)))
+    quantiles = F.percentile_approx(
+        F.unix_micros(order), [i / slices for i in range(1, slices)], F.lit(4 * slices)
+    )
+    cut = df.join(hot, keys).groupBy(*keys).agg(quantiles.alias("_bounds"))
+    return HotKeys(keys, order, spark.createDataFrame(cut.collect(), cut.schema))
 
 
 def keep_last_copy(df: DataFrame, group: list[str], tie: list[str]) -> DataFrame:

@@ -88,6 +88,24 @@ def test_hot_keys_are_found_and_sliced_in_order(spark):
     assert a.join(b, overlap & (F.col("a.hi") >= F.col("b.lo"))).isEmpty()
 
 
+def test_slices_are_balanced_however_the_times_are_spread(spark):
+    """A few old rows, and nearly all rows of the key within one second."""
+    burst = BASE + timedelta(days=3000)
+    rows = [(1, BASE + timedelta(days=d), "x", ["p"], d) for d in range(20)]
+    rows += [(1, burst + timedelta(microseconds=37 * i), "x", ["p"], i) for i in range(4000)]
+    log = spark.createDataFrame(rows, DDL)
+    hot = find_hot_keys(log, ["k"], "at", 200)
+    sizes = [r["count"] for r in hot.sliced(log).groupBy("_slice").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 500
+
+
+def test_a_flood_of_copies_collapses(spark):
+    rows = [(1, BASE, "x", ["p"], 1)] * 500 + [(1, BASE, "y", None, 2), (2, BASE, "z", None, 3)]
+    for hot_rows in (10_000, 50):
+        versions = scd2(spark.createDataFrame(rows, DDL), ["k"], "at", ["a", "b"], ["note"], hot_rows)
+        assert built(versions) == expected(rows)
+
+
 def test_a_value_that_returns_opens_a_third_version(spark):
     moments = [BASE + timedelta(days=d) for d in range(4)]
     rows = [(1, m, v, ["p"], i) for i, (m, v) in enumerate(zip(moments, "xxyx"))]
