@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from repopulse.session import cut_lineage
+
 SPREAD = 256
+ONE_TASK_ROWS = 100_000
 
 
 def top_ranked(df: DataFrame, n: int, order: list[Column], rank: str) -> DataFrame:
@@ -18,6 +21,30 @@ def top_ranked(df: DataFrame, n: int, order: list[Column], rank: str) -> DataFra
     return kept.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
+def number_all(
+    df: DataFrame, order: list[Column], rank: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """All rows of a small-looking result, numbered from 1 by `order`, a total order.
+
+    The result is computed once, and its size is looked at. Few rows are numbered in one task. Many
+    are sorted into ranges, numbered within each, and shifted by the rows of the ranges before,
+    which takes one row per range.
+    """
+    result = cut_lineage(df)
+    if result.count() <= one_task_rows:
+        return result.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+    # The id holds the number of the range in its upper bits and the place in it in the lower 33.
+    placed = cut_lineage(result.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_range", F.shiftright("_id", 33))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
+    shifts = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    numbered = placed.join(F.broadcast(shifts), "_range")
+    return numbered.select(*df.columns, (F.col("_shift") + place + 1).alias(rank))
+
+
 def kth_smallest(
     df: DataFrame, keys: list[str], value: str, k: int, name: str, spread: int = SPREAD
 ) -> DataFrame:

@@ -94,8 +94,11 @@ def read_queue_file(spark: SparkSession, path: str, limit: int) -> DataFrame:
 def floor_hour(text: str) -> datetime:
     """UTC hour of an ISO date or timestamp; a text without offset is taken as UTC."""
     moment = datetime.fromisoformat(text)
-    moment = moment.replace(tzinfo=UTC) if moment.tzinfo is None else moment.astimezone(UTC)
-    return moment.replace(minute=0, second=0, microsecond=0)
+    in_utc = moment.replace(tzinfo=UTC) - (moment.utcoffset() or timedelta())
+    past_hour = timedelta(
+        minutes=in_utc.minute, seconds=in_utc.second, microseconds=in_utc.microsecond
+    )
+    return in_utc - past_hour
 
 
 def hour_span(

@@ -37,7 +37,7 @@ def with_missing(df, names, kind="string"):
     return df
 
 
-def test_trending_ranks_by_recent_stars_and_computes_growth(spark):
+def test_trending_repos(spark):
     daily = table(
         spark,
         "event_date date, repo_id bigint, repo_name string, stars bigint, forks bigint",
@@ -97,7 +97,7 @@ def test_trending_keeps_only_the_first_n_and_breaks_ties_by_forks_then_name(spar
     assert [row.repo_name for row in found] == ["y", "w", "x"]
 
 
-def test_dim_uses_current_version_and_latest_fetch_state(spark):
+def test_repo_dim(spark):
     history = table(
         spark,
         "repo_id bigint, full_name string, language string, valid_from_ts string, "
@@ -135,7 +135,7 @@ def test_dim_uses_current_version_and_latest_fetch_state(spark):
     ]
 
 
-def test_snapshots_keep_last_check_per_day_and_carry_forward(spark):
+def test_repo_snapshot_daily(spark):
     fetches = table(
         spark,
         "repo_id bigint, fetched_at_ts string, fetch_outcome string, stargazers_count bigint",
@@ -195,7 +195,7 @@ def test_trending_languages(spark):
     ]
 
 
-def test_queue_prioritises_dedupes_skips_unavailable_and_refreshes_stale(spark):
+def test_refresh_queue(spark):
     daily = spark.createDataFrame(
         [
             (day("2026-09-25"), 10, "a/trend", 50, 100),

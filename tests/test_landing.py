@@ -268,3 +268,27 @@ def test_slim_hours_skips_what_has_landed(spark, tmp_path):
 def test_no_landing_folder_means_nothing_landed(spark, tmp_path):
     assert landing.landed_hours(spark, str(tmp_path / "none")).isEmpty()
     assert not landing.landed_on(spark, str(tmp_path / "none"), date(2026, 9, 1))
+
+
+def test_rescued_fetch_values(spark):
+    odd = {
+        "repo_id": "1",
+        "http_status": 200,
+        "fetched_at": "2026-09-26T03:00:00Z",
+        "_corrupt_record": "own field",
+        "repo": {"id": 1, "topics": "x", "stargazers_count": 1e30, "size_kb": 3, "stars": {"n": 5}},
+    }
+    fine = {"repo_id": 2, "http_status": 404, "repo": None}
+    df = lines(spark, odd, fine).withColumn("_source_file", F.lit("f.json"))
+    first, second = landing.fetch_rows(df).collect()
+    assert (first.http_status, first.repo.id, first.repo.size_kb) == (200, 1, 3)
+    lost = json.loads(first._rescued_data)
+    assert set(lost) == {
+        "repo_id",
+        "_corrupt_record",
+        "repo.topics",
+        "repo.stargazers_count",
+        "repo.stars",
+        "_file_path",
+    }
+    assert (second.repo_id, second.repo, second._rescued_data) == (2, None, None)

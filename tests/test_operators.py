@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from repopulse.functions.events import fetch_outcome, is_bot, owner_of, utc_date, utc_hour, utc_instant
 from repopulse.operators import accounting, incremental, quality
 from repopulse.operators.expect import Expectations
-from repopulse.operators.ranking import kth_smallest, top_ranked
+from repopulse.operators.ranking import kth_smallest, number_all, top_ranked
 from repopulse.params import Params
 from repopulse.plans.activity import repo_daily_activity
 from repopulse.plans.reports import complete_days
@@ -233,6 +233,17 @@ def test_top_ranked(spark):
     assert [tuple(row) for row in top.collect()] == [(2, 2, 1), (5, 2, 2), (8, 2, 3), (11, 2, 4)]
 
 
+@pytest.mark.parametrize("one_task_rows", [1_000, 10])
+def test_number_all(spark, one_task_rows):
+    values = list(range(500))
+    random.Random(3).shuffle(values)
+    df = spark.createDataFrame([(v, f"n{v}") for v in values], "v bigint, name string").repartition(7)
+    numbered = number_all(df, [F.desc("v")], "place", one_task_rows)
+    assert {(r.v, r.name, r.place) for r in numbered.collect()} == {
+        (v, f"n{v}", 500 - v) for v in values
+    }
+
+
 @pytest.mark.parametrize("k", [1, 7, 2000])
 def test_kth_smallest(spark, rows, k):
     data = [("big", i * 3) for i in range(2500)] + [("small", i) for i in range(7)]
