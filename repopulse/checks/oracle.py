@@ -444,6 +444,32 @@ shots AS (
 
 PERCENT = "round(100 * CAST({0} AS DOUBLE) / nullif({1}, 0), 1)"
 
+
+def order_history(customer: str) -> str:
+    return f"""
+WITH log AS (SELECT *, {customer} AS customer FROM orders),
+single AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer, o_orderdate ORDER BY o_orderkey DESC) AS n FROM log)
+  WHERE n = 1
+),
+compared AS (
+  SELECT *, CASE WHEN o_orderstatus IS NOT DISTINCT FROM lag(o_orderstatus) OVER w
+      AND o_orderpriority IS NOT DISTINCT FROM lag(o_orderpriority) OVER w THEN 0 ELSE 1 END AS is_new
+  FROM single WINDOW w AS (PARTITION BY customer ORDER BY o_orderdate)
+),
+numbered AS (
+  SELECT *, sum(is_new) OVER (PARTITION BY customer ORDER BY o_orderdate) AS version FROM compared
+),
+spans AS (
+  SELECT customer, version, min(o_orderdate) AS valid_from, max(o_orderdate) AS last_seen FROM numbered GROUP BY ALL
+)
+SELECT n.customer, strftime(n.o_orderdate, {T}) AS ordered_at, n.o_orderkey, n.o_orderstatus, n.o_orderpriority,
+  strftime(s.valid_from, {T}) AS valid_from,
+  strftime(lead(s.valid_from) OVER (PARTITION BY n.customer ORDER BY s.valid_from), {T}) AS valid_to
+FROM numbered n JOIN spans s ON n.customer = s.customer AND n.version = s.version AND n.o_orderdate = s.last_seen"""
+
+
 SILVER_COLUMNS = f"""
   event_id, CASE WHEN spoil = 4 THEN 'SparkleEvent' ELSE event_type END AS event_type, action,
   strftime(date_trunc('second', created_at), {T}) AS created_at, CAST(event_date AS VARCHAR) AS event_date,
@@ -556,27 +582,8 @@ FROM fetches""",
     "repo_history_scd2": STAGED_HISTORY,
     "streamed_history": STAGED_HISTORY,
     "history_contiguity": query("SELECT count(*) AS offences FROM offences", FETCHES, HISTORY, CHAIN),
-    "order_status_history": f"""
-WITH single AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders)
-  WHERE n = 1
-),
-compared AS (
-  SELECT *, CASE WHEN o_orderstatus IS NOT DISTINCT FROM lag(o_orderstatus) OVER w
-      AND o_orderpriority IS NOT DISTINCT FROM lag(o_orderpriority) OVER w THEN 0 ELSE 1 END AS is_new
-  FROM single WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate)
-),
-numbered AS (
-  SELECT *, sum(is_new) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS version FROM compared
-),
-spans AS (
-  SELECT o_custkey, version, min(o_orderdate) AS valid_from, max(o_orderdate) AS last_seen FROM numbered GROUP BY ALL
-)
-SELECT n.o_custkey, strftime(n.o_orderdate, {T}) AS o_orderdate, n.o_orderkey, n.o_orderstatus, n.o_orderpriority,
-  strftime(s.valid_from, {T}) AS valid_from,
-  strftime(lead(s.valid_from) OVER (PARTITION BY n.o_custkey ORDER BY s.valid_from), {T}) AS valid_to
-FROM numbered n JOIN spans s ON n.o_custkey = s.o_custkey AND n.version = s.version AND n.o_orderdate = s.last_seen""",
+    "order_status_history": order_history("o_custkey"),
+    "skewed_history": order_history("CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END"),
     "staged_events": query(
         f"""SELECT event_id, event_type, action, strftime(created_at, {T}) AS created_at,
   CAST(event_date AS VARCHAR) AS event_date, event_hour, actor_id, actor_login, is_bot, repo_id, repo_name,

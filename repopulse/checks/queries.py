@@ -171,21 +171,33 @@ def history_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offences.agg(F.count("*").alias("offences"))
 
 
-def order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The history operator on another table: each customer's order status and priority."""
-    orders = data.table(spark, sf_dir, "orders").select(
-        "o_custkey",
-        F.col("o_orderdate").cast("timestamp").alias("o_orderdate"),
+def _order_log(spark: SparkSession, sf_dir: str, customer: str) -> DataFrame:
+    return data.table(spark, sf_dir, "orders").selectExpr(
+        f"{customer} AS customer",
+        "cast(o_orderdate AS timestamp) AS ordered_at",
         "o_orderkey",
         "o_orderstatus",
         "o_orderpriority",
     )
-    versions = scd2.scd2(
-        orders, ["o_custkey"], "o_orderdate", ["o_orderstatus", "o_orderpriority"], ["o_orderkey"]
-    )
+
+
+def _order_history(log: DataFrame, **options) -> DataFrame:
+    tracked = ["o_orderstatus", "o_orderpriority"]
+    versions = scd2.scd2(log, ["customer"], "ordered_at", tracked, ["o_orderkey"], **options)
     return versions.withColumnsRenamed({scd2.START: "valid_from", scd2.END: "valid_to"})
 
 
+def order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history operator on another table: each customer's order status and priority."""
+    return _order_history(_order_log(spark, sf_dir, "o_custkey"))
+
+
+def skewed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a third of all orders under one customer, which is cut into time slices."""
+    log = _order_log(spark, sf_dir, "if(o_custkey % 3 = 0, 0, o_custkey)")
+    return _order_history(log, hot_rows=200)
+
+
 # --- streams --------------------------------------------------------------------------------------
 
 
@@ -394,6 +406,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repo_history_scd2": repo_history_scd2,
     "history_contiguity": history_contiguity,
     "order_status_history": order_status_history,
+    "skewed_history": skewed_history,
     "streamed_events": streamed_events,
     "streamed_history": streamed_history,
     "repo_daily_activity": repo_daily_activity,

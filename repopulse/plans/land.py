@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.plans import slimming
+from repopulse.schemas import FETCH_OUTCOMES
 from repopulse.sources import landing
 
 
@@ -57,10 +58,14 @@ def _hour_report(grid: DataFrame, landed: DataFrame, uploaded: list[str]) -> Dat
 def land_fetches(
     responses: DataFrame, landed_root: str, day: date, force: bool = False
 ) -> bool:
-    """Write the records of one fetch run, at most once per UTC day unless forced."""
+    """Write the records of one fetch run, at most once per UTC day unless forced.
+
+    Answers of any other status than the known ones are errors and leave no record.
+    """
     spark = responses.sparkSession
     if not force and landing.landed_on(spark, landed_root, day):
         return False
-    records = slimming.fetch_records(slimming.parse_bodies(responses))
+    answered = responses.where(F.col("http_status").isin(*FETCH_OUTCOMES))
+    records = slimming.fetch_records(slimming.parse_bodies(answered))
     landing.write_ndjson(records.withColumn("date", F.lit(day.isoformat())), landed_root, ["date"])
     return True

@@ -11,6 +11,29 @@ from repopulse.params import Params
 from repopulse.schemas import TRACKED_ATTRIBUTES
 
 
+def panels(tables: dict[str, DataFrame], params: Params) -> dict[str, DataFrame]:
+    """All reports over the tables of a run, by name."""
+    daily, hourly = tables["repo_daily_activity"], tables["hourly_activity"]
+    trending, repos = tables["trending_repos"], tables["repo_dim"]
+    return {
+        "headline_figures": headline_figures(daily),
+        "trending_panel": trending_panel(trending),
+        "trending_languages": tables["trending_languages"],
+        "breakout_repos": breakout_repos(trending),
+        "activity_by_hour": activity_by_hour(hourly),
+        "activity_by_day": activity_by_day(hourly),
+        "pull_requests_by_day": pull_requests_by_day(daily, hourly),
+        "merge_automation": merge_automation(daily),
+        "event_mix": event_mix(hourly),
+        "bot_share": bot_share(hourly),
+        "events_per_hour": events_per_hour(hourly),
+        "repeated_events": repeated_events(tables["events"]),
+        "repository_profile": repository_profile(repos),
+        "enrichment_coverage": enrichment_coverage(trending, repos, params),
+        "history_changes": history_changes(tables["repo_history"]),
+    }
+
+
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
     return F.round(F.try_divide(100 * part, whole), digits)
 

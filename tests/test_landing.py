@@ -189,8 +189,12 @@ def test_fetches_land_once_per_day_unless_forced(spark, tmp_path):
     assert land.land_fetches(log, root, day)
     assert not land.land_fetches(log, root, day)
     assert land.land_fetches(log, root, day, force=True)
-    assert land.land_fetches(log, root, date(2026, 9, 27))
-    assert spark.read.json(root).where("date = '2026-09-26'").count() == 2
+    errors = responses(spark, (1, "octo/hello", "2026-09-28T03:00:00Z", 500, None, None, None))
+    assert land.land_fetches(log.unionByName(errors), root, date(2026, 9, 27))
+    assert land.land_fetches(errors, root, date(2026, 9, 28))
+    assert not landing.landed_on(spark, root, date(2026, 9, 28))
+    landed = spark.read.json(root).groupBy(F.col("date").cast("string")).count()
+    assert dict(map(tuple, landed.collect())) == {"2026-09-26": 2, "2026-09-27": 1}
 
 
 def test_queue_file(spark, tmp_path):

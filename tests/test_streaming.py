@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from repopulse.operators.scd2 import END, START
 from repopulse.params import Params
 from repopulse.plans import daily_run
+from repopulse.plans.reports import panels
 from repopulse.schemas import KNOWN_EVENT_TYPES
 from repopulse.streaming import flows
 from repopulse.streaming.history import HistorySink
@@ -211,6 +212,12 @@ def test_daily_run(spark, site):
     chain = spark.read.parquet(f"{lake}/silver_history/history").where("repo_id = 0").orderBy(START).collect()
     assert chain[0][END] == chain[1][START] and chain[1][END] is None
 
+    shown = {name: panel.collect() for name, panel in panels(third.tables, PARAMS).items()}
+    [headline] = shown["headline_figures"]
+    assert (headline.events, headline.active_repos) == (550, 3)
+    assert sum(row.events for row in shown["event_mix"]) == 550
+    assert {r.attribute: r.changes for r in shown["history_changes"]}["full_name"] == 1
+
     # The incremental facts equal a full rebuild.
     from repopulse.plans.activity import hourly_activity, repo_daily_activity
 
