@@ -211,22 +211,25 @@ def landed_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.staged_fetches(silver.type_fetches(landed_fetches(spark, sf_dir)))
+def fetch_log(landed: DataFrame) -> DataFrame:
+    return silver.staged_fetches(silver.type_fetches(landed))
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshots = silver.repo_snapshots(landed_fetches(spark, sf_dir))
+def repo_history(landed: DataFrame) -> DataFrame:
+    snapshots = silver.SNAPSHOT_RULES.keep(silver.repo_snapshots(landed))
+    tracked = list(TRACKED_ATTRIBUTES)
     return silver.staged_history(
-        scd2(
-            silver.SNAPSHOT_RULES.keep(snapshots),
-            ["repo_id"],
-            "fetched_at",
-            list(TRACKED_ATTRIBUTES),
-            tie=["description"],
-        )
+        scd2(snapshots, ["repo_id"], "fetched_at", tracked, tie=["description"])
     )
 
 
+def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fetch_log(landed_fetches(spark, sf_dir))
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repo_history(landed_fetches(spark, sf_dir))
+
+
 def fetch_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*_named(RUN_LOG))

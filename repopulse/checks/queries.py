@@ -276,8 +276,15 @@ def latest_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repos.latest_fetch(data.fetches(spark, sf_dir))
 
 
+def _repo_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The dimension and the fetch state it is built on."""
+    landed = data.landed_fetches(spark, sf_dir)
+    state = repos.latest_fetch(data.fetch_log(landed))
+    return repos.repo_dim(data.repo_history(landed), state, _day(AS_OF)), state
+
+
 def repo_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repos.repo_dim(data.history(spark, sf_dir), latest_fetch(spark, sf_dir), _day(AS_OF))
+    return _repo_tables(spark, sf_dir)[0]
 
 
 def repo_snapshot_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +305,7 @@ def trending_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = repo_daily_activity(spark, sf_dir)
     ranks = trending.trending_ranks(daily, PARAMS)
-    dim, state = repo_dim(spark, sf_dir), latest_fetch(spark, sf_dir)
+    dim, state = _repo_tables(spark, sf_dir)
     return refresh_queue.refresh_queue(daily, ranks, dim, state, PARAMS, _moment(QUEUED_AT))
 
 
