@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.operators.ranking import kth_smallest
+from repopulse.operators.small import salted_left_join
 from repopulse.schemas import FETCH_OUTCOMES
 
 
@@ -43,7 +44,7 @@ def classify_requests(log: DataFrame, cap: int, reserve: int) -> DataFrame:
         .otherwise(F.coalesce(named[F.col("status")], F.lit("error")))
     )
     stopped = F.coalesce(low_quota & (F.col("seq") == effective), F.lit(False))
-    return log.join(runs, "run_id", "left").select(
+    return salted_left_join(log, runs, "run_id", "seq").select(
         *log.columns, outcome.alias("outcome"), stopped.alias("stopped_low_quota")
     )
 

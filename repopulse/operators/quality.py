@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _count(offences: DataFrame) -> DataFrame:
+    return offences.agg(F.count("*").alias("n"))
+
+
 @dataclass(frozen=True)
 class NotNull:
     column: str
@@ -55,11 +59,11 @@ class Unique:
     def name(self) -> str:
         return "unique_" + "_".join(self.columns)
 
-    def offenders(self, df: DataFrame) -> DataFrame:
+    def failures(self, df: DataFrame) -> DataFrame:
         rows = df if self.where is None else df.where(self.where)
         if len(self.columns) == 1:
             rows = rows.where(F.col(self.columns[0]).isNotNull())
-        return rows.groupBy(*self.columns).count().where("count > 1")
+        return _count(rows.groupBy(*self.columns).count().where("count > 1"))
 
 
 @dataclass(frozen=True)
@@ -74,8 +78,9 @@ class Accepted:
     def name(self) -> str:
         return f"accepted_{self.column}"
 
-    def offenders(self, df: DataFrame) -> DataFrame:
-        return df.where(~F.col(self.column).isin(*self.values)).select(self.column).distinct()
+    def failures(self, df: DataFrame) -> DataFrame:
+        foreign = df.where(~F.col(self.column).isin(*self.values))
+        return _count(foreign.select(self.column).distinct())
 
 
 @dataclass(frozen=True)
@@ -91,9 +96,12 @@ class References:
     def name(self) -> str:
         return f"references_{self.column}"
 
-    def offenders(self, df: DataFrame) -> DataFrame:
-        known = self.parent.select(F.col(self.parent_column).alias(self.column)).distinct()
-        return df.where(F.col(self.column).isNotNull()).join(known, self.column, "left_anti")
+    def failures(self, df: DataFrame) -> DataFrame:
+        # Rows are counted per value first, so a frequent value is one row in the join.
+        values = df.where(F.col(self.column).isNotNull()).groupBy(self.column)
+        known = self.parent.select(F.col(self.parent_column).alias(self.column))
+        lost = values.agg(F.count("*").alias("n")).join(known, self.column, "left_anti")
+        return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 @dataclass(frozen=True)
@@ -104,8 +112,8 @@ class Singular:
     rows: DataFrame
     severity: str = "error"
 
-    def offenders(self, _: DataFrame) -> DataFrame:
-        return self.rows
+    def failures(self, _: DataFrame) -> DataFrame:
+        return _count(self.rows)
 
 
 Test = NotNull | InRange | Unique | Accepted | References | Singular
@@ -128,9 +136,8 @@ def run_tests(df: DataFrame, table: str, tests: list[Test]) -> DataFrame:
         ]
         results.append(counted.select(F.inline(F.array(*rows))))
     for test in set_tests:
-        found = test.offenders(df).agg(F.count("*").alias("n"))
         row = _result(f"{table}.{test.name}", test.severity, F.col("n"))
-        results.append(found.select(F.inline(F.array(row))))
+        results.append(test.failures(df).select(F.inline(F.array(row))))
     return reduce(DataFrame.unionByName, results)
 
 

@@ -1,4 +1,4 @@
-"""Broadcasting short lists, and only those."""
+"""Joins that do not pile up: broadcasts of short lists only, and salting for frequent keys."""
 
 from __future__ import annotations
 
@@ -23,3 +23,18 @@ def lookup(wanted: DataFrame, table: DataFrame, bound: int, key: str = "repo_id"
     A short list is broadcast, so the table is filtered where it is read and never shuffled.
     """
     return table.join(broadcast_up_to(wanted.select(key).distinct(), bound), key, "left_semi")
+
+
+def salted_left_join(
+    rows: DataFrame, facts: DataFrame, key: str, salt_by: str, salts: int = 32
+) -> DataFrame:
+    """Left join of many rows to one fact row per key, for keys that may hold very many rows.
+
+    Each fact is repeated once per salt and the rows of a key are spread over the salts by another
+    column, so a key is shared by that many tasks. If Spark finds the facts small enough it
+    broadcasts them all the same.
+    """
+    salt = F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted = facts.select("*", every_salt.alias("_salt"))
+    return rows.withColumn("_salt", salt).join(salted, [key, "_salt"], "left").drop("_salt")
