@@ -26,7 +26,8 @@ def classify_requests(log: DataFrame, cap: int, reserve: int) -> DataFrame:
     low_quota = ~limited & known & F.coalesce(F.col("remaining") <= reserve, F.lit(False))
     paid = ~limited & F.col("status").isNotNull() & (F.col("status") != 304)
 
-    stops = log.groupBy("run_id").agg(F.min(F.when(limited | low_quota, F.col("seq"))).alias("_stop"))
+    first_stop = F.min(F.when(limited | low_quota, F.col("seq")))
+    stops = log.groupBy("run_id").agg(first_stop.alias("_stop"))
     if cap > 0:
         caps = kth_smallest(log.where(paid), ["run_id"], "seq", cap, "_cap")
         runs = stops.join(caps, "run_id", "left")

@@ -20,8 +20,9 @@ def changed_dates(source: DataFrame, mark: int | None) -> DataFrame:
     One column, one row per calendar day, so it is safe to broadcast. The mark is a constant of the
     plan, so it is pushed down to the scan.
     """
-    fresh = source if mark is None else source.where(F.col(LOADED_AT) > F.timestamp_micros(F.lit(mark)))
-    return fresh.where(F.col(DATE).isNotNull()).select(DATE).distinct()
+    if mark is not None:
+        source = source.where(F.col(LOADED_AT) > F.timestamp_micros(F.lit(mark)))
+    return source.where(F.col(DATE).isNotNull()).select(DATE).distinct()
 
 
 def rows_to_recompute(source: DataFrame, mark: int | None) -> DataFrame:

@@ -40,7 +40,8 @@ def number_all(
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_range").agg(F.count("*").alias("_rows"))
-    shifts = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    shift = F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    shifts = sizes.select("_range", shift.alias("_shift"))
     numbered = placed.join(F.broadcast(shifts), "_range")
     return numbered.select(*df.columns, (F.col("_shift") + place + 1).alias(rank))
 

@@ -31,8 +31,9 @@ def repo_daily_activity(events: DataFrame) -> DataFrame:
         F.count_if("is_bot").alias("bot_events"),
         F.max("_ingested_at").alias("_loaded_through"),
     )
-    measures = [c for c in facts.columns if c not in ("event_date", "repo_id", "_latest")]
-    return facts.select("event_date", "repo_id", "_latest.repo_name", "_latest.org_login", *measures)
+    keys = ["event_date", "repo_id"]
+    measures = [c for c in facts.columns if c not in (*keys, "_latest")]
+    return facts.select(*keys, "_latest.repo_name", "_latest.org_login", *measures)
 
 
 def hourly_activity(events: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from repopulse.plans import silver
 from repopulse.plans.contract import contract_results
 from repopulse.plans.gold import build_gold
 from repopulse.schemas import BRONZE_EVENT_DDL, BRONZE_FETCH_DDL
+from repopulse.session import prepare
 from repopulse.sources.landing import landed_files
 from repopulse.sources.tables import scan_if_exists
 from repopulse.streaming import flows
@@ -89,6 +90,7 @@ def run(
     now: Column | None = None,
 ) -> RunResult:
     """Load, rebuild gold, test. Raises when a test of severity `error` fails."""
+    prepare(spark)
     violations = load(spark, event_files, fetch_files, root)
     tables = build_gold(spark, staged(spark, root), f"{root}/gold", params, full)
     tests = contract_results(tables, now)

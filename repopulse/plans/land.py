@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from repopulse.plans import slimming
 from repopulse.schemas import FETCH_OUTCOMES
+from repopulse.session import prepare
 from repopulse.sources import landing
 
 
@@ -26,7 +27,7 @@ def slim_hours(
     without a raw file is missing. Each raw file is one task and writes its own files, without a
     shuffle, below `date=/hour_key=` folders.
     """
-    grid = landing.hour_grid(spark, start, end)
+    grid = landing.hour_grid(prepare(spark), start, end)
     landed = landing.landed_hours(spark, landed_root)
     raw = landing.keyed_files(spark, raw_root)
     due = landing.missing_hours(grid, landed)

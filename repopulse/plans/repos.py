@@ -48,8 +48,9 @@ def repo_dim(history: DataFrame, fetch_state: DataFrame, as_of: Column | None =
     """
     today = F.current_date() if as_of is None else as_of
     described = [*ATTRIBUTES, "repo_created_at", "valid_from"]
+    current_since = F.when(F.col("is_current"), F.col("valid_from"))
     repos = history.groupBy("repo_id").agg(
-        F.max_by(F.struct(*described), F.when(F.col("is_current"), F.col("valid_from"))).alias("now"),
+        F.max_by(F.struct(*described), current_since).alias("now"),
         F.count("*").alias("version_count"),
         F.min("valid_from").alias("first_seen_at"),
     )
@@ -81,7 +82,8 @@ def repo_snapshot_daily(fetches: DataFrame) -> DataFrame:
     when = F.struct("fetched_at", "etag")
     checks = fetches.where(F.col("fetch_outcome").isin(*AVAILABLE))
     known = [
-        F.max_by(metric, F.when(F.col(metric).isNotNull(), when)).alias(metric) for metric in METRICS
+        F.max_by(metric, F.when(F.col(metric).isNotNull(), when)).alias(metric)
+        for metric in METRICS
     ]
     days = checks.groupBy("repo_id", F.to_date("fetched_at").alias("snapshot_date")).agg(
         F.max_by(F.struct("fetched_at", "fetch_outcome"), when).alias("last"), *known

@@ -119,7 +119,8 @@ def hour_grid(spark: SparkSession, start: datetime, end: datetime) -> DataFrame:
     """Every hour of the half-open range, with its key. Its size is bounded by the calendar."""
     if start >= end:
         raise ValueError(f"start {start} must be before end {end}")
-    hours = F.sequence(F.lit(start), F.lit(end) - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR"))
+    step = F.expr("INTERVAL 1 HOUR")
+    hours = F.sequence(F.lit(start), F.lit(end) - step, step)
     grid = spark.range(1).select(F.explode(hours).alias("hour"))
     return grid.select("hour", hour_key(F.col("hour")).alias("hour_key"))
 

@@ -51,7 +51,7 @@ class HistorySink:
         _replace(rows, self.log_path, BUCKET, BATCH)
 
         # The log is read through the caller's session, which plans adaptively.
-        log = self.spark.read.parquet(self.log_path)
+        log = self.spark.read.schema(rows.schema).parquet(self.log_path)
         touched = log.where(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()
         if not touched:
             return

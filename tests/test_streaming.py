@@ -103,6 +103,17 @@ def test_a_run_without_any_files_gives_empty_tables(spark, site):
     assert all(table.isEmpty() for table in result.tables.values())
 
 
+def test_a_first_run_that_finds_no_repository(spark, site):
+    events, repos, lake = site
+    land(repos, "r1", fetch(1, "2026-09-21T03:00:01Z", 404))
+    result = daily_run.run(spark, str(events), str(repos), lake, PARAMS)
+    assert [r.latest_outcome for r in result.tables["latest_fetch"].collect()] == ["not_found"]
+    assert result.tables["repo_dim"].isEmpty()
+    land(repos, "r2", fetch(1, "2026-09-22T03:00:01Z"))
+    result = daily_run.run(spark, str(events), str(repos), lake, PARAMS)
+    assert [r.version_count for r in result.tables["repo_dim"].collect()] == [1]
+
+
 def test_silver_drops_and_counts(spark, site):
     landed, _, lake = site
     when = "2026-09-20T23:30:00Z"
