@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from repopulse.operators import incremental
@@ -25,35 +28,58 @@ def build_gold(
 
     The activity facts are brought up to date by changed date; the others are small next to the
     events and are rebuilt. Every table is read back from storage by those that depend on it, so
-    nothing is computed twice and a lost executor costs one table at most.
+    nothing is computed twice and a lost executor costs one table at most. Tables that do not
+    depend on each other are built side by side, which keeps a cluster busy during small ones.
     """
     tables = dict(staged)
+    events, fetches, history = (staged[name] for name in STAGED)
 
     def store(name: str, df: DataFrame, cluster_by: list[str] | None = None) -> DataFrame:
         rebuild(df, f"{root}/{name}", cluster_by)
-        tables[name] = scan(spark, name, root)
-        return tables[name]
+        return scan(spark, name, root)
 
-    events, fetches, history = (staged[name] for name in STAGED)
-    daily = tables["repo_daily_activity"] = incremental.refresh(
-        spark, events, activity.repo_daily_activity, "repo_daily_activity", root, ["repo_id"], full
+    def upkeep(name: str, build: Callable[[DataFrame], DataFrame], sort_by: list[str]) -> DataFrame:
+        return incremental.refresh(spark, events, build, name, root, sort_by, full)
+
+    _side_by_side(
+        tables,
+        repo_daily_activity=lambda: upkeep(
+            "repo_daily_activity", activity.repo_daily_activity, ["repo_id"]
+        ),
+        hourly_activity=lambda: upkeep(
+            "hourly_activity", activity.hourly_activity, ["event_hour", "event_type"]
+        ),
+        latest_fetch=lambda: store("latest_fetch", repos.latest_fetch(fetches), ["repo_id"]),
+        repo_snapshot_daily=lambda: store(
+            "repo_snapshot_daily",
+            repos.repo_snapshot_daily(fetches),
+            ["snapshot_date", "repo_id"],
+        ),
     )
-    tables["hourly_activity"] = incremental.refresh(
-        spark,
-        events,
-        activity.hourly_activity,
-        "hourly_activity",
-        root,
-        ["event_hour", "event_type"],
-        full,
+    daily, state = tables["repo_daily_activity"], tables["latest_fetch"]
+    _side_by_side(
+        tables,
+        repo_dim=lambda: store("repo_dim", repos.repo_dim(history, state, as_of), ["repo_id"]),
+        trending_ranks=lambda: store("trending_ranks", trending.trending_ranks(daily, params)),
     )
-    state = store("latest_fetch", repos.latest_fetch(fetches), ["repo_id"])
-    dim = store("repo_dim", repos.repo_dim(history, state, as_of), ["repo_id"])
-    store(
-        "repo_snapshot_daily", repos.repo_snapshot_daily(fetches), ["snapshot_date", "repo_id"]
+    ranks, dim = tables["trending_ranks"], tables["repo_dim"]
+    _side_by_side(
+        tables,
+        trending_repos=lambda: store(
+            "trending_repos", trending.trending_repos(ranks, dim, params)
+        ),
+        trending_languages=lambda: store(
+            "trending_languages", trending.trending_languages(daily, dim, ranks, params)
+        ),
+        refresh_queue=lambda: store(
+            "refresh_queue",
+            refresh_queue.refresh_queue(daily, ranks, dim, state, params, queued_at),
+        ),
     )
-    ranks = store("trending_ranks", trending.trending_ranks(daily, params))
-    store("trending_repos", trending.trending_repos(ranks, dim, params))
-    store("trending_languages", trending.trending_languages(daily, dim, ranks, params))
-    store("refresh_queue", refresh_queue.refresh_queue(daily, ranks, dim, state, params, queued_at))
     return tables
+
+
+def _side_by_side(tables: dict[str, DataFrame], **jobs: Callable[[], DataFrame]) -> None:
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        started = {name: pool.submit(job) for name, job in jobs.items()}
+        tables.update({name: job.result() for name, job in started.items()})

@@ -26,6 +26,9 @@ class HistorySink:
     Then the buckets it touched are rebuilt from the whole log of those buckets, never from the
     history that is being replaced. The result is that of a full rebuild, for late and out-of-order
     snapshots too, and a run that dies is repaired by its repetition.
+
+    A batch costs the log of the buckets it touches: take so many buckets that one of them is work
+    for a few tasks.
     """
 
     spark: SparkSession
@@ -50,7 +53,6 @@ class HistorySink:
         rows = batch.withColumn(BUCKET, bucket).withColumn(BATCH, F.lit(batch_id))
         _replace(rows, self.log_path, BUCKET, BATCH)
 
-        # The log is read through the caller's session, which plans adaptively.
         log = self.spark.read.schema(rows.schema).parquet(self.log_path)
         touched = log.where(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()
         if not touched:
@@ -59,12 +61,14 @@ class HistorySink:
         versions = scd2(
             affected, [BUCKET, *self.keys], self.sequence, self.tracked, self.tie, self.hot_rows
         )
-        _replace(versions.hint("rebalance", BUCKET), self.history_path, BUCKET)
+        _replace(versions, self.history_path, BUCKET)
 
 
 def _replace(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that occur in `rows`; a small one gets one file, a large one more."""
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
