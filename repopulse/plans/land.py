@@ -30,12 +30,10 @@ def slim_hours(
     grid = landing.hour_grid(prepare(spark), start, end)
     landed = landing.landed_hours(spark, landed_root)
     raw = landing.keyed_files(spark, raw_root)
-    due = landing.missing_hours(grid, landed)
-    # The grid is bounded by the calendar, so the file list of a run is small.
-    todo = due.join(raw, "hour_key").select("hour_key", "path").collect()
-    uploaded = sorted({row.hour_key for row in todo})
-    report = _hour_report(grid, landed, uploaded)
+    report = _hour_report(grid, landed, raw)
+    # Both lists are bounded by the calendar; they are taken before anything is written.
     outcomes = report.collect()
+    todo = landing.missing_hours(grid, landed).join(raw, "hour_key").select("path").collect()
 
     if todo:
         lines = landing.read_lines(spark, [row.path for row in todo])
@@ -46,11 +44,13 @@ def slim_hours(
     return spark.createDataFrame(outcomes, report.schema)
 
 
-def _hour_report(grid: DataFrame, landed: DataFrame, uploaded: list[str]) -> DataFrame:
-    marked = grid.join(landed.withColumn("_landed", F.lit(True)), "hour_key", "left")
+def _hour_report(grid: DataFrame, landed: DataFrame, raw: DataFrame) -> DataFrame:
+    known = landed.withColumn("_landed", F.lit(True))
+    available = raw.select("hour_key").distinct().withColumn("_available", F.lit(True))
+    marked = grid.join(known, "hour_key", "left").join(available, "hour_key", "left")
     status = (
         F.when(F.col("_landed"), "skipped")
-        .when(F.col("hour_key").isin(uploaded), "uploaded")
+        .when(F.col("_available"), "uploaded")
         .otherwise("missing")
     )
     return marked.select("hour", "hour_key", status.alias("outcome"))
