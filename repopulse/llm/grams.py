@@ -34,8 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(name: str, base: np.uint64, size: int) -> np.ndarray:
     if name not in _powers or len(_powers[name]) < size:
-        size = max(size, 1 << 16)
-        steps = np.full(size, base, np.uint64)
+        steps = np.full(max(size, 1 << 16), base, np.uint64)
         steps[0] = 1
         _powers[name] = np.cumprod(steps, dtype=np.uint64)
     return _powers[name][:size]
@@ -128,7 +127,7 @@ def lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values))
 
 
-def small_batches(batch: pa.RecordBatch, text: str, most: int = 4 << 20):
+def small_batches(batch: pa.RecordBatch, text: str, most: int = 2 << 20):
     """Slices of a batch with about `most` bytes of text each (a single text is never cut)."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.nan_to_num(

@@ -6,11 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import jaccard_tiles
+from repopulse.llm import importance, jaccard_tiles, winnowing
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _table(spark, sf_dir, "documents")
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document and whether it is drawn."""
+    return importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text."""
+    return winnowing.compared_with_next(_documents(spark, sf_dir))
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +33,7 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_classifier": quality_classifier,
+    "op6_document_fingerprints": document_fingerprints,
     "op10_ngram_jaccard_join": ngram_jaccard_join,
 }
