@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import importance, jaccard_tiles, winnowing
+from repopulse.llm import importance, jaccard_tiles, retrieval_packing, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,13 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared_with_next(_documents(spark, sf_dir))
 
 
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens."""
+    return retrieval_packing.packed(
+        _documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share 85 per cent of their 4-word shingles."""
     return jaccard_tiles.jaccard_groups(_documents(spark, sf_dir), size=4, percent=85)
@@ -35,5 +43,6 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
+    "op9_packing": packing,
     "op10_ngram_jaccard_join": ngram_jaccard_join,
 }
