@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import importance, jaccard_tiles, retrieval_packing, winnowing
+from repopulse.llm import chaining, importance, jaccard_tiles, retrieval_packing, winnowing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compared_with_next(_documents(spark, sf_dir))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that an earlier document has too."""
+    return chaining.passages(_documents(spark, sf_dir))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return retrieval_packing.packed(
@@ -43,6 +48,7 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
+    "op7_substring_dedup": substring_dedup,
     "op9_packing": packing,
     "op10_ngram_jaccard_join": ngram_jaccard_join,
 }
