@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import chaining, importance, jaccard_tiles, retrieval_packing, winnowing
+from repopulse.llm import (
+    chaining,
+    hilbert,
+    importance,
+    jaccard_tiles,
+    retrieval_packing,
+    winnowing,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +40,11 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.passages(_documents(spark, sf_dir))
 
 
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards along a Hilbert curve over language, source, length and id."""
+    return hilbert.sharded(_documents(spark, sf_dir), ["lang", "source", "n_chars", "doc_id"])
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return retrieval_packing.packed(
@@ -49,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
     "op7_substring_dedup": substring_dedup,
+    "op8_sharding": sharding,
     "op9_packing": packing,
     "op10_ngram_jaccard_join": ngram_jaccard_join,
 }
