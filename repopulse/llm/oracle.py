@@ -2,6 +2,82 @@
 
 from __future__ import annotations
 
+# Counts of every context by joins of all tails with the training characters; one probability a row
+# and order by a chain of joins from the shortest context to the longest.
+URL = r"""
+WITH RECURSIVE parts AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0
+        THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), split AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM parts
+), rules(host, path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), ruled AS (
+    SELECT host, path, host || path AS address, rule, verdict
+    FROM (SELECT DISTINCT host, path FROM split) s LEFT JOIN LATERAL (
+        SELECT r.host || r.path AS rule, r.verdict FROM rules r
+        WHERE ('.' || s.host) LIKE ('%.' || r.host) AND starts_with(s.path, r.path)
+        ORDER BY length(r.host || r.path) DESC LIMIT 1) ON true
+), folded AS (
+    SELECT address, verdict, left(md5(address), 1) IN ('0', '1', '2', '3') AS held FROM ruled
+), characters AS (
+    SELECT address, verdict, held,
+        repeat(chr(2), 4) || address || chr(3) AS padded, unnest(range(5, length(address) + 6)) AS i
+    FROM folded
+), contexts AS (
+    SELECT address, i, o, verdict, verdict IS NOT NULL AND NOT held AS trains,
+        substr(padded, CAST(i AS BIGINT) - o, o + 1) AS tail
+    FROM characters, range(0, 5) AS orders(o)
+), tails AS (
+    SELECT tail, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b
+    FROM contexts WHERE trains GROUP BY tail
+), befores AS (
+    SELECT length(tail) AS n, left(tail, length(tail) - 1) AS before, sum(a) AS a, sum(b) AS b
+    FROM tails GROUP BY ALL
+), wanted AS (
+    SELECT tail, coalesce(t.a, 0) AS a, coalesce(t.b, 0) AS b,
+        coalesce(f.a, 0) AS fa, coalesce(f.b, 0) AS fb
+    FROM (SELECT DISTINCT tail FROM contexts) LEFT JOIN tails t USING (tail)
+    LEFT JOIN befores f ON f.n = length(tail) AND f.before = left(tail, length(tail) - 1)
+), chances AS (
+    SELECT tail, (a + 4.0::DOUBLE * (1.0::DOUBLE / 256)) / (fa + 4.0::DOUBLE) AS pa,
+        (b + 4.0::DOUBLE * (1.0::DOUBLE / 256)) / (fb + 4.0::DOUBLE) AS pb
+    FROM wanted WHERE length(tail) = 1
+    UNION ALL
+    SELECT w.tail, (w.a + 4.0::DOUBLE * c.pa) / (w.fa + 4.0::DOUBLE),
+        (w.b + 4.0::DOUBLE * c.pb) / (w.fb + 4.0::DOUBLE)
+    FROM wanted w JOIN chances c ON length(w.tail) = length(c.tail) + 1 AND right(w.tail, -1) = c.tail
+), scored AS (
+    SELECT address, floor(sum(CAST(round(1000000 * (ln(pa) - ln(pb))) AS BIGINT))::DOUBLE
+        / (count(*) * 1000.0::DOUBLE)) AS bin
+    FROM contexts JOIN chances USING (tail) WHERE o = 4 GROUP BY address
+), held AS (
+    SELECT least(greatest(bin, -20000), 20000) AS bin, verdict
+    FROM scored JOIN folded USING (address) WHERE held AND verdict IS NOT NULL
+), gains AS (
+    SELECT c.bin,
+        count(*) FILTER (h.verdict = 'allow' AND h.bin >= c.bin)
+            * (SELECT count(*) FROM held WHERE verdict = 'block')
+        - count(*) FILTER (h.verdict = 'block' AND h.bin >= c.bin)
+            * (SELECT count(*) FROM held WHERE verdict = 'allow') AS gain
+    FROM (SELECT DISTINCT bin FROM held) c, held h GROUP BY c.bin
+), cut AS (
+    SELECT CASE WHEN count(DISTINCT verdict) < 2 THEN 0
+        ELSE (SELECT bin FROM gains ORDER BY gain DESC, bin LIMIT 1) END AS bin
+    FROM held
+)
+SELECT page_id, host, path, rule,
+    coalesce(verdict, CASE WHEN s.bin >= cut.bin THEN 'allow' ELSE 'block' END) AS verdict,
+    least(greatest(s.bin, -20000), 20000) / 1000 AS score
+FROM split JOIN ruled USING (host, path) JOIN scored s USING (address), cut
+"""
+
 # Words and their shingles by list functions, links by counting shared shingles, reachability by
 # recursion over the links.
 JACCARD = r"""
@@ -34,5 +110,6 @@ FROM sets JOIN (SELECT node, min(seen) AS least_seen FROM reach GROUP BY node) O
 """
 
 ORACLE: dict[str, str] = {
+    "op1_url_filter": URL,
     "op10_ngram_jaccard_join": JACCARD,
 }

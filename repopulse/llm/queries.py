@@ -13,6 +13,7 @@ from repopulse.llm import (
     importance,
     jaccard_tiles,
     retrieval_packing,
+    url_models,
     winnowing,
 )
 
@@ -25,6 +26,20 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents")
 
 
+URL_RULES = [
+    url_models.Rule("allow", "org/"),
+    url_models.Rule("block", "example.org/es/"),
+    url_models.Rule("block", "example.org/en/1"),
+    url_models.Rule("allow", "com/fr/"),
+    url_models.Rule("block", "com/de/"),
+]
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the address of every page."""
+    return url_models.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document and whether it is drawn."""
     return importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
@@ -58,6 +73,7 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": url_filter,
     "op4_quality_classifier": quality_classifier,
     "op6_document_fingerprints": document_fingerprints,
     "op7_substring_dedup": substring_dedup,
