@@ -12,6 +12,7 @@ from repopulse.llm import (
     hilbert,
     importance,
     jaccard_tiles,
+    posting_lists,
     retrieval_packing,
     url_models,
     winnowing,
@@ -45,6 +46,12 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return posting_lists.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text."""
     return winnowing.compared_with_next(_documents(spark, sf_dir))
@@ -75,6 +82,7 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter,
     "op4_quality_classifier": quality_classifier,
+    "op5_nearest_neighbours": nearest_neighbours,
     "op6_document_fingerprints": document_fingerprints,
     "op7_substring_dedup": substring_dedup,
     "op8_sharding": sharding,
