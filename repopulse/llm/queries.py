@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repopulse.llm import (
     chaining,
+    edit_counts,
     hilbert,
     importance,
     jaccard_tiles,
+    piece_lattice,
     posting_lists,
     retrieval_packing,
     url_models,
@@ -41,6 +44,39 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_models.judged(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, their number and checksum, and whether they decode to its text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _documents(spark, sf_dir)
+    return piece_lattice.round_trip(docs, model)
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits made from its own text.
+
+    A quarter in, five characters go; half way, twelve give way to the text's first eight; the first
+    twenty are added at the end.
+    """
+    n = F.length("text")
+
+    def edit(start, stop, text):
+        return F.struct(
+            start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"), text.alias("text")
+        )
+
+    edits = F.array(
+        edit(F.floor(n / 4), F.floor(n / 4) + 5, F.lit("")),
+        edit(F.floor(n / 2), F.floor(n / 2) + 12, F.substring("text", 1, 8)),
+        edit(n, n, F.substring("text", 1, 20)),
+    )
+    return edit_counts.counted_edits(
+        _documents(spark, sf_dir),
+        edits,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    ).drop("edited_text")
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document and whether it is drawn."""
     return importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
@@ -81,6 +117,8 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter,
+    "op2_sentencepiece": sentencepiece_round_trip,
+    "op3_token_counts": token_counts,
     "op4_quality_classifier": quality_classifier,
     "op5_nearest_neighbours": nearest_neighbours,
     "op6_document_fingerprints": document_fingerprints,
