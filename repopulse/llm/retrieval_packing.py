@@ -10,7 +10,9 @@ two. No position is padded.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,19 @@ KNOWN_WORDS = 600_000
 _encoders: dict[str, WordEncoder] = {}
 
 
+# Words of these characters are NFC already, have simple lower-case forms and no contractions, so the
+# tokenizer's own steps leave the runs below, whose ids its model gives directly.
+_PLAIN = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ÿ!-&(-;=-@\[-`{-~]+")
+_RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> list[str]:
+    """The tokenizer's letter for each byte: itself if it prints, else the next from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 class WordEncoder:
     """Token ids of whole texts, one white-space word at a time.
 
@@ -40,31 +55,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known, out = self.known, []
+        split = []
         for text in texts:
             for mark in "\n\t\r\v\f":
                 if mark in text:
                     text = text.replace(mark, " ")
-            words = text.split(" ")
-            try:
-                ids = b"".join([known[word] for word in words])
-            except KeyError:
-                self._learn([word for word in set(words) if word not in known])
-                ids = b"".join([known[word] for word in words])
-                if len(known) > KNOWN_WORDS:
-                    known.clear()
-                    known[""] = b""
-            out.append(np.frombuffer(ids, np.uint32))
+            split.append(text.split(" "))
+        self._learn(set().union(*split).difference(self.known))
+        found = self.known.__getitem__
+        out = [np.frombuffer(b"".join(map(found, words)), np.uint32) for words in split]
+        for store in (self.known, self.runs):
+            if len(store) > KNOWN_WORDS:
+                store.clear()
+        self.known[""] = b""
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, encoding in zip(words, found, strict=True):
+    def _learn(self, words: set[str]) -> None:
+        odd = []
+        for word in words:
+            if _PLAIN.fullmatch(word):
+                self.known[word] = b"".join(map(self._run, _RUN.findall(word.lower())))
+            else:
+                odd.append(word)
+        found = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        for word, encoding in zip(odd, found, strict=True):
             self.known[word] = np.array(encoding.ids, np.uint32).tobytes()
 
+    def _run(self, run: str) -> bytes:
+        ids = self.runs.get(run)
+        if ids is None:
+            text = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
+            ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            self.runs[run] = ids
+        return ids
+
 
 def encoder(path: str) -> WordEncoder:
     if path not in _encoders:
