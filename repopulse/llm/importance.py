@@ -32,7 +32,7 @@ class Settings:
 
     buckets: int = 1 << 16
     labelled: int = 20_000
-    smoothing: float = 1.0
+    smoothing: float = 16.0
     temperature: float = 1.0
     seed: int = 7
     spare: float = 0.995  # share of held-out good documents the cut must leave
