@@ -15,11 +15,16 @@ def is_blank(line: Column) -> Column:
 def is_json_object(line: Column) -> Column:
     """True for a line that is one JSON object; false for broken text, arrays and scalars.
 
-    The parser stops at the end of the first value, so the end of the line is checked as well; the
-    pattern is only tried on lines with something behind the last brace.
+    The parser stops at the end of the first value. In brackets, a line with more than one value, or
+    with anything else behind the first, is no list of one.
     """
-    ends_well = line.endswith("}") | line.rlike(r"\}\s+$")
-    return F.json_object_keys(line).isNotNull() & ends_well
+    return F.json_object_keys(line).isNotNull() & is_one_value(line)
+
+
+def is_one_value(line: Column) -> Column:
+    """True if nothing follows the line's first JSON value."""
+    listed = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
+    return F.coalesce(listed == 1, F.lit(False))
 
 
 def is_scalar(value: Column) -> Column:
@@ -30,9 +35,26 @@ def is_scalar(value: Column) -> Column:
 
 
 def scalars(fields: Column) -> Column:
-    """Scalar entries of a variant map, in order; empty when there is no map."""
+    """Scalar entries of a variant map, in order; empty when there is no map.
+
+    Of entries with one key the last counts, be it a scalar or not.
+    """
     empty = F.from_json(F.lit("{}"), VARIANT_MAP)
-    return F.coalesce(F.map_filter(fields, lambda _, value: is_scalar(value)), empty)
+    return F.coalesce(F.map_filter(last_per_key(fields), lambda _, value: is_scalar(value)), empty)
+
+
+def last_per_key(fields: Column) -> Column:
+    """A parsed JSON object may hold a key several times; only the last stays."""
+    keys = F.map_keys(fields)
+    size = F.size(keys)
+    repeats = F.size(F.array_distinct(keys)) < size
+
+    def is_last(entry: Column, i: Column) -> Column:
+        behind = F.slice(keys, i + 2, F.greatest(size - i - 1, F.lit(0)))
+        return ~F.array_contains(behind, entry["key"])
+
+    last = F.map_from_entries(F.filter(F.map_entries(fields), is_last))
+    return F.when(repeats, last).otherwise(fields)
 
 
 def slim_payload(json_text: Column) -> Column:

@@ -87,14 +87,16 @@ def misfits(raw: Column, objects: Column, typed: Column, schema: T.StructType) -
     return F.concat(*[F.coalesce(part.cast(ENTRIES), nothing) for part in parts])
 
 
-def rescued(line: Column, keys: Column, lost: Column, source_file: Column) -> Column:
+def rescued(
+    line: Column, keys: Column, alone: Column, lost: Column, source_file: Column
+) -> Column:
     """JSON text of the lost values with the file they came from; null when nothing was lost.
 
-    A line that is no JSON object at all is kept whole.
+    A line that is no JSON object at all, or not only one, is kept whole.
     """
     broken = F.array(_entry(F.lit(CORRUPT), line)).cast(ENTRIES)
     origin = F.array(_entry(F.lit("_file_path"), source_file)).cast(ENTRIES)
-    kept = F.when(keys.isNull(), broken).when(F.size(lost) > 0, lost)
+    kept = F.when(keys.isNull() | ~alone, broken).when(F.size(lost) > 0, lost)
     return F.when(kept.isNotNull(), F.to_json(_first_per_key(F.concat(kept, origin))))
 
 

@@ -62,11 +62,12 @@ def refresh(
     """Bring the stored table `name` up to date and return it.
 
     The mark is read before anything is written, and only whole date partitions are replaced, so a
-    run that dies half-way is repaired by running it again.
+    run that dies half-way is repaired by running it again. A full refresh replaces the whole table:
+    dates that left the source go.
     """
     target = None if full else scan_if_exists(spark, name, root)
     rows = rows_to_recompute(source, high_water_mark(target))
     built = build(rows)
-    replace_partitions(built, f"{root}/{name}", DATE, sort_by)
+    replace_partitions(built, f"{root}/{name}", DATE, sort_by, whole=full)
     stored = scan_if_exists(spark, name, root)
     return built if stored is None else stored  # nothing is stored while there is no row at all

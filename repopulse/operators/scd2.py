@@ -30,13 +30,15 @@ def scd2(
 
     A version ends when one of the `tracked` columns changes, nulls compared as values. All other
     columns, `sequence` included, show the latest snapshot of the version. Rows may come in any
-    order; of several rows with one (key, sequence) the greatest by `tie` counts.
+    order; of several rows with one (key, sequence) the greatest by `tie`, then by all other columns in
+    their order, counts.
 
     Ordinary keys take one shuffle and one sort. A key too large for a task is cut into time slices,
     and versions that cross a slice border are stitched together from one row per slice.
     """
-    tie = list(tie or tracked)
     columns = snapshots.columns
+    tie = list(tie or tracked)
+    tie += [c for c in columns if c not in {*keys, sequence, *tie}]
 
     def plain(rows: DataFrame) -> DataFrame:
         versions = _versions_within(rows, keys, sequence, tracked, tie)

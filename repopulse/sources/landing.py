@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from repopulse.functions import rescue
 from repopulse.functions.once import with_once
-from repopulse.functions.payload import is_blank
+from repopulse.functions.payload import is_blank, is_one_value
 from repopulse.schemas import EVENT_DDL, FETCH_DDL, QUEUE_DDL
 
 LANDED_FILES = "*.json*"
+MANIFEST = "_manifest"  # readers of landed files pass over folders with such names
+HOUR_COUNTS = "events_in bigint, events_out bigint, bad_lines bigint"
 HOUR_KEY = r"\d{4}-\d{2}-\d{2}-\d{1,2}(?=[./]|$)"
 
 
@@ -31,13 +33,14 @@ def typed_lines(lines: DataFrame, ddl: str) -> DataFrame:
         _typed=rescue.typed(line, schema),
         _objects=rescue.objects(line, schema),
         _keys=F.json_object_keys(line),
+        _alone=is_one_value(line),
     )
     typed, keys = F.col("_typed"), F.col("_keys")
     objects = F.col("_objects")
-    clean = rescue.is_clean(keys, typed, objects, schema)
+    clean = F.col("_alone") & rescue.is_clean(keys, typed, objects, schema)
     unclean = with_once(parsed, _raw=F.when(~clean, rescue.raw_texts(line)))
     checked = with_once(unclean, _lost=rescue.misfits(F.col("_raw"), objects, typed, schema))
-    leftover = rescue.rescued(line, keys, F.col("_lost"), F.col("_source_file"))
+    leftover = rescue.rescued(line, keys, F.col("_alone"), F.col("_lost"), F.col("_source_file"))
     return checked.select(
         *[typed[name].alias(name) for name in schema.names],
         leftover.alias("_rescued_data"),
@@ -84,8 +87,19 @@ def fetch_rows(lines: DataFrame) -> DataFrame:
 
 
 def read_queue_file(spark: SparkSession, path: str, limit: int) -> DataFrame:
-    """A hand-made queue, one JSON object per line in fetch order; the etag may be missing."""
-    return spark.read.schema(QUEUE_DDL).json(path).limit(limit)
+    """The first `limit` requests of a hand-made queue, one JSON object per line in fetch order.
+
+    Order is that of the files' names and of the lines in them, however the files are split. Lines
+    that name no repository take no place; the etag may be missing.
+    """
+    rows = spark.read.schema(QUEUE_DDL).json(path).where("repo_id IS NOT NULL")
+    place = [
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    ]
+    ordered = rows.select("*", *place).orderBy("_file", "_block", "_line").limit(limit)
+    return ordered.drop("_file", "_block", "_line")
 
 
 # --- hours ----------------------------------------------------------------------------------------
@@ -154,7 +168,19 @@ def keyed_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def landed_hours(spark: SparkSession, root: str) -> DataFrame:
-    return keyed_files(spark, root).select("hour_key").distinct()
+    """Hours with landed files, and those entered in the manifest, which may have left none."""
+    entered = spark.createDataFrame([], "hour_key string")
+    try:
+        entered = spark.read.schema("hour_key string").json(f"{root}/{MANIFEST}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return keyed_files(spark, root).select("hour_key").union(entered).distinct()
+
+
+def enter_hours(hours: DataFrame, root: str) -> None:
+    """Add landed hours with their counts to the manifest."""
+    hours.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
 
 
 def landed_on(spark: SparkSession, root: str, day: date) -> bool:

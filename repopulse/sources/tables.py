@@ -35,8 +35,10 @@ def rebuild(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> No
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, sort_by: list[str]) -> None:
-    """Replace only the partitions that occur in `df`; all other partitions stay as they are.
+def replace_partitions(
+    df: DataFrame, path: str, partition: str, sort_by: list[str], whole: bool = False
+) -> None:
+    """Replace only the partitions that occur in `df`; the others stay, or go too with `whole`.
 
     The rebalance hint lets adaptive execution merge small dates into one file and split a large
     date over several tasks.
@@ -45,7 +47,7 @@ def replace_partitions(df: DataFrame, path: str, partition: str, sort_by: list[s
         df.hint("rebalance", partition)
         .sortWithinPartitions(partition, *sort_by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )

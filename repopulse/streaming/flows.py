@@ -17,6 +17,7 @@ def append(
     rows: DataFrame, path: str, checkpoint: str, partition: str | None = None
 ) -> StreamingQuery:
     """Write everything available now to a parquet table, exactly once, and wait for it."""
+    keep_all_progress(rows.sparkSession)
     writer = (
         rows.writeStream.format("parquet")
         .outputMode("append")
@@ -89,8 +90,13 @@ def type_fetches(spark: SparkSession, bronze: str, table: str, checkpoint: str)
     return append(silver.FETCH_RULES.watch(rows, "silver_repo_fetches"), table, checkpoint)
 
 
+def keep_all_progress(spark: SparkSession) -> None:
+    """Let a run's query remember each of its batches; Spark would keep the last hundred only."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2**31 - 1)
+
+
 def violations(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Rows seen and violations per rule, over the batches of one run."""
+    """Rows seen and violations per rule, over all batches of one run; see keep_all_progress."""
     totals: Counter[str] = Counter()
     for progress in query.recentProgress:
         counted = progress.observedMetrics.get(name)

@@ -12,7 +12,8 @@ from repopulse.operators.ordered import HOT_ROWS
 from repopulse.operators.scd2 import scd2
 from repopulse.plans import silver
 from repopulse.schemas import BRONZE_FETCH_DDL, TRACKED_ATTRIBUTES
-from repopulse.streaming.flows import table_stream
+from repopulse.sources.tables import scan_if_exists
+from repopulse.streaming.flows import keep_all_progress, table_stream
 
 BUCKET = "bucket"
 BATCH = "batch_id"
@@ -27,6 +28,9 @@ class HistorySink:
     history that is being replaced. The result is that of a full rebuild, for late and out-of-order
     snapshots too, and a run that dies is repaired by its repetition.
 
+    The number of buckets is kept with the table, and another one is refused: it would leave a key's
+    versions in two buckets.
+
     A batch costs the log of the buckets it touches: take so many buckets that one of them is work
     for a few tasks.
     """
@@ -48,7 +52,16 @@ class HistorySink:
     def history_path(self) -> str:
         return f"{self.root}/history"
 
+    def _same_buckets(self) -> None:
+        stored = scan_if_exists(self.spark, "bucket_count", self.root)
+        if stored is None:
+            count = self.spark.range(1).select(F.lit(self.buckets).alias("buckets"))
+            count.write.mode("overwrite").parquet(f"{self.root}/bucket_count")
+        elif (kept := stored.first()[0]) != self.buckets:
+            raise ValueError(f"{self.root} has {kept} buckets, not {self.buckets}")
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._same_buckets()
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         rows = batch.withColumn(BUCKET, bucket).withColumn(BATCH, F.lit(batch_id))
         _replace(rows, self.log_path, BUCKET, BATCH)
@@ -86,6 +99,7 @@ def track_history(
     spark: SparkSession, bronze: str, sink: HistorySink, checkpoint: str
 ) -> StreamingQuery:
     """Successful fetches of bronze into the history table, as far as available."""
+    keep_all_progress(spark)
     snapshots = silver.repo_snapshots(table_stream(spark, bronze, BRONZE_FETCH_DDL))
     query = (
         silver.SNAPSHOT_RULES.watch(snapshots, "repo_snapshots")
