@@ -199,93 +199,103 @@ state AS (
   WHERE a.n = 1
 )"""
 
+# A repository's versions as one row: how many, since when, and the one that began last.
 DIM = """
+lives AS (
+  SELECT repo_id, count(*) AS version_count, min(valid_from) AS first_seen_at,
+    arg_max(history, valid_from) AS latest
+  FROM history GROUP BY repo_id HAVING bool_or(valid_to IS NULL)
+),
 dim AS (
-  SELECT h.*, v.version_count, v.first_seen_at, s.is_available, s.latest_outcome, s.last_checked_at,
-    s.stargazers_count AS total_stars, s.forks_count AS total_forks, s.open_issues_count AS issues_now,
-    s.subscribers_count AS subscribers_now, s.pushed_at AS pushed_now, s.metrics_as_of
-  FROM history h
-  JOIN (SELECT repo_id, count(*) AS version_count, min(valid_from) AS first_seen_at
-        FROM history GROUP BY repo_id) v ON h.repo_id = v.repo_id
-  LEFT JOIN state s ON h.repo_id = s.repo_id
-  WHERE h.valid_to IS NULL
+  SELECT unnest(latest), version_count, first_seen_at, state.is_available, state.latest_outcome,
+    state.last_checked_at, state.stargazers_count AS total_stars, state.forks_count AS total_forks,
+    state.open_issues_count AS issues_now, state.subscribers_count AS subscribers_now,
+    state.pushed_at AS pushed_now, state.metrics_as_of
+  FROM lives LEFT JOIN state USING (repo_id)
 )"""
 
+# Days by their age at the last day of the facts: 0 to 6 are the window, 7 to 13 the one before.
 TOP = """
-as_of AS (SELECT max(event_date) AS d FROM daily),
-recent AS (
-  SELECT repo_id, arg_max(repo_name, event_date) AS repo_name,
-    sum(CASE WHEN event_date > d - 7 THEN stars ELSE 0 END) AS now_stars,
-    sum(CASE WHEN event_date <= d - 7 THEN stars ELSE 0 END) AS prior_stars,
-    sum(CASE WHEN event_date > d - 7 THEN forks ELSE 0 END) AS now_forks
-  FROM daily, as_of WHERE event_date > d - 14 GROUP BY repo_id
-),
+as_of AS (FROM daily SELECT event_date AS d ORDER BY event_date DESC LIMIT 1),
+aged AS (SELECT daily.*, date_diff('day', event_date, d) AS age FROM daily JOIN as_of ON event_date <= d),
 top AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (ORDER BY now_stars DESC, now_forks DESC, repo_name, repo_id) AS place
-    FROM recent WHERE now_stars > 0)
-  WHERE place <= 25
+  SELECT *, row_number() OVER (ORDER BY now_stars DESC, now_forks DESC, repo_name, repo_id) AS place
+  FROM (
+    SELECT repo_id, last(repo_name ORDER BY age DESC) AS repo_name,
+      coalesce(sum(stars) FILTER (age < 7), 0) AS now_stars,
+      coalesce(sum(stars) FILTER (age >= 7), 0) AS prior_stars,
+      coalesce(sum(forks) FILTER (age < 7), 0) AS now_forks
+    FROM aged WHERE age < 14 GROUP BY repo_id)
+  WHERE now_stars > 0
+  QUALIFY place <= 25
 )"""
 
 TRENDING = f"""
 trending AS (
-  SELECT place AS trending_rank, t.repo_id, t.repo_name, CAST(d AS VARCHAR) AS as_of_date,
-    CAST(now_stars AS BIGINT) AS stars_in_window, CAST(prior_stars AS BIGINT) AS stars_prior_window,
-    CAST(now_stars - prior_stars AS BIGINT) AS star_delta,
-    round((now_stars - prior_stars) / nullif(CAST(prior_stars AS DOUBLE), 0) * 100, 1) AS star_growth_pct,
-    CAST(now_forks AS BIGINT) AS forks_in_window, language, description,
-    strftime(repo_created_at, {T}) AS repo_created_at, total_stars,
-    repo_created_at >= CAST(d - 30 AS TIMESTAMP) AS is_new_repo
-  FROM top t CROSS JOIN as_of LEFT JOIN dim ON t.repo_id = dim.repo_id
+  SELECT place AS trending_rank, top.repo_id, top.repo_name, CAST(d AS VARCHAR) AS as_of_date,
+    now_stars::BIGINT AS stars_in_window, prior_stars::BIGINT AS stars_prior_window,
+    (now_stars - prior_stars)::BIGINT AS star_delta,
+    CASE WHEN prior_stars > 0 THEN round(100 * (now_stars::DOUBLE - prior_stars) / prior_stars, 1) END
+      AS star_growth_pct,
+    now_forks::BIGINT AS forks_in_window, dim.language, dim.description,
+    strftime(dim.repo_created_at, {T}) AS repo_created_at, dim.total_stars,
+    date_diff('microsecond', dim.repo_created_at, d::TIMESTAMP) <= 30 * 86400000000 AS is_new_repo
+  FROM top LEFT JOIN dim USING (repo_id) JOIN as_of ON true
 )"""
 
+# A language is the list of its starred repositories, best first; all figures come from the list.
 LANGUAGES = """
-starred AS (
-  SELECT repo_id, sum(stars) AS n FROM daily, as_of WHERE event_date > d - 7 GROUP BY repo_id HAVING sum(stars) > 0
+shelves AS (
+  SELECT coalesce(dim.language, 'No language') AS language,
+    list({'n': n, 'id': dim.repo_id, 'name': dim.full_name} ORDER BY n DESC, dim.repo_id) AS repos
+  FROM dim JOIN (SELECT repo_id, sum(stars) AS n FROM aged WHERE age < 7 GROUP BY ALL) USING (repo_id)
+  WHERE n > 0 GROUP BY ALL
 ),
-languages AS (
-  SELECT coalesce(language, 'No language') AS language, count(*) AS repos_with_stars, sum(n) AS total,
-    count(top.repo_id) AS trending_repos, max(n) AS top_repo_stars,
-    first(full_name ORDER BY n DESC, dim.repo_id) AS top_repo
-  FROM starred JOIN dim ON starred.repo_id = dim.repo_id LEFT JOIN top ON starred.repo_id = top.repo_id
-  GROUP BY 1
+weighed AS (
+  SELECT language, repos, list_sum(list_transform(repos, lambda r: r.n)) AS total,
+    (SELECT list(repo_id) FROM top) AS best
+  FROM shelves
 ),
 ranked_languages AS (
-  SELECT row_number() OVER (ORDER BY total DESC, language) AS language_rank, language, repos_with_stars,
-    CAST(total AS BIGINT) AS stars_in_window,
-    round(100 * CAST(total AS DOUBLE) / sum(total) OVER (), 1) AS stars_share_pct, trending_repos,
-    top_repo, CAST(top_repo_stars AS BIGINT) AS top_repo_stars, CAST(d AS VARCHAR) AS as_of_date
-  FROM languages, as_of
+  SELECT (SELECT count(*) FROM weighed w WHERE w.total > weighed.total
+      OR w.total = weighed.total AND w.language <= weighed.language) AS language_rank,
+    language, len(repos) AS repos_with_stars, CAST(total AS BIGINT) AS stars_in_window,
+    round(100 * CAST(total AS DOUBLE) / (SELECT sum(total) FROM weighed), 1) AS stars_share_pct,
+    len(list_filter(repos, lambda r: list_contains(best, r.id))) AS trending_repos,
+    repos[1].name AS top_repo, CAST(repos[1].n AS BIGINT) AS top_repo_stars,
+    (SELECT CAST(d AS VARCHAR) FROM as_of) AS as_of_date
+  FROM weighed
 )"""
 
+# Each source gives (source, place); a repository's best pair decides its reason and its turn.
 QUEUE = """
-offered AS (
-  SELECT repo_id, repo_name, 'trending' AS reason, 1 AS grp, place FROM top
+wishes AS (
+  SELECT repo_id, repo_name AS shown, 1 AS source, place FROM top
   UNION ALL
-  SELECT * FROM (
-    SELECT repo_id, repo_name, 'most_active', 2, row_number() OVER (
+  (SELECT repo_id, repo_name, 2, row_number() OVER (
       ORDER BY unique_human_actors DESC, total_events DESC, repo_id) AS place
-    FROM daily, as_of WHERE event_date = d AND unique_human_actors > 0) WHERE place <= 40
+    FROM aged WHERE age = 0 AND unique_human_actors > 0 QUALIFY place <= 40)
   UNION ALL
-  SELECT * FROM (
-    SELECT s.repo_id, dim.full_name, 'refresh', 3, row_number() OVER (
-      ORDER BY s.last_checked_at, s.repo_id) AS place
-    FROM state s JOIN dim ON s.repo_id = dim.repo_id, as_of
-    WHERE s.is_available AND s.last_checked_at < CAST(d AS TIMESTAMP) - INTERVAL 7 DAY) WHERE place <= 30
+  (SELECT repo_id, dim.full_name, 3, row_number() OVER (ORDER BY state.last_checked_at, repo_id) AS place
+    FROM state JOIN dim USING (repo_id)
+    WHERE state.is_available
+      AND date_diff('microsecond', state.last_checked_at, (SELECT d FROM as_of)::TIMESTAMP) > 7 * 86400000000
+    QUALIFY place <= 30)
+),
+turns AS (
+  SELECT repo_id, min([source, place]) AS turn, arg_min(shown, [source, place]) AS shown
+  FROM wishes GROUP BY repo_id
 ),
-allowed AS (
-  SELECT o.*, coalesce(dim.full_name, o.repo_name) AS request_name, s.last_etag, s.last_checked_at,
-    row_number() OVER (PARTITION BY o.repo_id ORDER BY grp, place) AS n
-  FROM offered o CROSS JOIN as_of
-  LEFT JOIN state s ON o.repo_id = s.repo_id
-  LEFT JOIN dim ON o.repo_id = dim.repo_id
-  WHERE NOT coalesce(s.latest_outcome IN ('not_found', 'blocked')
-    AND s.last_checked_at >= CAST(d AS TIMESTAMP) - INTERVAL 30 DAY, false)
+barred AS (
+  SELECT repo_id FROM state WHERE latest_outcome IN ('blocked', 'not_found')
+    AND date_diff('microsecond', last_checked_at, (SELECT d FROM as_of)::TIMESTAMP) <= 30 * 86400000000
 ),
 queue AS (
-  SELECT row_number() OVER (ORDER BY grp, place, repo_id) AS priority, repo_id, request_name AS repo_name,
-    reason, last_etag AS etag, last_checked_at
-  FROM allowed WHERE n = 1
+  SELECT row_number() OVER (ORDER BY turn, repo_id) AS priority, repo_id,
+    coalesce((SELECT full_name FROM dim WHERE dim.repo_id = turns.repo_id), shown) AS repo_name,
+    ['trending', 'most_active', 'refresh'][turn[1]] AS reason, state.last_etag AS etag,
+    state.last_checked_at
+  FROM turns LEFT JOIN state USING (repo_id) ANTI JOIN barred USING (repo_id)
 )"""
 
 FEED = """
@@ -336,16 +346,19 @@ counters AS (
   GROUP BY ALL
 )"""
 
+# A version must end when the next one of its repository begins, looked up one by one.
 CHAIN = """
 offences AS (
-  SELECT repo_id FROM (
-    SELECT *, lead(valid_from) OVER (PARTITION BY repo_id ORDER BY valid_from) AS next_from FROM history)
-  WHERE next_from IS NOT NULL AND (valid_to IS NULL OR valid_to <> next_from)
+  SELECT h.repo_id FROM history h ASOF JOIN history later
+    ON h.repo_id = later.repo_id AND h.valid_from < later.valid_from
+  WHERE h.valid_to IS DISTINCT FROM later.valid_from
   UNION ALL
-  SELECT repo_id FROM history GROUP BY repo_id HAVING count(*) FILTER (valid_to IS NULL) <> 1
+  SELECT repo_id FROM (SELECT DISTINCT repo_id FROM history) r
+  WHERE (SELECT count(*) FROM history h WHERE h.repo_id = r.repo_id AND h.valid_to IS NULL) <> 1
 )"""
 
 
+
 def query(select: str, *parts: str) -> str:
     """A statement over the named parts, in order, each once."""
     return f"WITH {','.join(dict.fromkeys(parts))}\n{select}"
@@ -421,25 +434,28 @@ CONTRACT = "\nUNION ALL ".join(
     ]
 )
 
+# For each day with a good check: the last value known of each figure up to that check.
 SHOTS = """
-checks AS (
-  SELECT repo_id, fetched_at, etag, fetch_outcome, CAST(fetched_at AS DATE) AS snapshot_date,
-    last_value(stargazers_count IGNORE NULLS) OVER w AS stargazers_count,
-    last_value(forks_count IGNORE NULLS) OVER w AS forks_count,
-    last_value(open_issues_count IGNORE NULLS) OVER w AS open_issues_count,
-    last_value(subscribers_count IGNORE NULLS) OVER w AS subscribers_count
+good AS (
+  SELECT *, [epoch_us(fetched_at)::VARCHAR, coalesce(etag, '')] AS turn
   FROM fetches WHERE fetch_outcome IN ('ok', 'not_modified')
-  WINDOW w AS (PARTITION BY repo_id ORDER BY fetched_at, etag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 ),
-last_checks AS (
-  SELECT *, row_number() OVER (PARTITION BY repo_id, snapshot_date ORDER BY fetched_at DESC, etag DESC) AS n FROM checks
+days AS (
+  SELECT repo_id, CAST(fetched_at AS DATE) AS snapshot_date, max(fetched_at) AS snapshot_at,
+    arg_max(fetch_outcome, turn) = 'not_modified' AS is_carried_forward
+  FROM good GROUP BY ALL
+),
+known AS (
+  SELECT days.repo_id, snapshot_date, snapshot_at, is_carried_forward,
+    arg_max(stargazers_count, turn) AS stargazers_count, arg_max(forks_count, turn) AS forks_count,
+    arg_max(open_issues_count, turn) AS open_issues_count,
+    arg_max(subscribers_count, turn) AS subscribers_count
+  FROM days JOIN good ON good.repo_id = days.repo_id AND good.fetched_at <= snapshot_at
+  GROUP BY ALL HAVING arg_max(stargazers_count, turn) IS NOT NULL
 ),
 shots AS (
-  SELECT snapshot_date, repo_id, stargazers_count, forks_count, open_issues_count, subscribers_count,
-    fetch_outcome = 'not_modified' AS is_carried_forward,
-    stargazers_count - lag(stargazers_count) OVER (PARTITION BY repo_id ORDER BY snapshot_date) AS stars_change,
-    fetched_at AS snapshot_at
-  FROM last_checks WHERE n = 1 AND stargazers_count IS NOT NULL
+  SELECT k.*, k.stargazers_count - p.stargazers_count AS stars_change
+  FROM known k ASOF LEFT JOIN known p ON k.repo_id = p.repo_id AND k.snapshot_date > p.snapshot_date
 )"""
 
 PERCENT = "round(100 * CAST({0} AS DOUBLE) / nullif({1}, 0), 1)"
