@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from difflib import SequenceMatcher
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
@@ -55,3 +56,14 @@ def repeated_words(rows: list[tuple[int, str | None]], length: int) -> dict[int,
                 hit[at : at + length] = [True] * length
         out[i] = hit
     return out
+
+
+def best_match(i: int, texts: dict[int, str | None]) -> float:
+    """The share of a text's words that lie, in order, in the earlier text most like it."""
+    own, grams = words(texts[i]), shingle_set(texts[i], 6)
+    best = 0.0
+    for j, text in texts.items():
+        if j < i and grams & shingle_set(text, 6):
+            found = SequenceMatcher(None, own, words(text), autojunk=False)
+            best = max(best, sum(m.size for m in found.get_matching_blocks()) / len(own))
+    return best
