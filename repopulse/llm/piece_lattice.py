@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from repopulse.llm.grams import lists, small_batches, span_hashes
 
 MARK = "▁"
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 800_000
 GROUP = 1 << 18  # cells of a fold: words times length
 BYTE = "<0x{:02X}>"
 
@@ -112,8 +112,13 @@ def edges(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return table, sizes
 
 
-def fold(table: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> list[np.ndarray]:
-    """The path of each word's lattice, as piece ids (single characters above them)."""
+def fold(
+    table: np.ndarray, sizes: np.ndarray, pieces: Pieces
+) -> tuple[np.ndarray, np.ndarray]:
+    """The paths of all words' lattices in a row, and where each ends.
+
+    Paths are piece ids; single characters that are no piece have theirs above the piece ids.
+    """
     n, ends, longest = table.shape
     last = np.full((n, ends), -1, np.int64)
     taken = np.zeros((n, ends), np.int64)
@@ -141,10 +146,8 @@ def fold(table: np.ndarray, sizes: np.ndarray, pieces: Pieces) -> list[np.ndarra
             break
         found.append(np.where(on, last[rows, at], -1))
         at = at - np.where(on, taken[rows, at], 0)
-    if not found:
-        return [np.zeros(0, np.int64)] * n
-    path = np.stack(found[::-1], axis=1)
-    return [row[row >= 0] for row in path]
+    path = np.stack(found[::-1], axis=1) if found else np.zeros((n, 0), np.int64)
+    return path[path >= 0], np.cumsum((path >= 0).sum(axis=1))
 
 
 class Encoder:
@@ -180,7 +183,7 @@ class Encoder:
         new = {word for words in split for word in words if word not in known}
         self._learn(sorted(new, key=len))
         for words in split:
-            out.append(np.frombuffer(b"".join([known[word] for word in words]), np.uint32))
+            out.append(np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32))
         if len(known) > KNOWN_WORDS:
             known.clear()
         return out
@@ -194,13 +197,17 @@ class Encoder:
                 stop += 1
             group = [word.replace(" ", MARK) for word in words[at:stop]]
             table, sizes = edges(group, self.pieces)
-            for word, path in zip(words[at:stop], fold(table, sizes, self.pieces), strict=True):
-                self.known[word] = self._ids(path)
+            path, ends = fold(table, sizes, self.pieces)
+            whole = path.astype(np.uint32).tobytes()
+            single = np.append(0, np.cumsum(path >= self.pieces.size))
+            start = 0
+            for word, end in zip(words[at:stop], ends.tolist(), strict=True):
+                plain = single[start] == single[end]
+                self.known[word] = whole[4 * start : 4 * end] if plain else self._ids(path[start:end])
+                start = end
             at = stop
 
     def _ids(self, path: np.ndarray) -> bytes:
-        if (path < self.pieces.size).all():
-            return path.astype(np.uint32).tobytes()
         ids: list[int] = []
         for i in path.tolist():
             if i < self.pieces.size:
@@ -210,8 +217,7 @@ class Encoder:
         return np.array(ids, np.uint32).tobytes()
 
     def decode(self, ids: list[int]) -> str:
-        out = self.pieces.out
-        text = b"".join([out[i] for i in ids]).decode("utf-8", "replace")
+        text = b"".join(map(self.pieces.out.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
