@@ -130,12 +130,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for work that is heavy per row on a table that is a single small file.
-
-    A table of many files has enough splits and passes untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows over all cores, for work that is heavy per row on a table that may be one small file."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _named(columns: dict[str, str]) -> list[str]:

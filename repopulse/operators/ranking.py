@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from repopulse.session import cut_lineage
 
-SPREAD = 256
-ONE_TASK_ROWS = 100_000
+# Up to this k Spark may filter a row number before the shuffle.
+GROUP_LIMIT_KEY = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_ranked(df: DataFrame, n: int, order: list[Column], rank: str) -> DataFrame:
@@ -21,21 +21,14 @@ def top_ranked(df: DataFrame, n: int, order: list[Column], rank: str) -> DataFra
     return kept.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-def number_all(
-    df: DataFrame, order: list[Column], rank: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """All rows of a small-looking result, numbered from 1 by `order`, a total order.
+def number_all(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
+    """All rows of a result of any size, numbered from 1 by `order`, a total order.
 
-    The result is computed once, and its size is looked at. Few rows are numbered in one task. Many
-    are sorted into ranges, numbered within each, and shifted by the rows of the ranges before,
-    which takes one row per range.
+    Rows are sorted into ranges, numbered within each, and shifted by the rows of the ranges before,
+    which takes one row per range. The sorted rows are kept, so ranges and shifts belong together.
     """
-    result = cut_lineage(df)
-    if result.count() <= one_task_rows:
-        return result.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-
     # The id holds the number of the range in its upper bits and the place in it in the lower 33.
-    placed = cut_lineage(result.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    placed = cut_lineage(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.withColumn("_range", F.shiftright("_id", 33))
     place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,13 +40,17 @@ def number_all(
 
 
 def kth_smallest(
-    df: DataFrame, keys: list[str], value: str, k: int, name: str, spread: int = SPREAD
+    df: DataFrame, keys: list[str], value: str, k: int, name: str, spread: int | None = None
 ) -> DataFrame:
-    """Per key the k-th smallest distinct `value` as column `name`; keys with fewer have no row.
+    """Per key the k-th smallest `value`, copies counted, as column `name`; none for fewer rows.
 
-    A key is first cut into `spread` parts that keep k rows each, so a key of any size leaves at
-    most k * spread rows for its final task.
+    A key is first cut into `spread` parts (as many as there are shuffle partitions) that keep k rows
+    each, and before that each task keeps k rows of a part, so a key of any size leaves at most
+    k * spread rows for its final task.
     """
+    conf = df.sparkSession.conf
+    spread = spread or int(conf.get("spark.sql.shuffle.partitions"))
+    conf.set(GROUP_LIMIT_KEY, max(k, int(conf.get(GROUP_LIMIT_KEY, "1000"))))
     part = F.pmod(F.xxhash64(value), F.lit(spread))
     parts = df.select(*keys, value).withColumn("_part", part)
     in_part = Window.partitionBy(*keys, "_part").orderBy(value)

@@ -26,14 +26,15 @@ def lookup(wanted: DataFrame, table: DataFrame, bound: int, key: str = "repo_id"
 
 
 def salted_left_join(
-    rows: DataFrame, facts: DataFrame, key: str, salt_by: str, salts: int = 32
+    rows: DataFrame, facts: DataFrame, key: str, salt_by: str, salts: int | None = None
 ) -> DataFrame:
     """Left join of many rows to one fact row per key, for keys that may hold very many rows.
 
     Each fact is repeated once per salt and the rows of a key are spread over the salts by another
-    column, so a key is shared by that many tasks. If Spark finds the facts small enough it
-    broadcasts them all the same.
+    column, so a key is shared by that many tasks: as many as there are shuffle partitions. If Spark
+    finds the facts small enough it broadcasts them all the same.
     """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int")
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = facts.select("*", every_salt.alias("_salt"))

@@ -257,12 +257,11 @@ def test_top_ranked(spark):
     assert [tuple(row) for row in top.collect()] == [(2, 2, 1), (5, 2, 2), (8, 2, 3), (11, 2, 4)]
 
 
-@pytest.mark.parametrize("one_task_rows", [1_000, 10])
-def test_number_all(spark, one_task_rows):
+def test_number_all(spark):
     values = list(range(500))
     random.Random(3).shuffle(values)
     df = spark.createDataFrame([(v, f"n{v}") for v in values], "v bigint, name string").repartition(7)
-    numbered = number_all(df, [F.desc("v")], "place", one_task_rows)
+    numbered = number_all(df, [F.desc("v")], "place")
     assert {(r.v, r.name, r.place) for r in numbered.collect()} == {
         (v, f"n{v}", 500 - v) for v in values
     }
