@@ -58,9 +58,13 @@ def refresh(
     root: str,
     sort_by: list[str],
     full: bool = False,
+    beside: str | None = None,
 ) -> DataFrame:
     """Bring the stored table `name` up to date and return it.
 
+    With `beside` the recomputed dates are written to that folder and the stored table stays as it
+    is; what is returned is the table as it would be. `publish` then takes the dates over.
+
     The mark is read before anything is written, and only whole date partitions are replaced, so a
     run that dies half-way is repaired by running it again. A full refresh replaces the whole table:
     dates that left the source go.
@@ -68,6 +72,21 @@ def refresh(
     target = None if full else scan_if_exists(spark, name, root)
     rows = rows_to_recompute(source, high_water_mark(target))
     built = build(rows)
+    if beside:
+        replace_partitions(built, f"{beside}/{name}", DATE, sort_by, whole=True)
+        recomputed = scan_if_exists(spark, name, beside)
+        if recomputed is None:
+            return built if target is None else target
+        return recomputed if target is None else merge_dates(target, recomputed)
     replace_partitions(built, f"{root}/{name}", DATE, sort_by, whole=full)
     stored = scan_if_exists(spark, name, root)
     return built if stored is None else stored  # nothing is stored while there is no row at all
+
+
+def publish(
+    spark: SparkSession, name: str, root: str, beside: str, sort_by: list[str], full: bool
+) -> None:
+    """Take over the dates that `refresh` has written beside the table."""
+    recomputed = scan_if_exists(spark, name, beside)
+    if recomputed is not None:
+        replace_partitions(recomputed, f"{root}/{name}", DATE, sort_by, whole=full)

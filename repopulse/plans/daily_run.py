@@ -10,8 +10,8 @@ from repopulse.operators.quality import failed
 from repopulse.operators.scd2 import END, START
 from repopulse.params import Params
 from repopulse.plans import silver
-from repopulse.plans.contract import contract_results
-from repopulse.plans.gold import build_gold
+from repopulse.plans.contract import contract_results, source_freshness
+from repopulse.plans.gold import build_gold, publish_gold
 from repopulse.schemas import BRONZE_EVENT_DDL, BRONZE_FETCH_DDL
 from repopulse.session import prepare
 from repopulse.sources.landing import landed_files
@@ -28,6 +28,7 @@ class ContractBroken(Exception):
 class RunResult:
     tables: dict[str, DataFrame]
     tests: DataFrame
+    freshness: DataFrame
     violations: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
@@ -89,12 +90,23 @@ def run(
     full: bool = False,
     now: Column | None = None,
 ) -> RunResult:
-    """Load, rebuild gold, test. Raises when a test of severity `error` fails."""
+    """Load, build gold beside the published tables, test, publish.
+
+    Raises when a test of severity `error` fails; what was published before then stays as it was.
+    Tests and freshness are run once, and their few rows are kept.
+    """
     prepare(spark)
     violations = load(spark, event_files, fetch_files, root)
-    tables = build_gold(spark, staged(spark, root), f"{root}/gold", params, full)
-    tests = contract_results(tables, now)
+    gold, beside = f"{root}/gold", f"{root}/gold_next"
+    tables = build_gold(spark, staged(spark, root), gold, params, full, beside=beside)
+    tests = _kept(contract_results(tables, now))
+    fresh = _kept(source_freshness(tables["events"], tables["repo_fetches"], now))
     offences = [row.test for row in failed(tests).collect()]
     if offences:
         raise ContractBroken(", ".join(offences))
-    return RunResult(tables, tests, violations)
+    return RunResult(publish_gold(spark, tables, gold, beside, full), tests, fresh, violations)
+
+
+def _kept(report: DataFrame) -> DataFrame:
+    """A report of a few rows, computed once."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from repopulse.operators import incremental
 from repopulse.params import Params
 from repopulse.plans import activity, refresh_queue, repos, trending
-from repopulse.sources.tables import rebuild, scan
+from repopulse.sources.tables import rebuild, scan, scan_if_exists
 
 STAGED = ("events", "repo_fetches", "repo_history")
+# How the stored tables are laid out: by date and sorted in it, or whole and clustered.
+DATED = {"repo_daily_activity": ["repo_id"], "hourly_activity": ["event_hour", "event_type"]}
+WHOLE = {
+    "latest_fetch": ["repo_id"],
+    "repo_snapshot_daily": ["snapshot_date", "repo_id"],
+    "repo_dim": ["repo_id"],
+    "trending_ranks": None,
+    "trending_repos": None,
+    "trending_languages": None,
+    "refresh_queue": None,
+}
 
 
 def build_gold(
@@ -23,9 +35,13 @@ def build_gold(
     full: bool = False,
     as_of: Column | None = None,
     queued_at: Column | None = None,
+    beside: str | None = None,
 ) -> dict[str, DataFrame]:
     """All tables by name, staged ones included.
 
+    With `beside` everything new is written to that folder and the tables below `root` stay as they
+    are until `publish_gold`.
+
     The activity facts are brought up to date by changed date; the others are small next to the
     events and are rebuilt. Every table is read back from storage by those that depend on it, so
     nothing is computed twice and a lost executor costs one table at most. Tables that do not
@@ -34,32 +50,28 @@ def build_gold(
     tables = dict(staged)
     events, fetches, history = (staged[name] for name in STAGED)
 
-    def store(name: str, df: DataFrame, cluster_by: list[str] | None = None) -> DataFrame:
-        rebuild(df, f"{root}/{name}", cluster_by)
-        return scan(spark, name, root)
+    def store(name: str, df: DataFrame) -> DataFrame:
+        rebuild(df, f"{beside or root}/{name}", WHOLE[name])
+        return scan(spark, name, beside or root)
 
-    def upkeep(name: str, build: Callable[[DataFrame], DataFrame], sort_by: list[str]) -> DataFrame:
-        return incremental.refresh(spark, events, build, name, root, sort_by, full)
+    def upkeep(name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return incremental.refresh(spark, events, build, name, root, DATED[name], full, beside)
 
     _side_by_side(
         tables,
         repo_daily_activity=lambda: upkeep(
-            "repo_daily_activity", activity.repo_daily_activity, ["repo_id"]
-        ),
-        hourly_activity=lambda: upkeep(
-            "hourly_activity", activity.hourly_activity, ["event_hour", "event_type"]
+            "repo_daily_activity", activity.repo_daily_activity
         ),
-        latest_fetch=lambda: store("latest_fetch", repos.latest_fetch(fetches), ["repo_id"]),
+        hourly_activity=lambda: upkeep("hourly_activity", activity.hourly_activity),
+        latest_fetch=lambda: store("latest_fetch", repos.latest_fetch(fetches)),
         repo_snapshot_daily=lambda: store(
-            "repo_snapshot_daily",
-            repos.repo_snapshot_daily(fetches),
-            ["snapshot_date", "repo_id"],
+            "repo_snapshot_daily", repos.repo_snapshot_daily(fetches)
         ),
     )
     daily, state = tables["repo_daily_activity"], tables["latest_fetch"]
     _side_by_side(
         tables,
-        repo_dim=lambda: store("repo_dim", repos.repo_dim(history, state, as_of), ["repo_id"]),
+        repo_dim=lambda: store("repo_dim", repos.repo_dim(history, state, as_of)),
         trending_ranks=lambda: store("trending_ranks", trending.trending_ranks(daily, params)),
     )
     ranks, dim = tables["trending_ranks"], tables["repo_dim"]
@@ -79,6 +91,29 @@ def build_gold(
     return tables
 
 
+def publish_gold(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, beside: str, full: bool = False
+) -> dict[str, DataFrame]:
+    """Take over what `build_gold` has written beside the tables; returns all tables by name.
+
+    Only recomputed dates and the small whole tables are written again.
+    """
+
+    def dated(name: str) -> DataFrame:
+        incremental.publish(spark, name, root, beside, DATED[name], full)
+        stored = scan_if_exists(spark, name, root)
+        return tables[name] if stored is None else stored
+
+    def whole(name: str) -> DataFrame:
+        rebuild(scan(spark, name, beside), f"{root}/{name}", WHOLE[name])
+        return scan(spark, name, root)
+
+    published = dict(tables)
+    jobs = {name: partial(dated, name) for name in DATED}
+    _side_by_side(published, **jobs, **{name: partial(whole, name) for name in WHOLE})
+    return published
+
+
 def _side_by_side(tables: dict[str, DataFrame], **jobs: Callable[[], DataFrame]) -> None:
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         started = {name: pool.submit(job) for name, job in jobs.items()}

@@ -31,9 +31,14 @@ def append(
     return query
 
 
-def table_stream(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """New rows of a stored append-only table."""
-    return spark.readStream.schema(schema).parquet(path)
+def table_stream(
+    spark: SparkSession, path: str, schema: StructType | str, max_files: int | None = None
+) -> DataFrame:
+    """New rows of a stored append-only table; `max_files` bounds a batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def load_events(
@@ -68,14 +73,19 @@ def load_fetches(
 
 
 def type_events(
-    spark: SparkSession, bronze: str, table: str, checkpoint: str, within: str | None = None
+    spark: SparkSession,
+    bronze: str,
+    table: str,
+    checkpoint: str,
+    within: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Bronze events to silver, one folder per date so that reports read few dates.
 
     Repeated event ids are kept. `within` (an interval such as `2 hours`) drops the later copies
     that arrive that close together in event time; off unless asked for.
     """
-    rows = silver.type_events(table_stream(spark, bronze, BRONZE_EVENT_DDL))
+    rows = silver.type_events(table_stream(spark, bronze, BRONZE_EVENT_DDL, max_files))
     checked = silver.EVENT_RULES.watch(rows, "silver_events")
     if within:
         checked = checked.withWatermark("created_at", within).dropDuplicatesWithinWatermark(

@@ -326,6 +326,11 @@ def test_upkeep_equals_full_rebuild_after_late_batches(spark, tmp_path):
     assert same(stored, repo_daily_activity(source))
     stored = incremental.refresh(spark, source, repo_daily_activity, "daily", root, ["repo_id"], full=True)
     assert same(stored, repo_daily_activity(source))
+    # A full refresh from a source that has lost dates loses them too.
+    some = source.where("event_date = '2026-09-01'")
+    assert 0 < some.count() < source.count()
+    stored = incremental.refresh(spark, some, repo_daily_activity, "daily", root, ["repo_id"], full=True)
+    assert same(stored, repo_daily_activity(some))
 
 
 def test_only_changed_dates_are_recomputed(spark):

@@ -237,3 +237,54 @@ def test_daily_run(spark, site):
         rebuilt = build(staged)
         stored = third.tables[name].select(*rebuilt.columns)
         assert stored.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(stored).isEmpty()
+
+
+def test_a_broken_contract_leaves_the_published_tables(spark, site):
+    events, repos, lake = site
+    now = F.lit("2026-09-21").cast("timestamp")
+    land(events / "d1", "a", *[event(n, "2026-09-20T05:00:00Z") for n in range(9)])
+    first = daily_run.run(spark, str(events), str(repos), lake, PARAMS, now=now)
+    assert {r.source: r.status for r in first.freshness.collect()}.keys() == {"events", "repo_fetches"}
+    tables = ("repo_daily_activity", "hourly_activity", "trending_repos", "refresh_queue")
+    before = {t: sorted(spark.read.parquet(f"{lake}/gold/{t}").collect(), key=repr) for t in tables}
+    # A negative star count breaks the contract of the daily snapshots.
+    land(events / "d2", "b", *[event(n, "2026-09-21T05:00:00Z") for n in range(20, 30)])
+    land(repos / "2026-09-21", "r", fetch(1, "2026-09-21T03:00:00Z", stars=-5))
+    with pytest.raises(daily_run.ContractBroken):
+        daily_run.run(spark, str(events), str(repos), lake, PARAMS, now=now)
+    after = {t: sorted(spark.read.parquet(f"{lake}/gold/{t}").collect(), key=repr) for t in tables}
+    assert before == after and before["repo_daily_activity"]
+
+
+def test_violations_of_every_batch_are_counted(spark, site):
+    landed, _, lake = site
+    for n in range(6):
+        land(landed, f"h{n}", event(n, "2026-09-20T01:00:00Z"), {"id": None})
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    flows.load_events(spark, str(landed), f"{lake}/bronze", f"{lake}/_b", max_files=1)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    query = flows.type_events(
+        spark, f"{lake}/bronze", f"{lake}/silver", f"{lake}/_s", max_files=1
+    )
+    assert len(query.recentProgress) > 2
+    assert flows.violations(query, "silver_events")["rows"] == 12
+    assert flows.violations(query, "silver_events")["valid_event_id"] == 6
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    rows = spark.createDataFrame([("x", 1, "a")], "k string, at bigint, a string")
+    options = dict(keys=["k"], sequence="at", tracked=["a"])
+    HistorySink(spark, str(tmp_path), buckets=4, **options)(rows, 0)
+    HistorySink(spark, str(tmp_path), buckets=4, **options)(rows, 1)
+    with pytest.raises(ValueError):
+        HistorySink(spark, str(tmp_path), buckets=7, **options)(rows, 2)
+
+
+def test_equal_moments_are_decided_by_all_columns(spark):
+    from repopulse.operators.scd2 import scd2
+
+    rows = [("x", 1, "same", "A"), ("x", 1, "same", "B")]
+    ddl = "k string, at bigint, note string, a string"
+    for order in (rows, rows[::-1]):
+        found = scd2(spark.createDataFrame(order, ddl), ["k"], "at", ["a"], ["note"])
+        assert [r.a for r in found.collect()] == ["B"]
