@@ -198,7 +198,7 @@ FOUND = "k1 bigint, k2 bigint, score double, ids array<bigint>"
 
 
 def _search(queries: pa.Table, held: pa.Table, k: int) -> pa.Table:
-    """The k best of some vectors for each of some queries."""
+    """The k best of some vectors for each of some queries, as far as they reach its bound."""
     if not queries.num_rows or not held.num_rows:
         return pa.table(
             [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()))],
@@ -209,13 +209,14 @@ def _search(queries: pa.Table, held: pa.Table, k: int) -> pa.Table:
     near, score = best_of(
         _matrix(queries.column("vector")), _matrix(held.column("vector")), first_ids, k
     )
-    whose = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
+    bound = queries.column("bound").to_numpy()
+    row, place = np.nonzero(score >= bound[:, None])
     return pa.table(
         [
-            queries.column("k1").take(whose),
-            queries.column("k2").take(whose),
-            pa.array(score.reshape(-1)),
-            ids.take(pa.array(near.reshape(-1))),
+            queries.column("k1").take(pa.array(row)),
+            queries.column("k2").take(pa.array(row)),
+            pa.array(score[row, place]),
+            ids.take(pa.array(near[row, place])),
         ],
         names=["k1", "k2", "score", "ids"],
     )
@@ -335,11 +336,12 @@ def nearest(
                 rows, cells = np.nonzero(gap <= ratio * gap.min(axis=1)[:, None])
                 table = pa.Table.from_batches([batch]).take(pa.array(rows + at))
                 table = table.append_column("list", pa.array(cells.astype(np.int32)))
+                table = table.append_column("home", pa.array(cells == gap.argmin(axis=1)[rows]))
                 yield from table.combine_chunks().to_batches()
 
     key = "k1 bigint, k2 bigint, vector array<float>"
     posted = stored(held.mapInArrow(place, f"{key}, ids array<bigint>, list int"))
-    routed = stored(asked.mapInArrow(route, f"{key}, list int"))
+    routed = stored(asked.mapInArrow(route, f"{key}, list int, home boolean"))
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         count = F.ceil(F.count("*") / settings.block).cast("int")
@@ -366,13 +368,24 @@ def nearest(
         "k1",
         "k2",
         "vector",
+        "home",
     )
     tile = ["list", "i", "j"]
 
     def search(asking: pa.Table, holding: pa.Table) -> pa.Table:
         return _search(asking, holding, k)
 
-    found = routed.groupBy(*tile).cogroup(posted.groupBy(*tile)).applyInArrow(search, FOUND)
+    def searched(asking: DataFrame) -> DataFrame:
+        return asking.groupBy(*tile).cogroup(posted.groupBy(*tile)).applyInArrow(search, FOUND)
+
+    # What a query finds in its nearest list bounds what is worth returning from the others.
+    none = F.lit(float("-inf"))
+    near = stored(searched(routed.where("home").withColumn("bound", none)))
+    order = Window.partitionBy("k1", "k2").orderBy(F.desc("score"))
+    last = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == k)
+    bounds = last.select("k1", "k2", F.col("score").alias("bound"))
+    others = routed.where("NOT home").join(bounds, ["k1", "k2"], "left")
+    found = near.union(searched(others.withColumn("bound", F.coalesce("bound", none))))
     best = who.drop("vector").withColumnRenamed("vec_id", "query_id").join(
         _top(found, k), ["k1", "k2"]
     )
