@@ -78,8 +78,9 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Importance weight of every document and whether it is drawn."""
-    return importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    """The documents that importance resampling draws, with their weights and keys."""
+    judged = importance.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    return judged.where("kept").drop("kept")
 
 
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
