@@ -14,10 +14,13 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and go on from its files.
 
     Each call takes a new folder below `<spark.checkpoint.dir>/llm`; the folder's owner expires them.
+    The shuffle files behind the table are of no more use then. Spark drops them when the driver has
+    collected its garbage, which may be long after, so a collection is asked for.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
