@@ -142,20 +142,21 @@ def test_rescued_data(spark, rows):
 
 # --- repository records ---------------------------------------------------------------------------
 
-REPO = {
-    "id": 42,
-    "full_name": "octo/hello",
-    "owner": {"login": "octo", "type": "User", "avatar_url": "https://x"},
-    "homepage": "",
-    "language": "Python",
-    "license": {"key": "mit", "spdx_id": "MIT", "url": "https://y"},
-    "fork": True,
-    "parent": {"full_name": "up/stream"},
-    "archived": False,
-    "size": 12,
-    "stargazers_count": 80,
-    "html_url": "https://z",
-}
+def repository(**changes):
+    """An answer of the service, with members that are not kept among them."""
+    return {
+        "id": 9041,
+        "full_name": "harbour/lights",
+        "owner": {"login": "harbour", "type": "Organization", "plan": {"seats": 4}},
+        "homepage": "https://lights.example",
+        "topics": ["sea", "lamp"],
+        "license": None,
+        "fork": False,
+        "size": 0,
+        "stargazers_count": 2,
+        "permissions": {"pull": True},
+        **changes,
+    }
 
 
 def responses(spark, *data):
@@ -166,35 +167,60 @@ def responses(spark, *data):
     )
 
 
-def test_fetch_records(spark):
+def test_only_a_found_repository_is_recorded(spark):
+    when = "2025-12-01T00:00:0{}Z".format
     log = responses(
         spark,
-        (1, "octo/old", "2026-09-26T03:00:00Z", 200, None, '"new"', REPO),
-        (2, "octo/same", "2026-09-26T03:00:01Z", 304, '"sent"', None, None),
-        (3, "octo/gone", "2026-09-26T03:00:02Z", 404, None, None, {"message": "Not Found"}),
+        (11, "harbour/lights", when(0), 200, '"old"', '"7f"', repository()),
+        (12, "harbour/buoys", when(1), 304, '"kept"', "", None),
+        (13, "harbour/wreck", when(2), 451, None, None, {"block": {"reason": "dmca"}}),
+        (14, "harbour/empty", when(3), 200, '"sent"', None, None),
+    )
+    rows = slimming.fetch_records(slimming.parse_bodies(log)).collect()
+    found = {row.repo_id: row for row in rows}
+    assert {i: row.etag for i, row in found.items()} == {
+        11: '"7f"',
+        12: '"kept"',
+        13: None,
+        14: '"sent"',
+    }
+    assert [i for i, row in found.items() if row.repo] == [11]
+    kept = found[11].repo.asDict()
+    assert kept["owner_type"] == "Organization" and kept["topics"] == ["sea", "lamp"]
+    assert kept["homepage"] == "https://lights.example" and kept["size_kb"] == 0
+    assert kept["license_spdx_id"] is None and kept["parent_full_name"] is None
+
+
+def test_members_are_renamed_and_empty_ones_made_null(spark):
+    answer = repository(
+        id=1,
+        homepage="",
+        topics=None,
+        license={"spdx_id": "ISC", "name": "ISC License"},
+        fork=True,
+        parent={"full_name": "coast/lights", "id": 3},
+        archived=True,
     )
-    found = slimming.fetch_records(slimming.parse_bodies(log)).orderBy("repo_id").collect()
-    assert [row.etag for row in found] == ['"new"', '"sent"', None]
-    assert [row.repo is None for row in found] == [False, True, True]
-    repo = found[0].repo
-    assert (found[0].requested_name, repo.full_name) == ("octo/old", "octo/hello")
-    assert (repo.owner_login, repo.owner_type, repo.license_spdx_id) == ("octo", "User", "MIT")
-    assert (repo.homepage, repo.topics, repo.parent_full_name) == (None, [], "up/stream")
-    assert (repo.is_fork, repo.size_kb, repo.is_template) == (True, 12, None)
+    log = responses(spark, (1, "moved/from", "2025-12-01T00:00:00Z", 200, None, None, answer))
+    row = slimming.fetch_records(slimming.parse_bodies(log)).first()
+    assert (row.requested_name, row.repo.full_name) == ("moved/from", "harbour/lights")
+    assert (row.repo.homepage, row.repo.topics) == (None, [])
+    assert (row.repo.license_spdx_id, row.repo.parent_full_name) == ("ISC", "coast/lights")
+    assert (row.repo.is_fork, row.repo.is_archived, row.repo.is_disabled) == (True, True, None)
 
 
 def test_fetches_land_once_per_day_unless_forced(spark, tmp_path):
-    root, day = str(tmp_path / "repos"), date(2026, 9, 26)
-    log = responses(spark, (1, "octo/hello", "2026-09-26T03:00:00Z", 200, None, None, REPO))
+    root, day = str(tmp_path / "repos"), date(2025, 12, 1)
+    log = responses(spark, (11, "harbour/lights", "t", 200, None, None, repository()))
     assert land.land_fetches(log, root, day)
     assert not land.land_fetches(log, root, day)
     assert land.land_fetches(log, root, day, force=True)
-    errors = responses(spark, (1, "octo/hello", "2026-09-28T03:00:00Z", 500, None, None, None))
-    assert land.land_fetches(log.unionByName(errors), root, date(2026, 9, 27))
-    assert land.land_fetches(errors, root, date(2026, 9, 28))
-    assert not landing.landed_on(spark, root, date(2026, 9, 28))
+    errors = responses(spark, (12, "harbour/buoys", "t", 502, None, None, None))
+    assert land.land_fetches(log.unionByName(errors), root, date(2025, 12, 2))
+    assert land.land_fetches(errors, root, date(2025, 12, 3))
+    assert not landing.landed_on(spark, root, date(2025, 12, 3))
     landed = spark.read.json(root).groupBy(F.col("date").cast("string")).count()
-    assert dict(map(tuple, landed.collect())) == {"2026-09-26": 2, "2026-09-27": 1}
+    assert dict(map(tuple, landed.collect())) == {"2025-12-01": 2, "2025-12-02": 1}
 
 
 def test_limited_answers_and_what_a_run_did_not_reach_leave_no_record(spark, tmp_path):
