@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from repopulse.llm.grams import small_batches
 
-KNOWN_RUNS = 600_000
+KNOWN_RUNS = 300_000
 # White space by the Unicode property that the tokenizer's pattern goes by.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _RUN = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")

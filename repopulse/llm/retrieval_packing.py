@@ -25,7 +25,8 @@ WINDOW = 2048
 SHARD_BYTES = 8 << 20
 QUERY_TOKENS = 48
 END_ID = 1
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 200_000
+AT_ONCE = 200  # texts split into words at a time
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -61,6 +62,10 @@ class WordEncoder:
         self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        parts = (texts[at : at + AT_ONCE] for at in range(0, len(texts), AT_ONCE))
+        return [ids for part in parts for ids in self._encode(part)]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         split = []
         for text in texts:
             for mark in "\n\t\r\v\f":
