@@ -246,6 +246,26 @@ def test_passages_find_every_exact_repeat(spark, docs):
         assert {w for w, h in enumerate(hit) if h} <= covered
 
 
+def test_passages_on_both_sides_of_foreign_words(spark):
+    draw = random.Random(11)
+    fresh = lambda n: [f"v{draw.randint(0, 50_000)}" for _ in range(n)]
+    copy, one, two, long, footer = fresh(400), fresh(60), fresh(60), fresh(900), fresh(25)
+    parts = [
+        copy,
+        fresh(15) + one + fresh(35) + two + fresh(20),
+        long + fresh(60) + footer,
+        fresh(10) + copy[:300] + fresh(220) + copy[300:],
+        one + fresh(35) + two,
+        long + fresh(150) + footer,
+    ]
+    rows = [(i, " ".join(p)) for i, p in enumerate(parts)]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
+    assert spans == {3: [(10, 310), (530, 630)], 4: [(0, 60), (95, 155)], 5: [(0, 900)]}
+    sources = {(r.doc_id, r.start, r.source_start, r.source_stop) for r in found.collect()}
+    assert {(3, 10, 0, 300), (3, 530, 300, 400), (4, 95, 110, 170)} <= sources
+
+
 def test_passages_odd_rows(odd, docs):
     assert chaining.passages(odd.limit(0)).count() == 0
     found = chaining.passages(odd)
