@@ -266,6 +266,44 @@ def test_passages_on_both_sides_of_foreign_words(spark):
     assert {(3, 10, 0, 300), (3, 530, 300, 400), (4, 95, 110, 170)} <= sources
 
 
+def test_passages_with_many_edits(spark):
+    draw = random.Random(3)
+    fresh = lambda n: [f"v{draw.randint(0, 20_000)}" for _ in range(n)]
+
+    def edited(words: list[str], rate: float) -> list[str]:
+        out = []
+        for word in words:
+            kind = draw.random() if draw.random() < rate else 1.0
+            out += fresh(1) if kind < 0.6 else [] if kind < 0.8 else [word]
+            out += fresh(1) if 0.8 <= kind < 1.0 else []
+        return out
+
+    rows, planted = [], {}
+    for i in range(160):
+        rate = (0.05, 0.1, 0.15, 0.2)[i % 4]
+        passage = fresh(draw.randint(56, 80))
+        repeat = edited(passage, rate)
+        rows.append((i, " ".join(fresh(40) + passage + fresh(40))))
+        rows.append((1000 + i, " ".join(fresh(40) + repeat + fresh(40))))
+        if len(repeat) >= 50:
+            planted.setdefault(rate, {})[1000 + i] = (40, 40 + len(repeat))
+    passage = fresh(60)
+    sixth = [*passage]
+    sixth[5::6] = fresh(10)
+    rows += [(500, " ".join(passage)), (2000, " ".join(fresh(30) + sixth + fresh(30)))]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: r.spans for r in chaining.merged(found).collect()}
+    assert [(s.start, s.stop) for s in spans.pop(2000)] == [(30, 89)]
+    for rate, least in ((0.05, 0.97), (0.1, 0.95), (0.15, 0.85), (0.2, 0.6)):
+        covered = sum(
+            max(0, min(s.stop, stop) - max(s.start, start))
+            for i, (start, stop) in planted[rate].items()
+            for s in spans.get(i, ())
+        )
+        assert covered >= least * sum(stop - start for start, stop in planted[rate].values()), rate
+    assert min(spans) >= 1000
+
+
 def test_passages_odd_rows(odd, docs):
     assert chaining.passages(odd.limit(0)).count() == 0
     found = chaining.passages(odd)
