@@ -304,6 +304,23 @@ def test_passages_with_many_edits(spark):
     assert min(spans) >= 1000
 
 
+def test_passages_whose_seeds_were_first_seen_apart(spark):
+    draw = random.Random(8)
+    fresh = lambda n: [f"v{draw.randint(0, 50_000)}" for _ in range(n)]
+    passage, lines = fresh(54), [fresh(18) for _ in range(3)]
+    parts = {i: fresh(30) + passage[3 * i : 3 * i + 18] + fresh(30) for i in range(13)}
+    parts |= {20 + i: fresh(30) + line + fresh(30) for i, line in enumerate(lines)}
+    for i in (50, 60, 70):
+        parts[i] = fresh(20) + passage + fresh(50) + sum(lines, []) + fresh(10 + i)
+    frame = spark.createDataFrame(
+        [(i, " ".join(p)) for i, p in parts.items()], "doc_id bigint, text string"
+    )
+    found = chaining.passages(frame)
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
+    assert spans == {60: [(20, 74), (124, 178)], 70: [(20, 74), (124, 178)]}
+    assert {r.source_id for r in found.where("matched >= 50").collect()} == {50}
+
+
 def test_passages_odd_rows(odd, docs):
     assert chaining.passages(odd.limit(0)).count() == 0
     found = chaining.passages(odd)
