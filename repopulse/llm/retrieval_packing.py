@@ -1,7 +1,8 @@
 """Packing by lexical retrieval: a seed document's window is filled with its BM25 neighbours.
 
-Documents are dealt into shards of a set size by a hash. Each shard holds an inverted index of its
-own: the seed's most telling tokens ask it for documents that are not used yet, which fill the window
+Documents are put in order of their most telling tokens, by document frequencies over all of them, and
+dealt into shards of a set size along that order, so documents that share rare tokens meet. Each shard
+holds an inverted index of its documents, scored by the frequencies and the mean length over all: the seed's most telling tokens ask it for documents that are not used yet, which fill the window
 in order of score. The document that overflows the window is cut and its rest seeds the next one, so
 windows are full; what a shard has left over at the end is cut into runs whose lengths are powers of
 two. No position is padded.
@@ -13,17 +14,22 @@ import os
 import re
 import zlib
 from array import array
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.llm.store import spread, text_input
+from repopulse.llm.grams import small_batches
+from repopulse.llm.store import spread, stored, text_input
 
 WINDOW = 2048
 SHARD_BYTES = 8 << 20
 QUERY_TOKENS = 48
+KEY_TOKENS = 3  # a document's place in the order: 16 bits of each, and 15 bits of salt
+RANGES = 8  # of the order, a shard
 END_ID = 1
 KNOWN_WORDS = 200_000
 AT_ONCE = 200  # texts split into words at a time
@@ -107,10 +113,45 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-class Index:
-    """BM25 over the token ids of a shard's documents."""
+@dataclass(frozen=True)
+class Corpus:
+    """Over all documents: their number, mean length, and how many hold each token id."""
+
+    documents: int
+    mean: float
+    held: np.ndarray
+
+    def idf(self, held: np.ndarray) -> np.ndarray:
+        return np.log1p((self.documents - held + 0.5) / (held + 0.5))
+
+    def rarity(self) -> np.ndarray:
+        """The place of each token id from the rarest that two documents hold; others come last."""
+        order = np.argsort(np.where(self.held < 2, 1 << 62, self.held), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        place[self.held < 2] = 65_535
+        return np.minimum(place, 65_535)
+
+
+def _key(ids: np.ndarray, rarity: np.ndarray) -> int:
+    """A document's place in the order: its rarest tokens, 16 bits each; none is the last value."""
+    places = np.unique(rarity[ids])[:KEY_TOKENS].tolist()
+    key = 0
+    for place in places + [65_535] * (KEY_TOKENS - len(places)):
+        key = (key << 16) | place
+    return key
 
-    def __init__(self, ids: list[np.ndarray], k1: float = 1.2, b: float = 0.75) -> None:
+
+class Index:
+    """BM25 over the token ids of a shard's documents, which are a corpus if none is given."""
+
+    def __init__(
+        self,
+        ids: list[np.ndarray],
+        corpus: Corpus | None = None,
+        k1: float = 1.2,
+        b: float = 0.75,
+    ) -> None:
         n = len(ids)
         counted = [np.unique(x, return_counts=True) for x in ids]
         sizes = np.array([len(t) for t, _ in counted])
@@ -119,12 +160,14 @@ class Index:
         owner = np.repeat(np.arange(n), sizes)
         order = np.argsort(tokens, kind="stable")
         lengths = np.array([len(x) for x in ids], float)
-        norm = k1 * (1 - b + b * lengths / max(lengths.mean(), 1.0)) if n else lengths
+        if corpus is None:
+            corpus = Corpus(n, float(lengths.mean()) if n else 0.0, np.bincount(tokens.astype(np.int64)))
+        norm = k1 * (1 - b + b * lengths / max(corpus.mean, 1.0))
         self.tokens, self.first, held = np.unique(
             tokens[order], return_index=True, return_counts=True
         )
         self.stop = self.first + held
-        self.idf = np.log1p((n - held + 0.5) / (held + 0.5))
+        self.idf = corpus.idf(corpus.held[self.tokens])
         self.idf[held < 2] = 0.0  # such a token leads to no other document
         self.docs = owner[order]
         times = times[order]
@@ -200,6 +243,72 @@ def _tail_cut(pieces, sequence: int, window: int):
     return out
 
 
+def _corpus(tokens: DataFrame) -> Corpus:
+    """One row a token id comes to the driver."""
+
+    def count(batches):
+        held, documents, length = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            for ids in batch.column("ids"):
+                ids = np.frombuffer(ids.as_buffer(), np.uint32)
+                documents, length = documents + 1, length + len(ids)
+                own = np.unique(ids)
+                if len(own) and own[-1] >= len(held):
+                    held = np.append(held, np.zeros(int(own[-1]) + 1 - len(held), np.int64))
+                held[own] += 1
+        token = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(token, [-1, -2])),
+                pa.array(np.append(held[token], [documents, length])),
+            ],
+            ["token", "n"],
+        )
+
+    counted = tokens.select("ids").mapInArrow(count, "token bigint, n bigint")
+    found = {r["token"]: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).collect()}
+    documents, length = found.pop(-1, 0), found.pop(-2, 0)
+    held = np.zeros(max(found, default=0) + 1, np.int64)
+    held[list(found)] = list(found.values())
+    return Corpus(documents, length / max(documents, 1), held)
+
+
+def _dealt(tokens: DataFrame, corpus: Corpus, shards: int, shard_bytes: int) -> DataFrame:
+    """`tokens` with the shard of each row: runs of the order by rare tokens, of like bytes.
+
+    Rows of equal tokens lie in the order by a salt, so that runs can be cut among them too.
+    """
+    rarity = corpus.rarity()
+
+    @F.pandas_udf("bigint")
+    def key(ids: pd.Series) -> pd.Series:
+        return pd.Series([_key(np.frombuffer(x, np.uint32), rarity) for x in ids], dtype="int64")
+
+    salt = F.pmod(spread("doc_id", "ids"), F.lit(1 << 15))
+    keyed = tokens.withColumn("key", F.shiftleft(key("ids"), 15) + salt)
+    if shards == 1:
+        return tokens.withColumn("shard", F.lit(0).cast("bigint"))
+    n = RANGES * shards
+    keys = stored(keyed.select("key", "bytes"))
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = keys.agg(F.percentile_approx("key", shares, 10 * n)).first()[0]
+    cuts = np.array(sorted(set(cuts or ())), np.int64)
+
+    def range_of(names: np.ndarray):
+        @F.pandas_udf("bigint")
+        def place(key: pd.Series) -> pd.Series:
+            return pd.Series(names[np.searchsorted(cuts, key.to_numpy(), side="left")])
+
+        return place
+
+    sizes = np.zeros(len(cuts) + 1, np.int64)
+    at = range_of(np.arange(len(sizes)))("key").alias("at")
+    for row in keys.select(at, "bytes").groupBy("at").agg(F.sum("bytes").alias("bytes")).collect():
+        sizes[row["at"]] = row["bytes"]
+    names = (np.cumsum(sizes) - sizes // 2) // shard_bytes
+    return keyed.withColumn("shard", range_of(names)("key")).drop("key")
+
+
 def packed(
     docs: DataFrame,
     tokenizer: str,
@@ -219,15 +328,28 @@ def packed(
     other columns are ignored.
     """
     rows = text_input(docs, "doc_id", "text")
-    size = rows.agg(F.sum(F.octet_length("text").cast("bigint") + 1)).first()[0] or 0
+
+    def encode(batches):
+        for whole in batches:
+            for batch in small_batches(whole, "text"):
+                ids = encoder(tokenizer).encode(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), batch.column("bytes"), pa.array([x.tobytes() for x in ids], pa.binary())],
+                    ["doc_id", "bytes", "ids"],
+                )
+
+    rows = rows.withColumn("bytes", F.octet_length("text").cast("bigint") + 1)
+    rows = stored(rows.mapInArrow(encode, "doc_id bigint, bytes bigint, ids binary"))
+    size = rows.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(spread("doc_id", "text"), F.lit(shards)))
+    corpus = _corpus(rows)
+    rows = _dealt(rows, corpus, shards, shard_bytes).select("doc_id", "ids", "shard")
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         names = table.column("doc_id").to_pylist()
-        plain = encoder(tokenizer).encode(table.column("text").to_pylist())
-        index = Index(plain)
+        plain = [np.frombuffer(x, np.uint32) for x in table.column("ids").to_pylist()]
+        index = Index(plain, corpus)
         tokens = [np.append(x, np.uint32(END_ID)) for x in plain]
         pieces = fill([len(x) for x in tokens], index, window)
         doc, start, length, sequence, offset = (

@@ -369,6 +369,33 @@ def test_packing_holds_every_token_once(which, request):
     assert retrieval_packing.packed(frame.limit(0), WORD_BPE).count() == 0
 
 
+def test_packing_brings_like_documents_together(spark):
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("bdfgklmnprst") + draw.choice("aeiou") for _ in range(3))
+    common = [word() for _ in range(200)]
+    rows = []
+    for i in range(300):
+        text = [draw.choice(common) for _ in range(150)]
+        text += [word() for _ in range(20)]
+        rows += [(i, " ".join(text)), (1000 + i, " ".join(text))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    found = retrieval_packing.packed(frame, WORD_BPE, shard_bytes=20_000).collect()
+    shards: dict = {}
+    for r in found:
+        shards.setdefault(r.doc_id, set()).add(r.sequence_id >> 32)
+    assert len(set.union(*shards.values())) > 15
+    assert sum(shards[i] == shards[1000 + i] for i in range(300)) >= 270
+
+
+def test_scores_go_by_all_documents():
+    ids = [np.array(x, np.uint32) for x in ([1, 2], [1, 5], [2, 6], [7])]
+    unused = np.array([False, True, True, True])
+    held = np.array([0, 90, 3, 0, 0, 2, 2, 2])
+    assert retrieval_packing.Index(ids).neighbours(0, unused).tolist() == [1, 2]
+    corpus = retrieval_packing.Corpus(100, 2.0, held)
+    assert retrieval_packing.Index(ids, corpus).neighbours(0, unused).tolist() == [2, 1]
+
+
 def test_seed_asks_for_its_neighbours():
     ids = [np.array(x, np.uint32) for x in ([1, 2, 3], [9, 8], [2, 3, 4], [3, 7], [])]
     index = retrieval_packing.Index(ids)
