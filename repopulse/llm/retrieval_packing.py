@@ -2,7 +2,8 @@
 
 Documents are put in order of their most telling tokens, by document frequencies over all of them, and
 dealt into shards of a set size along that order, so documents that share rare tokens meet. Each shard
-holds an inverted index of its documents, scored by the frequencies and the mean length over all: the seed's most telling tokens ask it for documents that are not used yet, which fill the window
+holds an inverted index of its documents, scored by the frequencies and the mean length over all: the
+seed's tokens ask it for documents that are not used yet, which fill the window
 in order of score. The document that overflows the window is cut and its rest seeds the next one, so
 windows are full; what a shard has left over at the end is cut into runs whose lengths are powers of
 two. No position is padded.
@@ -27,7 +28,6 @@ from repopulse.llm.store import spread, stored, text_input
 
 WINDOW = 2048
 SHARD_BYTES = 8 << 20
-QUERY_TOKENS = 48
 KEY_TOKENS = 3  # a document's place in the order: 16 bits of each, and 15 bits of salt
 RANGES = 8  # of the order, a shard
 END_ID = 1
@@ -175,10 +175,9 @@ class Index:
         self.own = [t for t, _ in counted]
         self.n = n
 
-    def neighbours(self, doc: int, unused: np.ndarray, tokens: int = QUERY_TOKENS) -> np.ndarray:
-        """Unused documents that share a telling token with a document, best first."""
-        at = np.searchsorted(self.tokens, self.own[doc])
-        telling = at[np.argsort(-self.idf[at], kind="stable")[:tokens]]
+    def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
+        """Unused documents that share a token with a document, best first by all its tokens."""
+        telling = np.searchsorted(self.tokens, self.own[doc])
         telling = telling[self.idf[telling] > 0]
         if not len(telling):
             return telling

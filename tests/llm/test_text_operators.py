@@ -396,6 +396,14 @@ def test_scores_go_by_all_documents():
     assert retrieval_packing.Index(ids, corpus).neighbours(0, unused).tolist() == [2, 1]
 
 
+def test_seed_asks_with_all_its_tokens():
+    rare, usual = np.arange(100, 160), np.arange(200, 260)
+    parts = [[rare, usual], [rare[:1]], [usual], [rare], [usual], [usual]]
+    ids = [np.concatenate(p).astype(np.uint32) for p in parts]
+    found = retrieval_packing.Index(ids).neighbours(0, np.arange(6) > 0).tolist()
+    assert sorted(found) == [1, 2, 3, 4, 5] and found[-1] == 1
+
+
 def test_seed_asks_for_its_neighbours():
     ids = [np.array(x, np.uint32) for x in ([1, 2, 3], [9, 8], [2, 3, 4], [3, 7], [])]
     index = retrieval_packing.Index(ids)
