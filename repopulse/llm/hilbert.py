@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from repopulse.llm.store import stored
+
 SHARDS = 16
 BITS = 8
 TIE_BITS = 30
@@ -50,14 +52,44 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _order_number(df: DataFrame, name: str) -> Column:
-    """A number that sorts like the column; of a text its first seven bytes. Null comes first."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        number = F.col(name).cast("double")
-        return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
+def _is_number(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.NumericType)
+
+
+def _order_value(df: DataFrame, name: str) -> Column:
+    """What the column is ordered by: a number, or the whole text. Null comes first."""
+    if not _is_number(df, name):
+        return F.col(name).cast("string")
+    number = F.col(name).cast("double")
+    return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+
+
+def _text_cuts(df: DataFrame, name: str, parts: int) -> tuple[str, ...]:
+    """The texts at each share i / parts of the rows in order, as whole strings.
+
+    Distinct texts are counted, sorted in ranges, and numbered by rows before them; only those that
+    reach a share come to the driver.
+    """
+    counted = df.select(_order_value(df, name).alias("text")).where("text IS NOT NULL")
+    counted = counted.groupBy("text").agg(F.count("*").alias("n"))
+    ranged = stored(counted.repartitionByRange("text").withColumn("range", F.spark_partition_id()))
+    sizes = {r["range"]: r["n"] for r in ranged.groupBy("range").agg(F.sum("n").alias("n")).collect()}
+    total, before = sum(sizes.values()), 0
+    starts = []
+    for key in sorted(sizes):
+        starts.append((key, before))
+        before += sizes[key]
+    starts = df.sparkSession.createDataFrame(starts, "range int, before bigint")
+    upto = F.sum("n").over(Window.partitionBy("range").orderBy("text"))
+    found = ranged.withColumn("upto", upto).join(F.broadcast(starts), "range").select(
+        "text",
+        F.expr(f"((before + upto - n) * {parts}) DIV {max(total, 1)}").alias("first"),
+        F.expr(f"((before + upto) * {parts}) DIV {max(total, 1)}").alias("last"),
+    )
+    cuts: list[str] = []
+    for row in found.where("first < last").orderBy("text").collect():
+        cuts += [row["text"]] * (row["last"] - row["first"])
+    return tuple(cuts[: parts - 1])
 
 
 @dataclass(frozen=True)
@@ -65,36 +97,46 @@ class Grid:
     """Cut points per column; as many as 2^bits - 1 each."""
 
     names: tuple[str, ...]
-    cuts: tuple[tuple[float, ...], ...]
+    cuts: tuple[tuple[float, ...] | tuple[str, ...], ...]
     bits: int
 
 
 def fit_grid(df: DataFrame, names: list[str], bits: int = BITS) -> Grid:
-    """Equal-share cuts of each column over all rows, from one aggregate of bounded size.
+    """Equal-share cuts of each column over all rows, of numbers from one aggregate of bounded size.
 
     A value that many rows share repeats among the cuts, so its cells span its share of the axis.
     """
     shares = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
+    numbers = [n for n in names if _is_number(df, n)]
     found = df.agg(
-        *[F.percentile_approx(_order_number(df, n), shares, 10_000).alias(n) for n in names]
+        F.count("*").alias("_n"),
+        *[F.percentile_approx(_order_value(df, n), shares, 10_000).alias(n) for n in numbers],
     ).first()
-    return Grid(tuple(names), tuple(tuple(found[n] or ()) for n in names), bits)
+    cuts = [
+        tuple(found[n] or ()) if n in numbers else _text_cuts(df, n, 1 << bits) for n in names
+    ]
+    return Grid(tuple(names), tuple(cuts), bits)
 
 
 def with_curve(df: DataFrame, grid: Grid, name: str = "curve") -> DataFrame:
     """Adds each row's place on the curve; a null falls into its column's first cell."""
-    cuts = [np.array(c, float) for c in grid.cuts]
+    # Python orders strings as Spark does.
+    kinds = [float if _is_number(df, n) else object for n in grid.names]
+    cuts = [np.array(c, kind) for c, kind in zip(grid.cuts, kinds, strict=True)]
     bits = grid.bits
 
     @pandas_udf("bigint")
-    def place(numbers: pd.DataFrame) -> pd.Series:
-        cells = [
-            np.searchsorted(cut, numbers[c].fillna(-np.inf).to_numpy(), side="left")
-            for cut, c in zip(cuts, numbers.columns, strict=True)
-        ]
+    def place(values: pd.DataFrame) -> pd.Series:
+        cells = []
+        for cut, c in zip(cuts, values.columns, strict=True):
+            if cut.dtype == object:
+                known, at = np.unique(values[c].fillna("").to_numpy(object), return_inverse=True)
+                cells.append(np.searchsorted(cut, known, side="left")[at])
+            else:
+                cells.append(np.searchsorted(cut, values[c].fillna(-np.inf).to_numpy(), side="left"))
         return pd.Series(curve_index(np.stack(cells, axis=1), bits))
 
-    return df.withColumn(name, place(F.struct(*[_order_number(df, n).alias(n) for n in grid.names])))
+    return df.withColumn(name, place(F.struct(*[_order_value(df, n).alias(n) for n in grid.names])))
 
 
 def sharded(

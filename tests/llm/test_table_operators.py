@@ -201,6 +201,20 @@ def test_shards_hold_every_row_once(spark):
     assert sorted(r.slot for r in few) == [0, 0, 0]
 
 
+def test_texts_that_begin_alike_have_cells_of_their_own(spark):
+    rows = [(i, "x", f"https://common-crawl-{i % 16:02d}.org") for i in range(640)]
+    rows += [(1000, "x", None), (1001, "x", "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    grid = hilbert.fit_grid(docs, ["source"])
+    cells = {r.source: r.curve for r in hilbert.with_curve(docs, grid).collect()}
+    named = sorted(k for k in cells if k)
+    assert len({cells[k] for k in named}) == 16 and cells[None] == cells[""] == 0
+    assert [cells[k] for k in named] == sorted(cells[k] for k in named)
+    shards = hilbert.sharded(docs, ["source"]).join(docs, "doc_id").where("source > ''")
+    per = shards.groupBy("shard").agg(F.countDistinct("source").alias("n")).collect()
+    assert max(r.n for r in per) <= 2
+
+
 def test_shards_can_be_skipped_by_several_columns(spark):
     docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
     shards = hilbert.sharded(docs, ["n_chars", "doc_id"]).select("doc_id", "shard")
