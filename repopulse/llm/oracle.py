@@ -109,7 +109,120 @@ SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, least_seen AS component
 FROM sets JOIN (SELECT node, min(seen) AS least_seen FROM reach GROUP BY node) ON node = doc_id
 """
 
+
+
+def _clusters() -> str:
+    """Every round by a full join of vectors and centroids."""
+    steps = [
+        """points AS (
+    SELECT row_number() OVER () AS i, vec_id,
+        list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS p
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, p AS m FROM points
+    ORDER BY sha256('3:' || vec_id) LIMIT 8)"""
+    ]
+    for r in range(11):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (
+    SELECT i, vec_id, any_value(p) AS p, min({{'d': d, 'c': c}}) AS near FROM (
+        SELECT i, vec_id, p, c, CAST(list_sum(list_transform(p,
+            lambda x, j: (x - m[j]) * (x - m[j]))) AS BIGINT) AS d
+        FROM points, c{r}) GROUP BY i, vec_id)"""
+        )
+        steps.append(
+            f"""c{r + 1} AS MATERIALIZED (
+    SELECT c, coalesce(n.m, o.m) AS m FROM c{r} o LEFT JOIN (
+        SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM (
+            SELECT near.c AS c, j, CAST(sum(p[j]) AS BIGINT) AS s, count(*) AS n
+            FROM a{r}, range(1, 65) AS places(j) GROUP BY near.c, j)
+        GROUP BY c) n USING (c))"""
+        )
+    return "WITH " + ", ".join(steps[:-1]) + """
+SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance,
+    CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a10 JOIN c10 ON c = near.c"""
+
+
+# The checksum bit by bit, once per distinct feature; ranks by one sort.
+DRAW = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, false AS target
+    FROM documents
+    UNION ALL
+    SELECT -row_number() OVER (), NULL, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), true
+    FROM benchmark
+), found AS (
+    SELECT i, target, unnest(w) AS feature FROM words
+    UNION ALL
+    SELECT i, target, unnest(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))
+    FROM words
+), hexed AS (
+    SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM found)
+), buckets AS (
+    SELECT feature, xor(list_reduce(
+        list_transform(range(0, len(h) // 2),
+            lambda k: CAST('0x' || substr(h, CAST(2 * k + 1 AS BIGINT), 2) AS BIGINT)),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END),
+        4294967295), 4294967295) % 10000 AS bucket
+    FROM hexed
+), counts AS (
+    SELECT bucket, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t
+    FROM found JOIN buckets USING (feature) GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000.0::DOUBLE)
+        / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+    FROM counts
+), weights AS (
+    SELECT i, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total
+    FROM found JOIN buckets USING (feature) JOIN gains USING (bucket) WHERE NOT target GROUP BY i
+), scored AS (
+    SELECT i, doc_id, len(w) >= 20 AS long, coalesce(n, 0) AS n_features,
+        coalesce((total - ((total % n) + n) % n) // n, 0) AS weight,
+        CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT)
+            + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS noise
+    FROM words LEFT JOIN weights USING (i) WHERE NOT target
+), ranked AS (
+    SELECT *, weight + noise AS score,
+        row_number() OVER (PARTITION BY long ORDER BY weight + noise DESC, doc_id) AS place,
+        25 * count(*) OVER (PARTITION BY long) // 100 AS drawn
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN long AND place <= drawn THEN place END AS rank
+FROM ranked
+"""
+
+# Lengths by counting, digests of the source itself.
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS listing,
+        coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS learnt,
+        CAST(sum(15 + length(role) + length(text)
+            + len(regexp_extract_all(text, '</turn>|### '))) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(listing) AS turns_sha256, length(learnt) AS loss_chars,
+    sha256(learnt) AS loss_sha256, formatted_chars
+FROM whole
+"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": URL,
     "op10_ngram_jaccard_join": JACCARD,
+    "op11_centroid_clustering": _clusters(),
+    "op12_importance_draw": DRAW,
+    "op13_chat_formatting": CHAT,
 }

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from repopulse.llm import (
     chaining,
+    chat_grammar,
     edit_counts,
+    heap_clusters,
     hilbert,
     importance,
     jaccard_tiles,
     piece_lattice,
     posting_lists,
+    radix_draw,
     retrieval_packing,
     url_models,
     winnowing,
@@ -116,6 +119,33 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_tiles.jaccard_groups(_documents(spark, sf_dir), size=4, percent=85)
 
 
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of the vectors after ten rounds, with distances, inertia and centroid digests."""
+    found = heap_clusters.clustered(_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(None).cast("string")
+    for number, centroid in enumerate(found.centroids):
+        listing = F.lit(",".join(map(str, centroid)))
+        digest = F.when(F.col("cluster") == number, F.sha2(listing, 256)).otherwise(digest)
+    return heap_clusters.with_inertia(found).withColumn("centroid_sha256", digest)
+
+
+def importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights and scores of all documents towards the benchmark texts, and the ranks of those drawn."""
+    return radix_draw.resampled(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that imitates the markup, formatted, read back and digested."""
+    text = "\\### Assistant: </turn> ok"
+    columns = ["conv_id", "turn", "role", "text"]
+    more = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)],
+        "conv_id bigint, turn bigint, role string, text string",
+    )
+    turns = _table(spark, sf_dir, "conversations").select(columns).unionByName(more)
+    return chat_grammar.digests(chat_grammar.formatted(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": url_filter,
     "op2_sentencepiece": sentencepiece_round_trip,
@@ -127,4 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": sharding,
     "op9_packing": packing,
     "op10_ngram_jaccard_join": ngram_jaccard_join,
+    "op11_centroid_clustering": centroid_clustering,
+    "op12_importance_draw": importance_draw,
+    "op13_chat_formatting": chat_formatting,
 }

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from repopulse.session import shared_dir
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and go on from its files.
+def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """Write a table to the shared folder and go on from its files; options are the Parquet writer's.
 
     Each call takes a new folder below `<spark.checkpoint.dir>/llm`; the folder's owner expires them.
     The shuffle files behind the table are of no more use then. Spark drops them when the driver has
@@ -19,7 +19,7 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

@@ -21,7 +21,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_operator_is_registered():
     names = set(registry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n in QUERIES} == set(range(1, 14))
     assert "pipeline" in names and set(ORACLE) <= names
 
 
