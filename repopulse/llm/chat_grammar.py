@@ -19,6 +19,10 @@ Rows that share a turn number share a part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +38,15 @@ def escaped(text: Column, controls: str) -> Column:
     """One more backslash before every control string that the pattern names."""
     if not controls:
         return text
-    return F.regexp_replace(text, rf"(?<!\\)(\\*+)({controls})", r"\\$1$2")
+    some = reduce(or_, [F.contains(text, F.lit(c)) for c in controls.split("|")])
+    more = F.regexp_replace(text, rf"(?<!\\)(\\*+)({controls})", r"\\$1$2")
+    return F.when(some, more).otherwise(text)
 
 
 def unescaped(body: Column) -> Column:
     """One backslash less before every control string that has any."""
-    return F.regexp_replace(body, rf"(?<!\\)\\(\\*+)({ROUNDS[-1]})", "$1$2")
+    less = F.regexp_replace(body, rf"(?<!\\)\\(\\*+)({ROUNDS[-1]})", "$1$2")
+    return F.when(F.contains(body, F.lit("\\")), less).otherwise(body)
 
 
 def _heading(turn: Column) -> Column:
@@ -60,44 +67,60 @@ def rendered(turns: Column, controls: str) -> Column:
     )
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """An expression of a value that is computed once, however often the expression names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _pieces(text: Column) -> Column:
+    return F.split(text, rf"(?<!\\){END}", -1)
+
+
 def parsed(text: Column) -> Column:
     """The turns (role, text) of a formatted text; null if it doesn't follow the grammar."""
-    pieces = F.split(text, rf"(?<!\\){END}", -1)
 
-    def good(piece: Column, i: Column) -> Column:
-        """A turn, or the newline behind the last one. All turns but the first begin with that newline."""
-        start = F.when(i == 0, F.lit("")).otherwise(F.lit("\n"))
-        last = i == F.size(pieces) - 1
+    def follows(piece: Column, i: Column) -> Column:
+        """Whether a piece is a turn. All but the first begin with the newline behind the one before."""
+        start = F.when(i == 0, F.lit(HEAD)).otherwise(F.lit(f"\n{HEAD}"))
         heads = F.size(F.split(piece, rf"(?<!\\){HEAD}", -1)) - 1
-        turn = (
-            F.startswith(piece, F.concat(start, F.lit(HEAD)))
-            & (heads == 1)
-            & (F.instr(piece, MIDDLE) > 0)
-            & F.endswith(piece, F.lit("\n"))
-        )
-        return F.when(last, piece == start).otherwise(turn)
+        framed = F.startswith(piece, start) & F.endswith(piece, F.lit("\n"))
+        return framed & (F.instr(piece, MIDDLE) > 0) & (heads == 1)
 
     def turn_of(piece: Column, i: Column) -> Column:
-        begin = F.length(F.lit(HEAD)) + F.when(i == 0, 1).otherwise(2)
-        colon = F.instr(piece, MIDDLE)
-        body = F.substring(piece, colon + len(MIDDLE), F.length(piece) - colon - len(MIDDLE))
-        return F.struct(
-            F.try_url_decode(F.substring(piece, begin, colon - begin)).alias("role"),
-            unescaped(body).alias("text"),
+        begin = F.when(i == 0, len(HEAD) + 1).otherwise(len(HEAD) + 2)
+
+        def parts(colon: Column) -> Column:
+            rest = colon + len(MIDDLE)
+            return F.struct(
+                F.try_url_decode(F.substring(piece, begin, colon - begin)).alias("role"),
+                unescaped(F.substring(piece, rest, F.length(piece) - rest)).alias("text"),
+            )
+
+        return _with(F.instr(piece, MIDDLE), parts)
+
+    def turns(pieces: Column) -> Column:
+        """All pieces but the last are turns; behind the last turn there is one newline."""
+        last = F.when(F.size(pieces) == 1, F.lit("")).otherwise(F.lit("\n"))
+        some = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+        whole = (F.element_at(pieces, -1) == last) & F.forall(
+            F.transform(some, follows), lambda good: good
         )
+        return F.when(whole, F.transform(some, turn_of))
 
-    whole = F.forall(F.transform(pieces, good), lambda x: x)
-    some = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-    return F.when(whole, F.transform(some, turn_of))
+    return _with(_pieces(text), turns)
 
 
 def _until_identical(turns: Column) -> Column:
     """The least escaped rendering that parses to the turns; an error if there is none."""
-    out = F.raise_error(F.lit("turns do not come back from their formatted text"))
-    for controls in reversed(ROUNDS):
-        attempt = rendered(turns, controls)
-        out = F.when(parsed(attempt).eqNullSafe(turns), attempt).otherwise(out)
-    return out
+
+    def checked(controls: str) -> Column:
+        return _with(
+            rendered(turns, controls),
+            lambda attempt: F.when(parsed(attempt).eqNullSafe(turns), attempt),
+        )
+
+    never = F.raise_error(F.lit("turns do not come back from their formatted text"))
+    return F.coalesce(*[checked(controls) for controls in ROUNDS], never)
 
 
 def loss_spans(turns: Column, text: Column, roles: tuple[str, ...]) -> Column:
@@ -105,34 +128,33 @@ def loss_spans(turns: Column, text: Column, roles: tuple[str, ...]) -> Column:
 
     Lengths are taken from the formatted text itself: its turns part at the bare end marks.
     """
-    pieces = F.split(text, rf"(?<!\\){END}", -1)
-    spans = F.transform(
-        turns,
-        lambda t, i: F.struct(
-            t["role"].isin(*roles).alias("learn"),
-            F.length(_heading(t)).alias("head"),
+    spans = "array<struct<start:int,length:int>>"
+
+    def sized(pieces: Column) -> Column:
+        return F.transform(
+            F.slice(pieces, F.lit(1), F.size(pieces) - 1),
             # Behind the first turn a piece begins with the newline of the turn before.
-            (F.length(F.get(pieces, i)) - F.when(i == 0, 0).otherwise(1)).alias("size"),
+            lambda p, i: F.length(p) - F.when(i == 0, 0).otherwise(1),
+        )
+
+    both = F.zip_with(
+        turns,
+        _with(_pieces(text), sized),
+        lambda t, size: F.struct(
+            t["role"].isin(*roles).alias("learn"), F.length(_heading(t)).alias("head"), size.alias("size")
         ),
     )
-    tail = len(END) + 1
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,length:int>>").alias("found"),
-    )
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("found"))
 
     def step(seen: Column, s: Column) -> Column:
         span = F.struct(
             (seen["at"] + s["head"]).alias("start"), (s["size"] - s["head"] - 1).alias("length")
         )
-        more = F.when(s["learn"], F.array(span)).otherwise(
-            F.array().cast("array<struct<start:int,length:int>>")
-        )
-        return F.struct(
-            (seen["at"] + s["size"] + tail).alias("at"), F.concat(seen["found"], more).alias("found")
-        )
+        more = F.when(s["learn"], F.array(span)).otherwise(F.array().cast(spans))
+        after = seen["at"] + s["size"] + len(END) + 1
+        return F.struct(after.alias("at"), F.concat(seen["found"], more).alias("found"))
 
-    return F.aggregate(spans, start, step)["found"]
+    return F.aggregate(both, start, step)["found"]
 
 
 def masked(text: Column, spans: Column) -> Column:
