@@ -72,6 +72,10 @@ SPOILED_LINE = """CASE spoil
     WHEN 2 THEN replace(line, '"repo":{"id":null', '"repo":{"id":"many"')
     WHEN 3 THEN left(line, 40)
     WHEN 5 THEN '[1]'
+    WHEN 9 THEN concat(line, '] junk')
+    WHEN 10 THEN concat(line, '} junk')
+    WHEN 11 THEN concat(line, line)
+    WHEN 12 THEN concat(line, '] ', line)
     ELSE line END"""
 
 # `orders` as the service's answers, over (n, repo, price, priority, state, at, stamp).
@@ -158,7 +162,8 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as raw feed lines: nested payloads, unknown fields, and some spoiled lines.
 
     By event_id % 97: 0 unreadable time, 1 no repository name, 2 text as repository id, 3 broken
-    JSON, 4 an unknown event type, 5 a JSON array, 6 an unknown field, 7 no id, 8 an unknown member.
+    JSON, 4 an unknown event type, 5 a JSON array, 6 an unknown field, 7 no id, 8 an unknown member, 9 to 12 something behind the
+    object, which may close brackets that the line has not opened.
     """
     events = spread(activity(spark, sf_dir))
     rows = events.selectExpr("*", "cast(event_id AS bigint) % 97 AS spoil")

@@ -509,32 +509,37 @@ ORACLE: dict[str, str] = {
 SELECT CASE WHEN spoil <> 7 THEN event_id END AS id,
   CASE WHEN spoil = 4 THEN 'SparkleEvent' ELSE event_type END AS type, actor_login,
   CASE WHEN spoil = 2 THEN 'many' ELSE CAST(repo_id AS VARCHAR) END AS repo_id, org_login,
+  CASE WHEN spoil = 0 THEN 'yesterday' ELSE strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
+  'true' AS public, CAST(actor_id AS VARCHAR) AS actor_id,
+  CASE WHEN spoil <> 1 THEN repo_name END AS repo_name, CASE WHEN org_login IS NOT NULL THEN '9' END AS org_id,
   CASE WHEN action IS NULL THEN 'number,is_draft' ELSE 'action,number,is_draft' END AS payload_keys,
-  actor_id AS number, actor_id % 2 = 0 AS is_draft
-FROM feed WHERE spoil NOT IN (3, 5) AND spoil <> 4 AND event_type IN ('WatchEvent', 'ForkEvent')""",
+  '{' || coalesce('"action":"' || action || '",', '') || '"number":' || actor_id
+    || ',"is_draft":' || (actor_id % 2 = 0) || '}' AS payload
+FROM feed WHERE spoil NOT IN (3, 4, 5, 9, 10, 11, 12) AND event_type IN ('WatchEvent', 'ForkEvent')""",
         ACTIVITY,
         FEED,
     ),
     "slim_payload": query(
         """
-SELECT event_id AS id, '{' || coalesce('"action":"' || action || '",', '') || '"number":' || actor_id
-  || ',"is_draft":' || (actor_id % 2 = 0) || '}' AS payload
-FROM feed WHERE spoil NOT IN (3, 5, 7)""",
+SELECT CASE WHEN spoil NOT IN (3, 5, 7) THEN event_id END AS id, CASE WHEN spoil IN (3, 5) THEN '{}'
+  ELSE '{' || coalesce('"action":"' || action || '",', '') || '"number":' || actor_id
+    || ',"is_draft":' || (actor_id % 2 = 0) || '}' END AS payload
+FROM feed""",
         ACTIVITY,
         FEED,
     ),
     "slimming_counts": query(
         """
-SELECT count(*) FILTER (spoil NOT IN (3, 5)) AS events_in,
-  count(*) FILTER (spoil NOT IN (3, 4, 5) AND event_type IN ('WatchEvent', 'ForkEvent')) AS events_out,
-  count(*) FILTER (spoil IN (3, 5)) AS bad_lines
+SELECT count(*) FILTER (spoil NOT IN (3, 5, 9, 10, 11, 12)) AS events_in,
+  count(*) FILTER (spoil NOT IN (3, 4, 5, 9, 10, 11, 12) AND event_type IN ('WatchEvent', 'ForkEvent')) AS events_out,
+  count(*) FILTER (spoil IN (3, 5, 9, 10, 11, 12)) AS bad_lines
 FROM feed""",
         ACTIVITY,
         FEED,
     ),
     "rescued_data": query(
         """
-SELECT CASE WHEN spoil IN (3, 5) THEN '_corrupt_record,_file_path' WHEN spoil = 6 THEN 'colour,_file_path'
+SELECT CASE WHEN spoil IN (3, 5, 9, 10, 11, 12) THEN '_corrupt_record,_file_path' WHEN spoil = 6 THEN 'colour,_file_path'
     WHEN spoil = 2 THEN 'repo.id,_file_path' WHEN spoil = 8 THEN 'repo.url,_file_path' ELSE '' END AS rescued_fields,
   count(*) AS rows, count(*) FILTER (spoil NOT IN (3, 5, 7)) AS rows_with_id
 FROM feed GROUP BY 1""",
@@ -551,7 +556,15 @@ SELECT repo_id, requested_name, strftime(fetched_at, '%Y-%m-%dT%H:%M:%SZ') AS fe
   CASE WHEN http_status = 200 THEN CASE o_orderkey % 3 WHEN 0 THEN 'b,a' WHEN 1 THEN 'a,b' ELSE '' END END AS topics,
   CASE WHEN http_status = 200 THEN license_spdx_id END AS license_spdx_id,
   CASE WHEN http_status = 200 THEN is_archived END AS is_archived,
-  CAST(NULL AS VARCHAR) AS parent_full_name, size_kb, stargazers_count, http_status = 200 AS has_repo
+  CAST(NULL AS VARCHAR) AS parent_full_name, size_kb, stargazers_count, http_status = 200 AS has_repo,
+  CASE WHEN http_status = 200 THEN repo_id END AS id, CASE WHEN http_status = 200 THEN 'User' END AS owner_type,
+  CASE WHEN http_status = 200 THEN description END AS description,
+  CASE WHEN http_status = 200 THEN false END AS is_fork, CASE WHEN http_status = 200 THEN false END AS is_disabled,
+  CASE WHEN http_status = 200 THEN false END AS is_template,
+  CASE WHEN http_status = 200 THEN 'public' END AS visibility,
+  CASE WHEN http_status = 200 THEN 'main' END AS default_branch, forks_count, open_issues_count, subscribers_count,
+  CASE WHEN http_status = 200 THEN strftime(repo_created_at, '%Y-%m-%dT%H:%M:%SZ') END AS created_at,
+  strftime(pushed_at, '%Y-%m-%dT%H:%M:%SZ') AS updated_at, strftime(pushed_at, '%Y-%m-%dT%H:%M:%SZ') AS pushed_at
 FROM fetches""",
         FETCHES,
     ),
@@ -615,6 +628,14 @@ FROM fetches""",
     ),
     "changed_dates_recompute": LATE_DAILY,
     "daily_activity_upkeep": LATE_DAILY,
+    "full_refresh": query(
+        """
+SELECT 'all' AS step, count(*) AS rows, CAST(sum(total_events) AS BIGINT) AS events FROM daily
+UNION ALL SELECT 'shrunk', count(*), CAST(sum(total_events) AS BIGINT) FROM daily WHERE event_date < DATE '2024-01-15'
+UNION ALL SELECT 'empty', 0, 0""",
+        ACTIVITY,
+        DAILY,
+    ),
     "latest_fetch": query(
         f"""SELECT repo_id, strftime(last_checked_at, {T}) AS last_checked_at, latest_outcome, is_available,
   last_etag, strftime(metrics_as_of, {T}) AS metrics_as_of, stargazers_count, forks_count,

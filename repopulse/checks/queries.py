@@ -31,7 +31,7 @@ from repopulse.plans import (
 from repopulse.plans.gold import build_gold
 from repopulse.session import shared_dir
 from repopulse.sources import landing
-from repopulse.sources.tables import rebuild, scan
+from repopulse.sources.tables import rebuild, scan, scan_if_exists
 from repopulse.streaming import flows
 from repopulse.streaming.history import repo_history_sink, track_history
 
@@ -85,14 +85,18 @@ def slim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("actor.login").alias("actor_login"),
         text("repo.id").alias("repo_id"),
         text("org.login").alias("org_login"),
+        text("created_at").alias("created_at"),
+        text("public").alias("public"),
+        text("actor.id").alias("actor_id"),
+        text("repo.name").alias("repo_name"),
+        text("org.id").alias("org_id"),
         F.array_join(F.map_keys("payload"), ",").alias("payload_keys"),
-        F.col("payload")["number"].cast("bigint").alias("number"),
-        F.col("payload")["is_draft"].cast("boolean").alias("is_draft"),
+        F.to_json("payload").alias("payload"),
     )
 
 
 def slim_payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = data.landed_events(spark, sf_dir).where("id IS NOT NULL")
+    landed = data.landed_events(spark, sf_dir)
     return landed.select("id", slim_payload(F.col("payload")).alias("payload"))
 
 
@@ -116,16 +120,7 @@ def fetch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fetched_at",
         "http_status",
         "etag",
-        "repo.full_name",
-        "repo.owner_login",
-        "repo.homepage",
-        "repo.language",
-        "repo.topics",
-        "repo.license_spdx_id",
-        "repo.is_archived",
-        "repo.parent_full_name",
-        "repo.size_kb",
-        "repo.stargazers_count",
+        "repo.*",
         F.col("repo").isNotNull().alias("has_repo"),
     )
 
@@ -272,6 +267,25 @@ def daily_activity_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select(*columns)
 
 
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table through full refreshes, built beside it and published: from all events, from a
+    source that has lost its later dates, and from one that has lost them all."""
+    root, beside = (f"{shared_dir(spark)}/checks-{uuid4().hex}" for _ in range(2))
+    events = data.activity(spark, sf_dir)
+    found = []
+    for step, kept in (("all", "true"), ("shrunk", "event_date < '2024-01-15'"), ("empty", "false")):
+        incremental.refresh(
+            spark, events.where(kept), activity.repo_daily_activity, "daily", root, ["repo_id"],
+            full=True, beside=beside,
+        )
+        incremental.publish(spark, "daily", root, beside, ["repo_id"], full=True)
+        stored = scan_if_exists(spark, "daily", root)
+        rows = 0 if stored is None else stored.count()
+        total = None if stored is None else stored.agg(F.sum("total_events")).first()[0]
+        found.append((step, rows, total or 0))
+    return spark.createDataFrame(found, "step string, rows bigint, events bigint")
+
+
 def latest_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repos.latest_fetch(data.fetches(spark, sf_dir))
 
@@ -420,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_activity": hourly_activity,
     "changed_dates_recompute": changed_dates_recompute,
     "daily_activity_upkeep": daily_activity_upkeep,
+    "full_refresh": full_refresh,
     "latest_fetch": latest_fetch,
     "repo_dim": repo_dim,
     "repo_snapshot_daily": repo_snapshot_daily,

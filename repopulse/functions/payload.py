@@ -15,16 +15,20 @@ def is_blank(line: Column) -> Column:
 def is_json_object(line: Column) -> Column:
     """True for a line that is one JSON object; false for broken text, arrays and scalars.
 
-    The parser stops at the end of the first value. In brackets, a line with more than one value, or
-    with anything else behind the first, is no list of one.
+    The parser stops at the end of the first value, so that alone says nothing about the rest.
     """
     return F.json_object_keys(line).isNotNull() & is_one_value(line)
 
 
 def is_one_value(line: Column) -> Column:
-    """True if nothing follows the line's first JSON value."""
+    """True if nothing follows the line's first JSON value.
+
+    In brackets such a line is a list of one, and as a member of an object it leaves one key. A tail
+    can close the list early or the object early, but a bracket that closes the one breaks the other.
+    """
     listed = F.json_array_length(F.concat(F.lit("["), line, F.lit("]")))
-    return F.coalesce(listed == 1, F.lit(False))
+    member = F.size(F.json_object_keys(F.concat(F.lit('{"x":'), line, F.lit("}"))))
+    return F.coalesce((listed == 1) & (member == 1), F.lit(False))
 
 
 def is_scalar(value: Column) -> Column:

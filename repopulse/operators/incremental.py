@@ -86,7 +86,14 @@ def refresh(
 def publish(
     spark: SparkSession, name: str, root: str, beside: str, sort_by: list[str], full: bool
 ) -> None:
-    """Take over the dates that `refresh` has written beside the table."""
+    """Take over the dates that `refresh` has written beside the table.
+
+    A full refresh that left none has found an empty source, so the table is emptied.
+    """
     recomputed = scan_if_exists(spark, name, beside)
+    if recomputed is None and full:
+        stored = scan_if_exists(spark, name, root)
+        if stored is not None:
+            recomputed = spark.createDataFrame([], stored.schema)
     if recomputed is not None:
         replace_partitions(recomputed, f"{root}/{name}", DATE, sort_by, whole=full)

@@ -99,6 +99,17 @@ def test_only_whole_objects_count_as_good_lines(spark):
     assert found == cases
 
 
+@pytest.mark.parametrize("tail", ["] junk", "} junk", "]", "}", "{}", '] {"id":"4"}', '}, "y": {}', '}} {{', "]}", "}]", ", 1", "//"])
+def test_nothing_behind_an_object_goes_unseen(spark, tail):
+    """A tail may close brackets that the line has not opened."""
+    whole = json.dumps(EVENT)
+    rows = landing.event_rows(lines(spark, whole, whole + tail).withColumn("_source_file", F.lit("f")))
+    rescued = [json.loads(r._rescued_data) for r in rows.collect()]
+    assert [r.get("_corrupt_record") for r in rescued if "_corrupt_record" in r] == [whole + tail]
+    counted = slimming.slimming_counts(lines(spark, whole, whole + tail, whole + " ")).first()
+    assert (counted.events_in, counted.bad_lines) == (2, 1)
+
+
 def test_slim_payload_text(spark):
     cases = {'{"b":1,"a":"x","n":{"k":1},"l":[],"z":null}': '{"b":1,"a":"x"}', "[1]": "{}", "oops": "{}"}
     df = lines(spark, *cases).select("value", slim_payload(F.col("value")).alias("slim"))
