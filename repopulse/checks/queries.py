@@ -161,7 +161,10 @@ def repo_history_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chain = data.history(spark, sf_dir)
+    """Of the stored history, as in a run."""
+    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    rebuild(data.history(spark, sf_dir), f"{root}/history")
+    chain = scan(spark, "history", root)
     offences = scd2.broken_histories(chain, "repo_id", "valid_from", "valid_to")
     return offences.agg(F.count("*").alias("offences"))
 
@@ -176,9 +179,9 @@ def _order_log(spark: SparkSession, sf_dir: str, customer: str) -> DataFrame:
     )
 
 
-def _order_history(log: DataFrame, **options) -> DataFrame:
+def _order_history(log: DataFrame) -> DataFrame:
     tracked = ["o_orderstatus", "o_orderpriority"]
-    versions = scd2.scd2(log, ["customer"], "ordered_at", tracked, ["o_orderkey"], **options)
+    versions = scd2.scd2(log, ["customer"], "ordered_at", tracked, ["o_orderkey"])
     return versions.withColumnsRenamed({scd2.START: "valid_from", scd2.END: "valid_to"})
 
 
@@ -188,9 +191,8 @@ def order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skewed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with a third of all orders under one customer, which is cut into time slices."""
-    log = _order_log(spark, sf_dir, "if(o_custkey % 3 = 0, 0, o_custkey)")
-    return _order_history(log, hot_rows=200)
+    """The same plan with a third of all orders under one customer, who is cut into time slices."""
+    return _order_history(_order_log(spark, sf_dir, "if(o_custkey % 3 = 0, 0, o_custkey)"))
 
 
 # --- streams --------------------------------------------------------------------------------------

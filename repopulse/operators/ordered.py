@@ -1,55 +1,64 @@
 """Row-order operators that stay parallel when one key holds a large part of all rows.
 
-A window partitioned by a key puts all rows of the key into one task. That is right for ordinary
-keys and wrong for a *hot* one, so hot keys are looked for first, with one small job over the key
-column. Usually there are none and the plain window is all there is. Otherwise the rows of the hot
-keys are cut into slices at quantiles of the order column: rows of a slice are handled by one task,
-and what crosses a slice border is worked out on one summary row per slice.
-
-Everything that is broadcast or collected here is bounded: at most MAX_HOT_KEYS keys (the largest)
-are treated as hot, with at most MAX_SLICES slices in all. A key beyond that holds less than
-1/MAX_HOT_KEYS of the rows.
+A window partitioned by a key puts all rows of the key into one task. That is right for most keys and
+wrong for a *heavy* one: a key with more rows than a task's fair share, all rows / shuffle partitions.
+The rows of heavy keys are cut into slices of about that share at quantiles of the order column; rows
+of a slice are handled by one task, and what crosses a slice border is worked out on one summary row
+per slice.
+
+There is one plan for data of any shape, and building it runs no job. Which keys are heavy comes from
+an aggregate inside the plan, which counts keys on the map side. Where none is, adaptive execution
+drops the branch of the slices and the plain windows are all there is.
+
+What is broadcast is bounded by the number of shuffle partitions, whatever the data: no more keys than
+that can hold more than a fair share, and their slices are twice as many at most.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 4096
-MAX_SLICES = 16_384
-MAX_SLICES_PER_KEY = 4096
 SLICE = "_slice"
+GRID = 1024  # quantiles taken of a heavy key; its smallest slice is a 1,024th of it
 
 
 @dataclass(frozen=True)
-class HotKeys:
-    """The hot keys of a DataFrame, each with the order values its rows are cut at."""
+class HeavyKeys:
+    """The heavy keys of a DataFrame, each with the order values its rows are cut at."""
 
     keys: list[str]
     order: str
-    table: DataFrame
+    table: DataFrame  # _h0, _h1, ... and _bounds
+
+    def _matched(self, df: DataFrame, how: str) -> DataFrame:
+        return df.join(F.broadcast(self.table), _same_key(self.keys), how)
 
     def ordinary(self, df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(self.table), self.keys, "left_anti")
+        return self._matched(df, "left_anti")
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """Rows of the hot keys with SLICE, which grows with the order column.
+        """Rows of the heavy keys with SLICE, which grows with the order column.
 
         Equal order values of a key share a slice.
         """
-        marked = df.join(F.broadcast(self.table), self.keys)
-        number = _bounds_below(F.col("_bounds"), F.unix_micros(self.order))
-        return marked.withColumn(SLICE, number).drop("_bounds")
+        marked = self._matched(df, "inner")
+        number = _bounds_below(F.col("_bounds"), F.col(self.order))
+        return marked.withColumn(SLICE, number).select(*df.columns, SLICE)
+
+
+def _same_key(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
 
 
 def _bounds_below(bounds: Column, value: Column) -> Column:
     """How many of the sorted bounds are smaller than the value, by halving steps."""
-    steps = F.array(*[F.lit(2**k) for k in reversed(range(MAX_SLICES_PER_KEY.bit_length()))])
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(GRID.bit_length()))])
 
     def advance(found: Column, step: Column) -> Column:
         smaller = F.coalesce(F.get(bounds, found + step - 1) < value, F.lit(False))
@@ -58,29 +67,29 @@ def _bounds_below(bounds: Column, value: Column) -> Column:
     return F.aggregate(steps, F.lit(0), advance)
 
 
-def find_hot_keys(
-    df: DataFrame, keys: list[str], order: str, hot_rows: int = HOT_ROWS
-) -> HotKeys | None:
-    """Keys with more than `hot_rows` rows, or None. `order` is a timestamp column.
+def heavy_keys(df: DataFrame, keys: list[str], order: str, tasks: int | None = None) -> HeavyKeys:
+    """Keys with more rows than all rows / `tasks`, which is the number of shuffle partitions.
 
-    Runs one aggregate with map-side combine; only if there are hot keys, a second one over their
-    rows. The quantiles are approximate and fixed from then on, so each use cuts the same way.
+    `order` is a number, a date or a timestamp. Its quantiles are approximate and computed once in a
+    plan, so each use cuts the same way. A null is a key like others.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    largest = counted.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
-    rows = largest.collect()
-    if not rows:
-        return None
-    spark = df.sparkSession
-    hot = F.broadcast(spark.createDataFrame(rows, largest.schema).select(*keys))
-
-    wanted = max(-(-row["_rows"] // hot_rows) for row in rows)
-    slices = max(2, min(wanted, MAX_SLICES_PER_KEY, MAX_SLICES // len(rows)))
-    quantiles = F.percentile_approx(
-        F.unix_micros(order), [i / slices for i in range(1, slices)], F.lit(4 * slices)
-    )
-    cut = df.join(hot, keys).groupBy(*keys).agg(quantiles.alias("_bounds"))
-    return HotKeys(keys, order, spark.createDataFrame(cut.collect(), cut.schema))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = [f"_h{i}" for i in range(len(keys))]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    counts = counts.agg(F.count("*").alias("_rows"))
+    # In whole numbers, so that every use of the plan agrees.
+    shares = F.col("_rows") * tasks
+    total = counts.agg(F.sum("_rows")).scalar()
+    heavy = counts.where(shares > total).select(*names, F.ceil(shares / total).alias("_slices"))
+
+    grid = [i / GRID for i in range(1, GRID)]
+    quantiles = F.percentile_approx(order, grid, F.lit(4 * GRID)).alias("_grid")
+    cut = df.join(F.broadcast(heavy), _same_key(keys)).groupBy(*names, "_slices").agg(quantiles)
+
+    def used(_: Column, i: Column) -> Column:
+        return F.floor((i + 1) * F.col("_slices") / GRID) > F.floor(i * F.col("_slices") / GRID)
+
+    return HeavyKeys(keys, order, cut.select(*names, F.filter("_grid", used).alias("_bounds")))
 
 
 def keep_last_copy(df: DataFrame, group: list[str], tie: list[str]) -> DataFrame:
@@ -94,20 +103,18 @@ def keep_last_copy(df: DataFrame, group: list[str], tie: list[str]) -> DataFrame
     return df.groupBy(*group).agg(latest.alias("_row")).select(*group, "_row.*")
 
 
-def split_by_heat(
+def split_by_weight(
     df: DataFrame,
-    hot: HotKeys | None,
+    heavy: HeavyKeys,
     ordinary: Callable[[DataFrame], DataFrame],
     sliced: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Apply one function to the rows of ordinary keys and another to the sliced hot ones."""
-    if hot is None:
-        return ordinary(df)
-    return ordinary(hot.ordinary(df)).unionByName(sliced(hot.sliced(df)))
+    """Apply one function to the rows of ordinary keys and another to the sliced heavy ones."""
+    return ordinary(heavy.ordinary(df)).unionByName(sliced(heavy.sliced(df)))
 
 
 def with_next(
-    df: DataFrame, keys: list[str], order: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], order: str, name: str, tasks: int | None = None
 ) -> DataFrame:
     """Add `name`: the `order` value of the key's next row, null on its last row."""
 
@@ -115,12 +122,21 @@ def with_next(
         return rows.withColumn(name, F.lead(order).over(Window.partitionBy(*keys).orderBy(order)))
 
     def across_slices(rows: DataFrame) -> DataFrame:
-        inside = Window.partitionBy(*keys, SLICE).orderBy(order)
+        slices = [*keys, SLICE]
+        inside = Window.partitionBy(*slices).orderBy(order)
         between = Window.partitionBy(*keys).orderBy(SLICE)
-        firsts = rows.groupBy(*keys, SLICE).agg(F.min(order).alias("_first"))
-        borders = firsts.select(*keys, SLICE, F.lead("_first").over(between).alias("_border"))
+        firsts = rows.groupBy(*slices).agg(F.min(order).alias("_first"))
+        borders = firsts.select(*slices, F.lead("_first").over(between).alias("_border"))
         local = rows.withColumn("_next", F.lead(order).over(inside))
-        joined = local.join(F.broadcast(borders), [*keys, SLICE], "left")
+        joined = join_slices(local, borders, keys)
         return joined.select(*df.columns, F.coalesce("_next", "_border").alias(name))
 
-    return split_by_heat(df, find_hot_keys(df, keys, order, hot_rows), plain, across_slices)
+    return split_by_weight(df, heavy_keys(df, keys, order, tasks), plain, across_slices)
+
+
+def join_slices(rows: DataFrame, borders: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the summary of their slice; there are no more slices than two per task."""
+    names = {k: f"_h{i}" for i, k in enumerate(keys)}
+    right = borders.withColumnsRenamed({**names, SLICE: "_at"})
+    same = _same_key(keys) & (F.col(SLICE) == F.col("_at"))
+    return rows.join(F.broadcast(right), same, "left").drop(*names.values(), "_at")

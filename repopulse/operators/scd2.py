@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repopulse.operators.ordered import (
-    HOT_ROWS,
     SLICE,
-    find_hot_keys,
+    heavy_keys,
+    join_slices,
     keep_last_copy,
-    split_by_heat,
+    split_by_weight,
     with_next,
 )
 
@@ -24,18 +24,20 @@ def scd2(
     sequence: str,
     tracked: list[str],
     tie: list[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Versions of each key, valid from START until END (null on the current version).
 
     A version ends when one of the `tracked` columns changes, nulls compared as values. All other
     columns, `sequence` included, show the latest snapshot of the version. Rows may come in any
     order; of several rows with one (key, sequence) the greatest by `tie`, then by all other columns in
-    their order, counts.
+    their order, counts. A row without a moment belongs to no version.
 
-    Ordinary keys take one shuffle and one sort. A key too large for a task is cut into time slices,
-    and versions that cross a slice border are stitched together from one row per slice.
+    Ordinary keys take one shuffle and one sort. A key with more than a task's share of the rows (see
+    `heavy_keys`) is cut into time slices, and versions that cross a slice border are stitched
+    together from one row per slice. `sequence` is a number, a date or a timestamp.
     """
+    snapshots = snapshots.where(F.col(sequence).isNotNull())
     columns = snapshots.columns
     tie = list(tie or tracked)
     tie += [c for c in columns if c not in {*keys, sequence, *tie}]
@@ -50,8 +52,8 @@ def scd2(
         parts = _versions_within(single, slices, sequence, tracked, tie)
         return _stitch(parts, keys, tracked).select(*columns, START, END)
 
-    hot = find_hot_keys(snapshots, keys, sequence, hot_rows)
-    return split_by_heat(snapshots, hot, plain, across_slices)
+    heavy = heavy_keys(snapshots, keys, sequence, tasks)
+    return split_by_weight(snapshots, heavy, plain, across_slices)
 
 
 def _versions_within(
@@ -79,11 +81,9 @@ def _versions_within(
 def _stitch(parts: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame:
     """Versions of whole keys from the versions within their slices.
 
-    Only the first and last version of a slice can belong to one that crosses its border. The
-    borders are one row per slice, so they are broadcast.
+    Only the first and last version of a slice can belong to one that crosses its border.
     """
-    borders = _borders(parts, keys, tracked)
-    joined = parts.join(F.broadcast(borders), [*keys, SLICE])
+    joined = join_slices(parts, _borders(parts, keys, tracked), keys)
     is_first = F.col("_start") == F.col("_first_start")
     is_last = F.col("_next").isNull()
     start = F.when(is_first & F.col("_continues"), F.col("_carried_start"))
@@ -138,13 +138,13 @@ def _borders(parts: DataFrame, keys: list[str], tracked: list[str]) -> DataFrame
 
 
 def broken_histories(
-    history: DataFrame, key: str, start: str, end: str, hot_rows: int = HOT_ROWS
+    history: DataFrame, key: str, start: str, end: str, tasks: int | None = None
 ) -> DataFrame:
     """Offences against a clean version chain; an intact history gives no rows.
 
     Each version must end exactly when the next one starts, and one version per key is current.
     """
-    chained = with_next(history.select(key, start, end), [key], start, "_next_start", hot_rows)
+    chained = with_next(history.select(key, start, end), [key], start, "_next_start", tasks)
     misfit = F.col(end).isNull() | (F.col(end) != F.col("_next_start"))
     gaps = chained.where(F.col("_next_start").isNotNull() & misfit)
     current = history.groupBy(key).agg(F.count_if(F.col(end).isNull()).alias("_current"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from repopulse.operators.ordered import HOT_ROWS
 from repopulse.operators.scd2 import scd2
 from repopulse.plans import silver
 from repopulse.schemas import BRONZE_FETCH_DDL, TRACKED_ATTRIBUTES
@@ -42,7 +41,7 @@ class HistorySink:
     tracked: list[str]
     tie: list[str] | None = None
     buckets: int = 64
-    hot_rows: int = HOT_ROWS
+    tasks: int | None = None
 
     @property
     def log_path(self) -> str:
@@ -72,7 +71,7 @@ class HistorySink:
             return
         affected = log.where(F.col(BUCKET).isin([row[0] for row in touched])).drop(BATCH)
         versions = scd2(
-            affected, [BUCKET, *self.keys], self.sequence, self.tracked, self.tie, self.hot_rows
+            affected, [BUCKET, *self.keys], self.sequence, self.tracked, self.tie, self.tasks
         )
         _replace(versions, self.history_path, BUCKET)
 

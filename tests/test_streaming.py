@@ -163,7 +163,7 @@ def test_streamed_history_equals_a_full_rebuild(spark, tmp_path, rows):
 
     log = random_log(5, keys=20, hot=1)
     sink = HistorySink(
-        spark, str(tmp_path / "h"), ["k"], "at", ["a", "b"], ["note"], buckets=4, hot_rows=50
+        spark, str(tmp_path / "h"), ["k"], "at", ["a", "b"], ["note"], buckets=4, tasks=50
     )
     cuts = [0, 50, 51, 300, len(log)]
     for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
