@@ -213,18 +213,18 @@ def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch records landed in two parts, mixed in time, and followed into the history table."""
+    """Fetch records landed in four parts, mixed in time, and followed into the history table."""
     root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
     records = data.spread(data.landed_fetches(spark, sf_dir)).drop("_ingested_at")
-    sink = repo_history_sink(spark, f"{root}/silver_history", buckets=8)
-    for part in (0, 1):
-        landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(2)) == part)
+    sink = repo_history_sink(spark, f"{root}/silver_history", fan=3)
+    for part in range(4):
+        landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(4)) == part)
         landed.write.mode("append").option("compression", "gzip").json(f"{root}/landed")
         flows.load_fetches(
             spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*"
         )
         track_history(spark, f"{root}/bronze", sink, f"{root}/_h")
-    return silver.staged_history(spark.read.parquet(sink.history_path))
+    return silver.staged_history(sink.history())
 
 
 # --- gold -----------------------------------------------------------------------------------------

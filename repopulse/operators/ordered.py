@@ -82,8 +82,8 @@ def heavy_keys(df: DataFrame, keys: list[str], order: str, tasks: int | None = N
     total = counts.agg(F.sum("_rows")).scalar()
     heavy = counts.where(shares > total).select(*names, F.ceil(shares / total).alias("_slices"))
 
-    grid = [i / GRID for i in range(1, GRID)]
-    quantiles = F.percentile_approx(order, grid, F.lit(4 * GRID)).alias("_grid")
+    grid = ", ".join(f"{i / GRID}D" for i in range(1, GRID))
+    quantiles = F.expr(f"percentile_approx(`{order}`, array({grid}), {4 * GRID})").alias("_grid")
     cut = df.join(F.broadcast(heavy), _same_key(keys)).groupBy(*names, "_slices").agg(quantiles)
 
     def used(_: Column, i: Column) -> Column:

@@ -72,12 +72,13 @@ def staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     no_versions = silver.repo_snapshots(no_fetch).selectExpr(
         "*", f"fetched_at AS {START}", f"fetched_at AS {END}"
     )
+    versions = repo_history_sink(spark, f"{root}/silver_history").history()
     return {
         "events": silver.staged_events(stored("silver_events", no_events)),
         "repo_fetches": silver.staged_fetches(
             stored("silver_fetches", silver.type_fetches(no_fetch))
         ),
-        "repo_history": silver.staged_history(stored("silver_history/history", no_versions)),
+        "repo_history": silver.staged_history(no_versions if versions is None else versions),
     }
 
 

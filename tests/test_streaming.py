@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import random
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ from repopulse.plans import daily_run
 from repopulse.plans.reports import panels
 from repopulse.schemas import KNOWN_EVENT_TYPES
 from repopulse.streaming import flows
-from repopulse.streaming.history import HistorySink
+from repopulse.streaming.history import HistorySink, repo_history_sink
+from tests.test_scd2 import BASE, DDL, built, expected, random_log
 
 PARAMS = Params(trending_top_n=5)
 
@@ -157,22 +158,98 @@ def test_repeated_ids_can_be_dropped_on_request(spark, site):
     assert counts(spark, f"{lake}/silver") == 2
 
 
-def test_streamed_history_equals_a_full_rebuild(spark, tmp_path, rows):
-    """Late, repeated and out-of-order batches, a repeated batch id, and a hot key."""
-    from tests.test_scd2 import DDL, built, expected, random_log
-
+def test_streamed_history_equals_a_full_rebuild(spark, tmp_path):
+    """Late, repeated and out-of-order batches, a repeated batch id, a heavy key, and merged runs."""
     log = random_log(5, keys=20, hot=1)
     sink = HistorySink(
-        spark, str(tmp_path / "h"), ["k"], "at", ["a", "b"], ["note"], buckets=4, tasks=50
+        spark, str(tmp_path / "h"), ["k"], "at", ["a", "b"], ["note"], fan=3, tasks=20
     )
-    cuts = [0, 50, 51, 300, len(log)]
+    cuts = [0, 50, 51, 300, 302, len(log)]
     for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
         batch = spark.createDataFrame(log[low:high], DDL)
         sink(batch, number)
         if number % 2:
             sink(batch, number)
+            assert built(sink.history()) == expected(log[:high])
     sink(spark.createDataFrame([], DDL), 99)
-    assert built(spark.read.parquet(sink.history_path)) == expected(log)
+    assert built(sink.history()) == expected(log)
+    stored = sink.stored()
+    for runs in (stored.log, stored.versions):
+        assert len(runs) <= 4 and any(run.startswith("level=1/") for run in runs)
+    folders = [p for kind in ("log", "versions") for p in (tmp_path / "h" / kind).glob("level=*/run=*")]
+    assert len(folders) <= 2 * 2 * 3
+    with pytest.raises(ValueError):
+        sink(batch, 3)
+
+
+def at(minute):
+    return BASE + timedelta(minutes=minute)
+
+
+LATE = [
+    [(5, "x")],  # inside a version, unchanged
+    [(5, "q")],  # splits a version
+    [(10, "x")],  # replaces the moment a version began with, which joins it to the one before
+    [(10, "z")],
+    [(15, "z")],  # the next version begins earlier
+    [(0, "y")],  # the first moment replaced
+    [(-5, "x")],  # the first version begins earlier
+    [(-5, "n"), (99, "n")],  # both ends at once
+    [(12, None), (25, "z"), (22, "x")],
+    [(30, "w")],
+    [],
+]
+
+
+def test_a_batch_is_spliced_between_its_neighbours(spark, tmp_path):
+    """Each case is a key of its own."""
+    known = ((0, "x"), (7, "x"), (10, "y"), (12, "y"), (20, "z"), (30, "x"))
+    old = [(k, at(m), a, None, m) for k in range(len(LATE)) for m, a in known]
+    late = [(k, at(m), a, None, 100 + i) for k, new in enumerate(LATE) for i, (m, a) in enumerate(new)]
+    sink = HistorySink(spark, str(tmp_path), ["k"], "at", ["a", "b"], ["note"])
+    sink(spark.createDataFrame(old, DDL), 0)
+    sink(spark.createDataFrame(late, DDL), 1)
+    assert built(sink.history()) == expected(old + late)
+    # What is written again: no other key, and no version outside the splice.
+    changed = spark.read.parquet(f"{tmp_path}/versions/{sink.stored().versions[-1]}").collect()
+    assert {r.k for r in changed} == set(range(len(LATE) - 1))
+    assert {(r[START].replace(tzinfo=UTC) - BASE).seconds // 60 for r in changed if r.k == 9} == {20, 30}
+
+
+def test_a_batch_reads_and_rewrites_no_other_key(spark, tmp_path):
+    """Rows that leave the scans of the log, of 60 keys with 2,500 snapshots each."""
+    big = spark.range(150_000).selectExpr(
+        "id % 60 AS k", "timestamp_seconds(1700000000 + id) AS at", "string(id % 7) AS a", "id AS note"
+    )
+    sink = HistorySink(spark, str(tmp_path), ["k"], "at", ["a"], ["note"])
+    sink(big, 0)
+    late = big.where("k = 17 AND note IN (75017, 149957)").selectExpr("k", "at", "'new' AS a", "note + 1 AS note")
+    log, history = spark.read.parquet(f"{tmp_path}/log/{sink.stored().log[0]}"), sink.history()
+    sink(late, 1)
+    for table in (log, history):
+        found = sink._touched(table, sink._read("work", "intervals"))
+        found.collect()
+        assert scanned_rows(found) < 15_000
+    assert spark.read.parquet(f"{tmp_path}/versions/{sink.stored().versions[-1]}").where("k <> 17").isEmpty()
+    assert spark.read.parquet(f"{tmp_path}/log/{sink.stored().log[-1]}").count() == 2
+
+
+def scanned_rows(df):
+    """Most rows that a scan of the executed plan has given."""
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            yield from walk(node.executedPlan())
+        elif "QueryStage" in name:
+            yield from walk(node.plan())
+        elif name.startswith("Scan "):
+            yield node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        for i in range(children.size()):
+            yield from walk(children.apply(i))
+
+    return max(walk(df._jdf.queryExecution().executedPlan()))
 
 
 def test_daily_run(spark, site):
@@ -220,7 +297,7 @@ def test_daily_run(spark, site):
     assert (dim[2].version_count, dim[2].latest_outcome, dim[2].stargazers_count) == (1, "not_modified", 5)
     assert set(dim) == {0, 2}
     assert third.tests.where("failures > 0 AND severity = 'error'").isEmpty()
-    chain = spark.read.parquet(f"{lake}/silver_history/history").where("repo_id = 0").orderBy(START).collect()
+    chain = repo_history_sink(spark, f"{lake}/silver_history").history().where("repo_id = 0").orderBy(START).collect()
     assert chain[0][END] == chain[1][START] and chain[1][END] is None
 
     shown = {name: panel.collect() for name, panel in panels(third.tables, PARAMS).items()}
@@ -271,15 +348,6 @@ def test_violations_of_every_batch_are_counted(spark, site):
     assert flows.violations(query, "silver_events")["valid_event_id"] == 6
 
 
-def test_another_number_of_buckets_is_refused(spark, tmp_path):
-    rows = spark.createDataFrame([("x", 1, "a")], "k string, at bigint, a string")
-    options = dict(keys=["k"], sequence="at", tracked=["a"])
-    HistorySink(spark, str(tmp_path), buckets=4, **options)(rows, 0)
-    HistorySink(spark, str(tmp_path), buckets=4, **options)(rows, 1)
-    with pytest.raises(ValueError):
-        HistorySink(spark, str(tmp_path), buckets=7, **options)(rows, 2)
-
-
 def test_equal_moments_are_decided_by_all_columns(spark):
     from repopulse.operators.scd2 import scd2
 
