@@ -86,10 +86,12 @@ def daily_of(source: str, name: str = "daily") -> str:
 
 DAILY = daily_of("activity")
 
+LOADED_THROUGH = f", strftime(_loaded_through, {T}) AS _loaded_through"
+
 DAILY_COLUMNS = f"""
   CAST(event_date AS VARCHAR) AS event_date, repo_id, repo_name, org_login, stars, forks, pushes,
   pull_requests_opened, pull_requests_merged, issues_opened, releases, unique_human_actors,
-  total_events, bot_events, strftime(_loaded_through, {T}) AS _loaded_through"""
+  total_events, bot_events{LOADED_THROUGH}"""
 
 HOURLY = """
 hourly AS (
@@ -585,6 +587,32 @@ FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)""",
     "streamed_events": query(
         f"SELECT {SILVER_COLUMNS} FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)", ACTIVITY, FEED
     ),
+    "streamed_dedup": query(
+        f"SELECT {SILVER_COLUMNS} FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)", ACTIVITY, FEED
+    ),
+    "streamed_violations": query(
+        """
+SELECT 'rows' AS rule, 'seen' AS action, count(*) AS violations FROM feed
+UNION ALL SELECT 'valid_event_id', 'drop', count(*) FILTER (spoil IN (3, 5, 7)) FROM feed
+UNION ALL SELECT 'valid_event_type', 'drop', count(*) FILTER (spoil IN (3, 5)) FROM feed
+UNION ALL SELECT 'valid_created_at', 'drop', count(*) FILTER (spoil IN (0, 3, 5)) FROM feed
+UNION ALL SELECT 'valid_repo', 'drop', count(*) FILTER (spoil IN (1, 2, 3, 5)) FROM feed
+UNION ALL SELECT 'known_event_type', 'warn', count(*) FILTER (spoil IN (3, 4, 5)) FROM feed""",
+        ACTIVITY,
+        FEED,
+    ),
+    "ledger_upkeep": query(
+        f"SELECT {DAILY_COLUMNS.replace(LOADED_THROUGH, '')} FROM feed_daily",
+        ACTIVITY,
+        FEED,
+        """
+kept_feed AS (
+  SELECT * REPLACE (CASE WHEN spoil = 4 THEN 'SparkleEvent' ELSE event_type END AS event_type,
+    date_trunc('second', created_at) AS created_at)
+  FROM feed WHERE spoil NOT IN (0, 1, 2, 3, 5, 7)
+)""",
+        daily_of("kept_feed", "feed_daily"),
+    ),
     "expectation_counts": query(
         """
 SELECT 'valid_event_id' AS rule, 'drop' AS action, count(*) FILTER (spoil IN (3, 5, 7)) AS violations FROM feed

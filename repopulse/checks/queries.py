@@ -32,7 +32,7 @@ from repopulse.plans.gold import build_gold
 from repopulse.session import shared_dir
 from repopulse.sources import landing
 from repopulse.sources.tables import rebuild, scan, scan_if_exists
-from repopulse.streaming import flows
+from repopulse.streaming import batches, flows
 from repopulse.streaming.history import repo_history_sink, track_history
 
 # The test tables hold few repositories, so the caps are lower than in production.
@@ -48,6 +48,11 @@ def _moment(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def _check_folder(spark: SparkSession) -> str:
+    """A new folder for what a query stores."""
+    return f"{shared_dir(spark)}/checks-{uuid4().hex}"
+
+
 def _day(text: str) -> Column:
     return F.lit(text).cast("date")
 
@@ -162,7 +167,7 @@ def repo_history_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the stored history, as in a run."""
-    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    root = _check_folder(spark)
     rebuild(data.history(spark, sf_dir), f"{root}/history")
     chain = scan(spark, "history", root)
     offences = scd2.broken_histories(chain, "repo_id", "valid_from", "valid_to")
@@ -198,32 +203,77 @@ def skewed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams --------------------------------------------------------------------------------------
 
 
+def _land(spark: SparkSession, lines: DataFrame, root: str, within: str | None = None) -> None:
+    """More feed lines as files, loaded through bronze into silver; each call starts the flows anew."""
+    landed = lines.select("value").write.mode("append").option("compression", "gzip")
+    landed.text(f"{root}/landed")
+    flows.load_events(spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*")
+    flows.type_events(
+        spark, f"{root}/bronze", f"{root}/silver", f"{root}/_s", f"{root}/records", within
+    )
+
+
+def _part(lines: DataFrame, number: int, parts: int = 2) -> DataFrame:
+    return lines.where(F.col("event_id").cast("bigint") % parts == number)
+
+
 def streamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed lines landed as files in two parts, each loaded through bronze into silver."""
-    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
-    lines = data.feed_lines(spark, sf_dir)
-    for part in (0, 1):
-        landed = lines.where(F.col("event_id").cast("bigint") % 2 == part).select("value")
-        landed.write.mode("append").option("compression", "gzip").text(f"{root}/landed")
-        flows.load_events(
-            spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*"
+    root, lines = _check_folder(spark), data.feed_lines(spark, sf_dir)
+    for number in (0, 1):
+        _land(spark, _part(lines, number), root)
+    return scan(spark, "silver", root).drop("_ingested_at", "_source_file", "load")
+
+
+def streamed_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of two runs have recorded, read back from storage."""
+    root, lines = _check_folder(spark), data.feed_lines(spark, sf_dir)
+    for number in (0, 1):
+        _land(spark, _part(lines, number), root)
+    return batches.violations(spark, f"{root}/records", "silver_events")
+
+
+def streamed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines landed, and every third of them a second time after a restart; copies go."""
+    root, lines = _check_folder(spark), data.feed_lines(spark, sf_dir)
+    _land(spark, lines, root, within="90 days")
+    _land(spark, _part(lines, 0, 3), root, within="90 days")
+    return scan(spark, "silver", root).drop("_ingested_at", "_source_file", "load")
+
+
+def ledger_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily facts kept up to date from a ledger of loads: two landings, an upkeep run after each.
+
+    The second landing holds the later half of the dates and late lines of some early ones.
+    """
+    root, lines = _check_folder(spark), data.feed_lines(spark, sf_dir)
+    late = lines.where("value LIKE '%2024-01-2%' OR cast(event_id AS bigint) % 9 = 0")
+    for some in (lines.join(late.select("event_id"), "event_id", "left_anti"), late):
+        _land(spark, some, root)
+        table = incremental.refresh(
+            spark,
+            silver.staged_events(scan(spark, "silver", root)),
+            activity.repo_daily_activity,
+            "daily",
+            root,
+            ["repo_id"],
+            ledger=batches.ledger(spark, f"{root}/records", "silver_events"),
         )
-        flows.type_events(spark, f"{root}/bronze", f"{root}/silver", f"{root}/_s")
-    return scan(spark, "silver", root).drop("_ingested_at", "_source_file")
+    return table.drop("_loaded_through")
 
 
 def streamed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fetch records landed in four parts, mixed in time, and followed into the history table."""
-    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    """Fetch records landed in three parts, mixed in time, and followed into the history table."""
+    root = _check_folder(spark)
     records = data.spread(data.landed_fetches(spark, sf_dir)).drop("_ingested_at")
-    sink = repo_history_sink(spark, f"{root}/silver_history", fan=3)
-    for part in range(4):
-        landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(4)) == part)
+    sink = repo_history_sink(spark, f"{root}/silver_history", fan=2)
+    for part in range(3):
+        landed = records.where(F.pmod(F.xxhash64("etag"), F.lit(3)) == part)
         landed.write.mode("append").option("compression", "gzip").json(f"{root}/landed")
         flows.load_fetches(
             spark, f"{root}/landed", f"{root}/bronze", f"{root}/_b", glob="part-*"
         )
-        track_history(spark, f"{root}/bronze", sink, f"{root}/_h")
+        track_history(spark, f"{root}/bronze", sink, f"{root}/_h", f"{root}/records")
     return silver.staged_history(sink.history())
 
 
@@ -257,7 +307,7 @@ def changed_dates_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_activity_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a stored table: a full build, then an upkeep run with the later loads."""
-    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    root = _check_folder(spark)
     events = _late_activity(spark, sf_dir)
     mark = int(LOAD_MARK.timestamp()) * 1_000_000
     first_load = events.where(F.col("_ingested_at") <= F.timestamp_micros(F.lit(mark)))
@@ -272,7 +322,7 @@ def daily_activity_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored table through full refreshes, built beside it and published: from all events, from a
     source that has lost its later dates, and from one that has lost them all."""
-    root, beside = (f"{shared_dir(spark)}/checks-{uuid4().hex}" for _ in range(2))
+    root, beside = _check_folder(spark), _check_folder(spark)
     events = data.activity(spark, sf_dir)
     found = []
     for step, kept in (("all", "true"), ("shrunk", "event_date < '2024-01-15'"), ("empty", "false")):
@@ -396,7 +446,7 @@ def contract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    root = f"{shared_dir(spark)}/checks-{uuid4().hex}"
+    root = _check_folder(spark)
     staged = {
         "events": data.activity(spark, sf_dir),
         "repo_fetches": data.fetches(spark, sf_dir),
@@ -432,6 +482,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skewed_history": skewed_history,
     "streamed_events": streamed_events,
     "streamed_history": streamed_history,
+    "streamed_violations": streamed_violations,
+    "streamed_dedup": streamed_dedup,
+    "ledger_upkeep": ledger_upkeep,
     "repo_daily_activity": repo_daily_activity,
     "hourly_activity": hourly_activity,
     "changed_dates_recompute": changed_dates_recompute,

@@ -16,7 +16,12 @@ class Expectations:
     required: dict[str, str]
     expected: dict[str, str] = field(default_factory=dict)
 
-    def _violations(self) -> list[Column]:
+    def actions(self) -> dict[str, str]:
+        """What each rule does to a row that breaks it."""
+        return {**dict.fromkeys(self.required, "drop"), **dict.fromkeys(self.expected, "warn")}
+
+    def violations(self) -> list[Column]:
+        """Aggregates: how many rows break each rule."""
         rules = {**self.required, **self.expected}
         return [F.count_if(~_holds(rule)).alias(name) for name, rule in rules.items()]
 
@@ -24,26 +29,24 @@ class Expectations:
         """Rows for which every required rule holds."""
         return df.where(reduce(Column.__and__, map(_holds, self.required.values()), F.lit(True)))
 
-    def watch(self, df: DataFrame, name: str | Observation) -> DataFrame:
+    def watch(self, df: DataFrame, counts: Observation) -> DataFrame:
         """`keep`, with the violations per rule counted in passing.
 
-        The counts ride on the query itself: no second scan. In a batch they arrive in an
-        Observation; in a stream, in the progress events under `name`.
+        The counts ride on the query itself: no second scan.
         """
-        return self.keep(df.observe(name, F.count("*").alias("rows"), *self._violations()))
+        return self.keep(df.observe(counts, F.count("*").alias("rows"), *self.violations()))
 
     def counts(self, df: DataFrame) -> DataFrame:
         """One row per rule with its action and number of violations, from a single pass."""
-        actions = {**dict.fromkeys(self.required, "drop"), **dict.fromkeys(self.expected, "warn")}
         per_rule = [
             F.struct(
                 F.lit(rule).alias("rule"),
                 F.lit(action).alias("action"),
                 F.col(rule).alias("violations"),
             )
-            for rule, action in actions.items()
+            for rule, action in self.actions().items()
         ]
-        totals = df.agg(*self._violations())
+        totals = df.agg(*self.violations())
         return totals.select(F.inline(F.array(*per_rule)))
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from repopulse.sources.tables import replace_partitions, scan_if_exists
 LOADED_AT = "_ingested_at"
 LOADED_THROUGH = "_loaded_through"
 DATE = "event_date"
+APPLIED = "_applied"  # the last load each table includes
 
 
 def changed_dates(source: DataFrame, mark: int | None) -> DataFrame:
@@ -41,6 +44,36 @@ def high_water_mark(target: DataFrame | None) -> int | None:
     return None if target is None else target.agg(F.unix_micros(F.max(LOADED_THROUGH))).first()[0]
 
 
+@dataclass(frozen=True)
+class Changes:
+    """Dates that loads after the last applied one have touched; None stands for all dates."""
+
+    dates: list[date] | None
+    through: int
+
+
+def changes(ledger: DataFrame, applied: int | None) -> Changes:
+    """What a ledger (load, event_date) tells an upkeep run.
+
+    Only the ledger is read, and its dates are bounded by the calendar.
+    """
+    through = ledger.agg(F.coalesce(F.max("load"), F.lit(-1))).first()[0]
+    if applied is None:
+        return Changes(None, through)
+    later = ledger.where((F.col("load") > applied) & F.col(DATE).isNotNull())
+    return Changes([row[0] for row in later.select(DATE).distinct().collect()], through)
+
+
+def _applied(spark: SparkSession, name: str, root: str) -> int | None:
+    found = scan_if_exists(spark, f"{APPLIED}/{name}", root)
+    return None if found is None else found.first()[0]
+
+
+def _apply(spark: SparkSession, name: str, root: str, through: int) -> None:
+    row = spark.range(1).select(F.lit(through).cast("bigint").alias("load"))
+    row.write.mode("overwrite").parquet(f"{root}/{APPLIED}/{name}")
+
+
 def merge_dates(target: DataFrame, recomputed: DataFrame) -> DataFrame:
     """The table after an upkeep run: recomputed dates replace what was there.
 
@@ -59,6 +92,7 @@ def refresh(
     sort_by: list[str],
     full: bool = False,
     beside: str | None = None,
+    ledger: DataFrame | None = None,
 ) -> DataFrame:
     """Bring the stored table `name` up to date and return it.
 
@@ -68,17 +102,30 @@ def refresh(
     The mark is read before anything is written, and only whole date partitions are replaced, so a
     run that dies half-way is repaired by running it again. A full refresh replaces the whole table:
     dates that left the source go.
+
+    With a `ledger` of the source's loads the changed dates come from it, and the mark is the last load
+    applied, kept beside the table: neither the source nor the table is scanned for them, and dates are
+    part of the plan, so only their files are read.
     """
     target = None if full else scan_if_exists(spark, name, root)
-    rows = rows_to_recompute(source, high_water_mark(target))
+    if ledger is None:
+        rows = rows_to_recompute(source, high_water_mark(target))
+    else:
+        found = changes(ledger, None if target is None else _applied(spark, name, root))
+        known = F.col(DATE).isNotNull() if found.dates is None else F.col(DATE).isin(found.dates)
+        rows = source.where(known)
     built = build(rows)
     if beside:
         replace_partitions(built, f"{beside}/{name}", DATE, sort_by, whole=True)
+        if ledger is not None:
+            _apply(spark, name, beside, found.through)
         recomputed = scan_if_exists(spark, name, beside)
         if recomputed is None:
             return built if target is None else target
         return recomputed if target is None else merge_dates(target, recomputed)
     replace_partitions(built, f"{root}/{name}", DATE, sort_by, whole=full)
+    if ledger is not None:
+        _apply(spark, name, root, found.through)
     stored = scan_if_exists(spark, name, root)
     return built if stored is None else stored  # nothing is stored while there is no row at all
 
@@ -97,3 +144,6 @@ def publish(
             recomputed = spark.createDataFrame([], stored.schema)
     if recomputed is not None:
         replace_partitions(recomputed, f"{root}/{name}", DATE, sort_by, whole=full)
+    through = _applied(spark, name, beside)
+    if through is not None:
+        _apply(spark, name, root, through)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,10 +17,13 @@ from repopulse.schemas import BRONZE_EVENT_DDL, BRONZE_FETCH_DDL
 from repopulse.session import prepare
 from repopulse.sources.landing import landed_files
 from repopulse.sources.tables import scan_if_exists
-from repopulse.streaming import flows
+from repopulse.streaming import batches, flows
 from repopulse.streaming.history import repo_history_sink, track_history
 
 
+RECORDS = "records"
+
+
 class ContractBroken(Exception):
     """A test of severity `error` found offences."""
 
@@ -35,28 +39,42 @@ class RunResult:
 def load(
     spark: SparkSession, event_files: str, fetch_files: str, root: str, max_files: int | None = None
 ) -> dict[str, dict[str, int]]:
-    """Load new files up to silver; returns the violations per expectation.
+    """Load new files up to silver; returns this run's violations per expectation.
 
     A feed without any files yet (no repository has been fetched before the first queue exists) is
     passed over.
     """
     state, found = f"{root}/_checkpoints", {}
     bronze_events, bronze_fetches = f"{root}/bronze_events", f"{root}/bronze_fetches"
+    records = f"{root}/{RECORDS}"
+
+    def counted(name: str, flow: Callable[[], object]) -> None:
+        before = batches.last_load(spark, records, name)
+        flow()
+        rows = batches.violations(spark, records, name, before).collect()
+        found[name] = {row.rule: row.violations for row in rows}
+
     if not landed_files(spark, event_files).isEmpty():
         flows.load_events(spark, event_files, bronze_events, f"{state}/bronze_events", max_files)
-        query = flows.type_events(
-            spark, bronze_events, f"{root}/silver_events", f"{state}/silver_events"
+        counted(
+            "silver_events",
+            lambda: flows.type_events(
+                spark, bronze_events, f"{root}/silver_events", f"{state}/silver_events", records
+            ),
         )
-        found["silver_events"] = flows.violations(query, "silver_events")
     if not landed_files(spark, fetch_files).isEmpty():
         flows.load_fetches(spark, fetch_files, bronze_fetches, f"{state}/bronze_fetches", max_files)
-        query = flows.type_fetches(
-            spark, bronze_fetches, f"{root}/silver_fetches", f"{state}/silver_fetches"
+        counted(
+            "silver_repo_fetches",
+            lambda: flows.type_fetches(
+                spark, bronze_fetches, f"{root}/silver_fetches", f"{state}/silver_fetches", records
+            ),
         )
-        found["silver_repo_fetches"] = flows.violations(query, "silver_repo_fetches")
         sink = repo_history_sink(spark, f"{root}/silver_history")
-        query = track_history(spark, bronze_fetches, sink, f"{state}/silver_history")
-        found["repo_snapshots"] = flows.violations(query, "repo_snapshots")
+        counted(
+            "repo_snapshots",
+            lambda: track_history(spark, bronze_fetches, sink, f"{state}/silver_history", records),
+        )
     return found
 
 
@@ -99,7 +117,10 @@ def run(
     prepare(spark)
     violations = load(spark, event_files, fetch_files, root)
     gold, beside = f"{root}/gold", f"{root}/gold_next"
-    tables = build_gold(spark, staged(spark, root), gold, params, full, beside=beside)
+    changes = batches.ledger(spark, f"{root}/{RECORDS}", "silver_events")
+    tables = build_gold(
+        spark, staged(spark, root), gold, params, full, beside=beside, ledger=changes
+    )
     tests = _kept(contract_results(tables, now))
     fresh = _kept(source_freshness(tables["events"], tables["repo_fetches"], now))
     offences = [row.test for row in failed(tests).collect()]

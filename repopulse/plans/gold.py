@@ -36,8 +36,9 @@ def build_gold(
     as_of: Column | None = None,
     queued_at: Column | None = None,
     beside: str | None = None,
+    ledger: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All tables by name, staged ones included.
+    """All tables by name, staged ones included. `ledger` is that of the events.
 
     With `beside` everything new is written to that folder and the tables below `root` stay as they
     are until `publish_gold`.
@@ -55,7 +56,9 @@ def build_gold(
         return scan(spark, name, beside or root)
 
     def upkeep(name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        return incremental.refresh(spark, events, build, name, root, DATED[name], full, beside)
+        return incremental.refresh(
+            spark, events, build, name, root, DATED[name], full, beside, ledger
+        )
 
     _side_by_side(
         tables,

@@ -114,7 +114,7 @@ def type_fetches(landed: DataFrame) -> DataFrame:
 def repo_snapshots(landed: DataFrame) -> DataFrame:
     """Full attribute snapshots, from successful fetches only.
 
-    Topics are sorted: the same topics in another order are no change.
+    A list of topics counts as a set.
     """
     topics = F.array_sort(F.coalesce("repo.topics", F.array().cast("array<string>")))
     columns = [topics.alias(a) if a == "topics" else F.col(f"repo.{a}") for a in ATTRIBUTES]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -11,22 +11,18 @@ from pyspark.sql.types import StructType
 from repopulse.plans import silver
 from repopulse.schemas import BRONZE_EVENT_DDL, BRONZE_FETCH_DDL
 from repopulse.sources import landing
+from repopulse.streaming.batches import BatchTable, count_only
 
 
-def append(
-    rows: DataFrame, path: str, checkpoint: str, partition: str | None = None
-) -> StreamingQuery:
+def append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write everything available now to a parquet table, exactly once, and wait for it."""
-    keep_all_progress(rows.sparkSession)
-    writer = (
+    query = (
         rows.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
+        .start(path)
     )
-    if partition:
-        writer = writer.partitionBy(partition)
-    query = writer.start(path)
     query.awaitTermination()
     return query
 
@@ -72,44 +68,71 @@ def load_fetches(
     return append(landing.fetch_rows(lines), table, checkpoint)
 
 
+def into(rows: DataFrame, table: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Give everything available now to a table, batch by batch, and wait for it."""
+    query = (
+        rows.writeStream.foreachBatch(table)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def event_table(path: str, records: str) -> BatchTable:
+    """Typed events: a folder per date, and in it sorted by type and time."""
+    return BatchTable(
+        path,
+        records,
+        "silver_events",
+        silver.EVENT_RULES,
+        order=["event_type", "created_at"],
+        date="event_date",
+        partition="event_date",
+    )
+
+
+def fetch_table(path: str, records: str) -> BatchTable:
+    """The typed fetch log, sorted by repository and time."""
+    return BatchTable(
+        path,
+        records,
+        "silver_repo_fetches",
+        silver.FETCH_RULES,
+        order=["repo_id", "fetched_at"],
+        date="to_date(fetched_at)",
+    )
+
+
 def type_events(
     spark: SparkSession,
     bronze: str,
     table: str,
     checkpoint: str,
+    records: str,
     within: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Bronze events to silver, one folder per date so that reports read few dates.
+    """Bronze events to silver.
 
     Repeated event ids are kept. `within` (an interval such as `2 hours`) drops the later copies
-    that arrive that close together in event time; off unless asked for.
+    that arrive that close together in event time, across batches and restarts: the ids of that time
+    are kept as state, and rows older than it are left out. Off unless asked for.
     """
     rows = silver.type_events(table_stream(spark, bronze, BRONZE_EVENT_DDL, max_files))
-    checked = silver.EVENT_RULES.watch(rows, "silver_events")
+    sink = event_table(table, records)
     if within:
-        checked = checked.withWatermark("created_at", within).dropDuplicatesWithinWatermark(
-            ["event_id"]
-        )
-    return append(checked, table, checkpoint, partition="event_date")
+        # Copies go before the table sees them, so the rules are counted on all rows by themselves.
+        into(rows, count_only(records, "all_events", silver.EVENT_RULES), f"{checkpoint}_counts")
+        rows = silver.EVENT_RULES.keep(rows).withWatermark("created_at", within)
+        rows = rows.dropDuplicatesWithinWatermark(["event_id"])
+    return into(rows, sink, checkpoint)
 
 
-def type_fetches(spark: SparkSession, bronze: str, table: str, checkpoint: str) -> StreamingQuery:
+def type_fetches(
+    spark: SparkSession, bronze: str, table: str, checkpoint: str, records: str
+) -> StreamingQuery:
     """Bronze fetch records to the typed fetch log."""
     rows = silver.type_fetches(table_stream(spark, bronze, BRONZE_FETCH_DDL))
-    return append(silver.FETCH_RULES.watch(rows, "silver_repo_fetches"), table, checkpoint)
-
-
-def keep_all_progress(spark: SparkSession) -> None:
-    """Let a run's query remember each of its batches; Spark would keep the last hundred only."""
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2**31 - 1)
-
-
-def violations(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Rows seen and violations per rule, over all batches of one run; see keep_all_progress."""
-    totals: Counter[str] = Counter()
-    for progress in query.recentProgress:
-        counted = progress.observedMetrics.get(name)
-        if counted is not None:
-            totals.update({rule: n or 0 for rule, n in counted.asDict().items()})
-    return dict(totals)
+    return into(rows, fetch_table(table, records), checkpoint)

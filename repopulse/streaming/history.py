@@ -15,7 +15,8 @@ from repopulse.operators.scd2 import END, START, scd2
 from repopulse.plans import silver
 from repopulse.schemas import BRONZE_FETCH_DDL, TRACKED_ATTRIBUTES
 from repopulse.sources.tables import scan_if_exists
-from repopulse.streaming.flows import keep_all_progress, table_stream
+from repopulse.streaming.batches import count_only
+from repopulse.streaming.flows import into, table_stream
 
 GONE = "_gone"
 STATE = "step bigint, batch_id bigint, log array<string>, versions array<string>"
@@ -235,17 +236,15 @@ def repo_history_sink(spark: SparkSession, root: str, **options) -> HistorySink:
 
 
 def track_history(
-    spark: SparkSession, bronze: str, sink: HistorySink, checkpoint: str
+    spark: SparkSession, bronze: str, sink: HistorySink, checkpoint: str, records: str
 ) -> StreamingQuery:
     """Successful fetches of bronze into the history table, as far as available."""
-    keep_all_progress(spark)
     snapshots = silver.repo_snapshots(table_stream(spark, bronze, BRONZE_FETCH_DDL))
-    query = (
-        silver.SNAPSHOT_RULES.watch(snapshots, "repo_snapshots")
-        .writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    rules = silver.SNAPSHOT_RULES
+    count = count_only(records, "repo_snapshots", rules)
+
+    def splice(batch: DataFrame, batch_id: int) -> None:
+        sink(rules.keep(batch), batch_id)
+        count(batch, batch_id)
+
+    return into(snapshots, splice, checkpoint)
