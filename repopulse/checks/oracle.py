@@ -574,9 +574,36 @@ FROM fetches""",
         f"""
 SELECT strftime(h, {T}) AS hour, strftime(h, '%Y-%m-%d') || '-' || hour(h) AS hour_key
 FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR) AS grid(h)
-WHERE h NOT IN (SELECT date_trunc('hour', created_at) FROM activity WHERE event_type = 'ForkEvent' AND repo_id % 10 = 0)""",
+WHERE h NOT IN (SELECT date_trunc('hour', created_at) FROM activity WHERE event_type = 'ForkEvent' AND actor_id % 10 = 1)""",
         ACTIVITY,
     ),
+    "landing_report": query(
+        """,
+hours AS (
+  SELECT i, CASE WHEN i < 6 THEN '2024-01-05-' || (18 + i) ELSE '2024-01-06-' || (i - 6) END AS hour_key
+  FROM range(12) AS numbers(i)
+), counted AS (
+  SELECT event_no % 10 AS i, count(*) FILTER (spoil NOT IN (3, 5, 9, 10, 11, 12)) AS events_in,
+    count(*) FILTER (spoil NOT IN (3, 4, 5, 9, 10, 11, 12) AND event_type IN ('WatchEvent', 'ForkEvent')) AS events_out,
+    count(*) FILTER (spoil IN (3, 5, 9, 10, 11, 12)) AS bad_lines
+  FROM feed GROUP BY 1
+)
+SELECT CAST(1 AS BIGINT) AS run, hour_key, CASE WHEN c.i IS NULL THEN 'missing' ELSE 'uploaded' END AS outcome,
+  events_in, events_out, bad_lines
+FROM hours LEFT JOIN counted c USING (i)
+UNION ALL
+SELECT 2, hour_key, CASE WHEN c.i IS NULL THEN 'missing' ELSE 'skipped' END, NULL, NULL, NULL
+FROM hours LEFT JOIN counted c USING (i)""",
+        ACTIVITY,
+        FEED,
+    ).replace(")\n,\nhours", "),\nhours"),
+    "landed_records": query(
+        """SELECT CAST(http_status AS BIGINT) AS http_status, count(*) AS records,
+  count(*) FILTER (http_status = 200) AS repositories, CAST(sum(stargazers_count) AS BIGINT) AS stars,
+  '[True, False]' AS landed
+FROM fetches GROUP BY http_status""",
+        FETCHES,
+    ),
     "silver_events": query(
         f"""
 SELECT {SILVER_COLUMNS}, 'feed.json.gz' AS _source_file

@@ -21,6 +21,7 @@ from repopulse.params import Params
 from repopulse.plans import (
     activity,
     contract,
+    land,
     refresh_queue,
     reports,
     repos,
@@ -130,8 +131,41 @@ def fetch_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feed lines as raw files of ten hours over two days, slimmed twice: what each run reports."""
+    root = _check_folder(spark)
+    start, end = datetime(2024, 1, 5, 18, tzinfo=UTC), datetime(2024, 1, 6, 6, tzinfo=UTC)
+    hour = _moment("2024-01-05 18:00:00") + F.make_dt_interval(
+        hours=(F.col("event_id").cast("bigint") % 10).cast("int")
+    )
+    lines = data.feed_lines(spark, sf_dir).select("value", landing.hour_key(hour).alias("hour"))
+    lines.repartition("hour").write.partitionBy("hour").text(f"{root}/raw")
+    runs = [
+        land.slim_hours(spark, f"{root}/raw", f"{root}/landed", start, end, KEPT_TYPES)
+        .drop("hour")
+        .withColumn("run", F.lit(run))
+        for run in (1, 2)
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's answers landed as one day's records, once although asked twice, and read back."""
+    root, day = _check_folder(spark), datetime(2024, 1, 31, tzinfo=UTC).date()
+    answers = data.response_texts(spark, sf_dir)
+    landed = [land.land_fetches(answers, root, day) for _ in range(2)]
+    rows = landing.fetch_rows(landing.read_lines(spark, root))
+    return rows.groupBy("http_status").agg(
+        F.count("*").alias("records"),
+        F.count("repo.id").alias("repositories"),
+        F.sum("repo.stargazers_count").alias("stars"),
+        F.lit(str(landed)).alias("landed"),
+    )
+
+
 def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forks = data.activity(spark, sf_dir).where("event_type = 'ForkEvent' AND repo_id % 10 = 0")
+    """Hours of January without any fork by a human with an odd id."""
+    forks = data.activity(spark, sf_dir).where("event_type = 'ForkEvent' AND actor_id % 10 = 1")
     landed = forks.select(landing.hour_key(F.col("created_at")).alias("hour_key"))
     start, end = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 31, tzinfo=UTC)
     return landing.missing_hours(landing.hour_grid(spark, start, end), landed)
@@ -471,6 +505,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rescued_data": rescued_data,
     "fetch_records": fetch_records,
     "landing_gaps": landing_gaps,
+    "landing_report": landing_report,
+    "landed_records": landed_records,
     "silver_events": silver_events,
     "expectation_counts": expectation_counts,
     "staged_events": staged_events,

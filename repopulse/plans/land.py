@@ -37,7 +37,8 @@ def slim_hours(
     are entered in a manifest with their counts, also those of which the filter leaves no event.
     """
     grid = landing.hour_grid(prepare(spark), start, end)
-    landed = landing.landed_hours(spark, landed_root).withColumn("_landed", F.lit(True))
+    days = landing.days_of(start, end)
+    landed = landing.landed_hours(spark, landed_root, days).withColumn("_landed", F.lit(True))
     raw = landing.keyed_files(spark, raw_root).groupBy("hour_key")
     raw = raw.agg(F.collect_list("path").alias("_paths"))
     marked = grid.join(landed, "hour_key", "left").join(raw, "hour_key", "left")
@@ -73,7 +74,7 @@ def _slim_hour(
     event_types: list[str] | None,
 ) -> tuple[int, int, int]:
     """Land one hour; returns its good lines, the events kept and its bad lines."""
-    lines = landing.read_lines(spark, paths).select("value").where(~is_blank(F.col("value")))
+    lines = landing.read_lines(spark, paths, glob="*").select("value").where(~is_blank(F.col("value")))
     good = is_json_object(F.col("value"))
     seen, kept = Observation(), Observation()
     lines = lines.observe(seen, F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))

@@ -167,26 +167,46 @@ def keyed_files(spark: SparkSession, root: str) -> DataFrame:
     return keyed.where(F.col("hour_key").isNotNull())
 
 
-def landed_hours(spark: SparkSession, root: str) -> DataFrame:
-    """Hours with landed files, and those entered in the manifest, which may have left none."""
-    entered = spark.createDataFrame([], "hour_key string")
+def day_folders(root: str, days: list[date]) -> str:
+    """Pattern of the folders of some days, `date=2025-06-30` or `2025-06-30`; no other is listed."""
+    names = [f"{prefix}{day.isoformat()}" for day in days for prefix in ("date=", "")]
+    return f"{root}/{{{','.join(names)}}}"
+
+
+def days_of(start: datetime, end: datetime) -> list[date]:
+    """Calendar days that `[start, end)` touches."""
+    last = (end - timedelta(microseconds=1)).date()
+    return [start.date() + timedelta(days=n) for n in range((last - start.date()).days + 1)]
+
+
+def landed_hours(spark: SparkSession, root: str, days: list[date]) -> DataFrame:
+    """Hours of some days that have landed files, or are entered in the manifest.
+
+    An hour may have left no file. Only the folders of those days are listed, however much has landed
+    before, and of the manifest too.
+    """
+    if not days:
+        return spark.createDataFrame([], "hour_key string")
+    found = keyed_files(spark, day_folders(root, days)).select("hour_key")
     try:
-        entered = spark.read.schema("hour_key string").json(f"{root}/{MANIFEST}")
+        manifest = spark.read.schema("hour_key string").json(day_folders(f"{root}/{MANIFEST}", days))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    return keyed_files(spark, root).select("hour_key").union(entered).distinct()
+        return found.distinct()
+    return found.union(manifest).distinct()
 
 
 def enter_hours(hours: DataFrame, root: str) -> None:
-    """Add landed hours with their counts to the manifest."""
-    hours.coalesce(1).write.mode("append").json(f"{root}/{MANIFEST}")
+    """Add landed hours with their counts to the manifest, a folder per day."""
+    dated = hours.withColumn("date", F.regexp_extract("hour_key", r"^(.*)-\d+$", 1))
+    dated.coalesce(1).write.mode("append").partitionBy("date").json(f"{root}/{MANIFEST}")
 
 
 def landed_on(spark: SparkSession, root: str, day: date) -> bool:
     """Whether a day's folder already holds files: the guard of a once-per-day job."""
-    pattern = rf"/(?:date=)?{day.isoformat()}/(?:[^/]*/)*[^./_][^/]*$"
-    return not landed_files(spark, root).where(F.col("path").rlike(pattern)).isEmpty()
+    files = landed_files(spark, day_folders(root, [day]))
+    return not files.where(F.col("path").rlike(r"/[^./_][^/]*$")).isEmpty()
 
 
 # --- sink -----------------------------------------------------------------------------------------

@@ -351,8 +351,28 @@ def test_slim_hours_reports_each_hour_and_repeats_only_failures(spark, tmp_path)
     assert landing.read_lines(spark, str(landed)).count() == 3
 
 
+def test_only_the_days_asked_for_are_listed(spark, tmp_path):
+    for day in range(1, 29):
+        folder = tmp_path / (f"date=2025-02-{day:02d}" if day % 2 else f"2025-02-{day:02d}")
+        folder.mkdir()
+        (folder / f"2025-02-{day:02d}-5.json").write_text("{}")
+    (tmp_path / "date=2025-03-01").mkdir()
+    (tmp_path / "date=2025-03-01" / "_SUCCESS").write_text("")
+    days = landing.days_of(landing.floor_hour("2025-02-07T23"), landing.floor_hour("2025-02-09T00"))
+    assert days == [date(2025, 2, 7), date(2025, 2, 8)]
+    listed = landing.landed_files(spark, landing.day_folders(str(tmp_path), days))
+    assert len(listed.inputFiles()) == 2
+    hours = spark.createDataFrame([("2025-02-08-23", 1), ("2025-02-09-0", 2)], "hour_key string, n int")
+    landing.enter_hours(hours, str(tmp_path))
+    found = {r.hour_key for r in landing.landed_hours(spark, str(tmp_path), days).collect()}
+    assert found == {"2025-02-07-5", "2025-02-08-5", "2025-02-08-23"}
+    assert landing.landed_on(spark, str(tmp_path), date(2025, 2, 8))
+    assert not landing.landed_on(spark, str(tmp_path), date(2025, 3, 1))
+    assert not landing.landed_on(spark, str(tmp_path), date(2025, 3, 2))
+
+
 def test_no_landing_folder_means_nothing_landed(spark, tmp_path):
-    assert landing.landed_hours(spark, str(tmp_path / "none")).isEmpty()
+    assert landing.landed_hours(spark, str(tmp_path / "none"), [date(2026, 9, 1)]).isEmpty()
     assert not landing.landed_on(spark, str(tmp_path / "none"), date(2026, 9, 1))
 
 
