@@ -179,26 +179,18 @@ SNAPSHOT_COLUMNS = f"""
   strftime(repo_created_at, {T}) AS repo_created_at"""
 
 STATE = """
-attempts AS (
-  SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY fetched_at DESC, etag DESC) AS n FROM fetches
-),
-tagged AS (
-  SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY fetched_at DESC, etag DESC) AS n
-  FROM fetches WHERE fetch_outcome IN ('ok', 'not_modified') AND etag IS NOT NULL
-),
-measured AS (
-  SELECT *, row_number() OVER (PARTITION BY repo_id ORDER BY fetched_at DESC, etag DESC) AS n
-  FROM fetches WHERE fetch_outcome = 'ok'
-),
 state AS (
-  SELECT a.repo_id, a.fetched_at AS last_checked_at, a.fetch_outcome AS latest_outcome,
-    a.fetch_outcome IN ('ok', 'not_modified') AS is_available, t.etag AS last_etag,
-    m.fetched_at AS metrics_as_of, m.stargazers_count, m.forks_count, m.open_issues_count,
-    m.subscribers_count, m.pushed_at
-  FROM attempts a
-  LEFT JOIN tagged t ON a.repo_id = t.repo_id AND t.n = 1
-  LEFT JOIN measured m ON a.repo_id = m.repo_id AND m.n = 1
-  WHERE a.n = 1
+  SELECT * EXCLUDE (shown), latest_outcome IN ('ok', 'not_modified') AS is_available, shown.*
+  FROM (
+    SELECT repo_id, max(fetched_at) AS last_checked_at,
+      arg_max(fetch_outcome, {'t': fetched_at, 'e': etag}) AS latest_outcome,
+      arg_max(etag, {'t': fetched_at, 'e': etag})
+        FILTER (fetch_outcome = 'ok' OR fetch_outcome = 'not_modified') AS last_etag,
+      max(fetched_at) FILTER (fetch_outcome = 'ok') AS metrics_as_of,
+      arg_max({'stargazers_count': stargazers_count, 'forks_count': forks_count,
+          'open_issues_count': open_issues_count, 'subscribers_count': subscribers_count,
+          'pushed_at': pushed_at}, {'t': fetched_at, 'e': etag}) FILTER (fetch_outcome = 'ok') AS shown
+    FROM fetches GROUP BY repo_id)
 )"""
 
 # A repository's versions as one row: how many, since when, and the one that began last.

@@ -59,11 +59,14 @@ class Unique:
     def name(self) -> str:
         return "unique_" + "_".join(self.columns)
 
+    def offence(self, rows: Column) -> Column:
+        """Whether a value that so many rows have is one."""
+        known = F.col(self.columns[0]).isNotNull() if len(self.columns) == 1 else F.lit(True)
+        return known & (rows > 1)
+
     def failures(self, df: DataFrame) -> DataFrame:
         rows = df if self.where is None else df.where(self.where)
-        if len(self.columns) == 1:
-            rows = rows.where(F.col(self.columns[0]).isNotNull())
-        return _count(rows.groupBy(*self.columns).count().where("count > 1"))
+        return _count(rows.groupBy(*self.columns).count().where(self.offence(F.col("count"))))
 
 
 @dataclass(frozen=True)
@@ -78,9 +81,12 @@ class Accepted:
     def name(self) -> str:
         return f"accepted_{self.column}"
 
-    def failures(self, df: DataFrame) -> DataFrame:
-        foreign = df.where(~F.col(self.column).isin(*self.values))
-        return _count(foreign.select(self.column).distinct())
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (self.column,)
+
+    def offence(self, _: Column) -> Column:
+        return F.coalesce(~F.col(self.column).isin(*self.values), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -122,25 +128,54 @@ Test = NotNull | InRange | Unique | Accepted | References | Singular
 def run_tests(df: DataFrame, table: str, tests: list[Test]) -> DataFrame:
     """One row per test: name, severity and number of offences (0 = passed).
 
-    All tests on single rows share one pass over the table; the others need a shuffle of just the
-    columns they compare.
+    All tests on single rows share one pass over the table, and all tests on distinct values another
+    with a shuffle of the values only. A test of some rows only, or against another table, has its own.
     """
-    row_tests = [test for test in tests if isinstance(test, (NotNull, InRange))]
-    set_tests = [test for test in tests if not isinstance(test, (NotNull, InRange))]
-    results = []
-    if row_tests:
-        counted = df.agg(*[F.count_if(t.offence()).alias(f"n{i}") for i, t in enumerate(row_tests)])
-        rows = [
-            _result(f"{table}.{t.name}", t.severity, F.col(f"n{i}"))
-            for i, t in enumerate(row_tests)
-        ]
-        results.append(counted.select(F.inline(F.array(*rows))))
-    for test in set_tests:
-        row = _result(f"{table}.{test.name}", test.severity, F.col("n"))
-        results.append(test.failures(df).select(F.inline(F.array(row))))
+    results, alone = [], []
+    of_rows = [test for test in tests if isinstance(test, (NotNull, InRange))]
+    of_values = [
+        t for t in tests if isinstance(t, Accepted) or (isinstance(t, Unique) and t.where is None)
+    ]
+    alone = [test for test in tests if test not in of_rows and test not in of_values]
+    if of_rows:
+        counts = df.agg(*[F.count_if(t.offence()).alias(f"n{i}") for i, t in enumerate(of_rows)])
+        results.append(_results(counts, table, of_rows))
+    if of_values:
+        results.append(_results(_value_counts(df, of_values), table, of_values))
+    for test in alone:
+        results.append(_results(test.failures(df).withColumnRenamed("n", "n0"), table, [test]))
     return reduce(DataFrame.unionByName, results)
 
 
+def _value_counts(df: DataFrame, tests: list[Unique | Accepted]) -> DataFrame:
+    """The offences of each test in a column n0, n1, ..., from one scan and one shuffle.
+
+    Rows are counted per set of columns and value, all sets at once; which set a count belongs to is
+    in its grouping number.
+    """
+    sets = list(dict.fromkeys(test.columns for test in tests))
+    columns = list(dict.fromkeys(name for columns in sets for name in columns))
+    counted = df.groupingSets(sets, *columns).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("_rows")
+    )
+
+    def number(of: tuple[str, ...]) -> int:
+        """Spark's number of a set: a bit for each column that is not in it, the last one lowest."""
+        return sum(1 << i for i, name in enumerate(reversed(columns)) if name not in of)
+
+    return counted.agg(
+        *[
+            F.count_if((F.col("_set") == number(t.columns)) & t.offence(F.col("_rows"))).alias(f"n{i}")
+            for i, t in enumerate(tests)
+        ]
+    )
+
+
+def _results(counts: DataFrame, table: str, tests: list[Test]) -> DataFrame:
+    rows = [_result(f"{table}.{t.name}", t.severity, F.col(f"n{i}")) for i, t in enumerate(tests)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _result(test: str, severity: str, failures: Column) -> Column:
     return F.struct(
         F.lit(test).alias("test"), F.lit(severity).alias("severity"), failures.alias("failures")
