@@ -35,3 +35,10 @@ def text_input(docs: DataFrame, id_col: str, text_col: str, id_name: str = "doc_
         F.col(id_col).cast("bigint").alias(id_name),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
+
+
+def unused(columns: list[str], n: int) -> list[str]:
+    """Column names that a table does not have yet."""
+    taken = {c.lower() for c in columns}
+    names = (f"_{i}" for i in range(len(taken) + n))
+    return [name for name in names if name not in taken][:n]
