@@ -31,10 +31,7 @@ SHARD_BYTES = 8 << 20
 KEY_TOKENS = 3  # a document's place in the order: 16 bits of each, and 15 bits of salt
 RANGES = 8  # of the order, a shard
 END_ID = 1
-STORE_BYTES = 48 << 20  # of one generation of words, of which an encoder has two
-KNOWN_RUNS = 200_000
-ENTRY_BYTES = 160  # what a word takes besides its own bytes and its ids'
-DROP = 0.85  # an index is cut down when less than this share of its documents is unused
+KNOWN_WORDS = 200_000
 AT_ONCE = 200  # texts split into words at a time
 
 _encoders: dict[str, WordEncoder] = {}
@@ -57,8 +54,7 @@ class WordEncoder:
     """Token ids of whole texts, one white-space word at a time.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in
-    a row. Words are kept with their ids as bytes, in two generations bounded by bytes: a full one
-    becomes the old one, and words of the old one that are met again move to the new one.
+    a row. Words are kept with their ids as bytes; a full store is emptied.
     """
 
     def __init__(self, path: str) -> None:
@@ -69,8 +65,6 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.bytes = 0
         self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -84,19 +78,13 @@ class WordEncoder:
                 if mark in text:
                     text = text.replace(mark, " ")
             split.append(text.split(" "))
-        met = set().union(*split).difference(self.known)
-        fresh = met.difference(self.old)
-        again = met - fresh
-        self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        self._learn(fresh)
-        ids = map(self.known.__getitem__, met)
-        self.bytes += ENTRY_BYTES * len(met) + sum(map(len, met)) + sum(map(len, ids))
+        self._learn(set().union(*split).difference(self.known))
         found = self.known.__getitem__
         out = [np.frombuffer(b"".join(map(found, words)), np.uint32) for words in split]
-        if self.bytes > STORE_BYTES:
-            self.old, self.known, self.bytes = self.known, {"": b""}, 0
-        if len(self.runs) > KNOWN_RUNS:
-            self.runs.clear()
+        for store in (self.known, self.runs):
+            if len(store) > KNOWN_WORDS:
+                store.clear()
+        self.known[""] = b""
         return out
 
     def _learn(self, words: set[str]) -> None:
@@ -187,13 +175,6 @@ class Index:
         self.own = [t for t, _ in counted]
         self.n = n
 
-    def drop(self, unused: np.ndarray) -> None:
-        """Leave out the postings of used documents; scores of the others stay as they are."""
-        kept = unused[self.docs]
-        place = np.append(0, np.cumsum(kept))
-        self.first, self.stop = place[self.first], place[self.stop]
-        self.docs, self.score = self.docs[kept], self.score[kept]
-
     def neighbours(self, doc: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a token with a document, best first by all its tokens."""
         telling = np.searchsorted(self.tokens, self.own[doc])
@@ -214,7 +195,7 @@ def fill(sizes: list[int], index: Index, window: int) -> list[tuple[int, int, in
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence, room = 0, window
     upcoming: list[int] = []  # neighbours of the seed, best last
-    at, indexed = 0, len(sizes)
+    at = 0
     while True:
         while upcoming and not unused[upcoming[-1]]:
             upcoming.pop()
@@ -237,10 +218,6 @@ def fill(sizes: list[int], index: Index, window: int) -> list[tuple[int, int, in
                 sequence, room = sequence + 1, window
                 seeds = True
         if seeds or not upcoming:
-            left = int(unused.sum())
-            if left < DROP * indexed:
-                index.drop(unused)
-                indexed = left
             upcoming = index.neighbours(doc, unused)[::-1].tolist()
     return _tail_cut(pieces, sequence, window)
 
@@ -368,7 +345,6 @@ def packed(
     rows = _dealt(rows, corpus, shards, shard_bytes).select("doc_id", "ids", "shard")
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        _encoders.clear()  # workers go on from task to task; what encoding has kept is of no more use
         table = table.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
         names = table.column("doc_id").to_pylist()
         plain = [np.frombuffer(x, np.uint32) for x in table.column("ids").to_pylist()]

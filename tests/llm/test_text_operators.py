@@ -3,7 +3,6 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
-from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -414,42 +413,6 @@ def test_seed_asks_for_its_neighbours():
     assert [p[0] for p in pieces[:3]] == [0, 2, 3]
 
 
-def test_words_are_kept_in_two_bounded_generations(monkeypatch):
-    draw = np.random.default_rng(4)
-    letters = np.array(list("abcdefghijklmnop"))
-    common = ["".join(draw.choice(letters, 5)) for _ in range(200)]
-    texts = [
-        " ".join([*draw.choice(common, 30), *("".join(draw.choice(letters, 9)) for _ in range(10))])
-        for _ in range(600)
-    ]
-    whole = retrieval_packing.WordEncoder(WORD_BPE).encode(texts)
-    monkeypatch.setattr(retrieval_packing, "STORE_BYTES", 100_000)
-    encoder, seen = retrieval_packing.WordEncoder(WORD_BPE), 0
-    learn, asked = encoder._learn, Counter()
-    encoder._learn = lambda words: (asked.update(words), learn(words))
-    for at in range(0, 600, 20):
-        part = encoder.encode(texts[at : at + 20])
-        assert all((a == b).all() for a, b in zip(part, whole[at : at + 20], strict=True))
-        kept = [w for store in (encoder.known, encoder.old) for w in store.items()]
-        held = sum(retrieval_packing.ENTRY_BYTES + len(w) + len(ids) for w, ids in kept)
-        assert held < 2 * (100_000 + 300 * 200)
-        seen = max(seen, len(encoder.old))
-    # Words that come up again and again are worked out about once, however often a generation ends.
-    assert seen and sum(asked[w] for w in common) < 1.1 * len(common)
-
-
-def test_an_index_without_used_documents_scores_the_same():
-    draw = np.random.default_rng(7)
-    ids = [draw.integers(0, 300, draw.integers(1, 60)).astype(np.uint32) for _ in range(120)]
-    whole, cut = retrieval_packing.Index(ids), retrieval_packing.Index(ids)
-    unused = np.ones(120, bool)
-    for doc in draw.permutation(120)[:90].tolist():
-        unused[doc] = False
-        if doc % 3 == 0:
-            cut.drop(unused)
-        assert cut.neighbours(doc, unused).tolist() == whole.neighbours(doc, unused).tolist()
-
-
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_pieces_are_the_models(which, request):
     import sentencepiece
