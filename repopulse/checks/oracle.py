@@ -566,7 +566,7 @@ FROM fetches""",
         f"""
 SELECT strftime(h, {T}) AS hour, strftime(h, '%Y-%m-%d') || '-' || hour(h) AS hour_key
 FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR) AS grid(h)
-WHERE h NOT IN (SELECT date_trunc('hour', created_at) FROM activity WHERE event_type = 'ForkEvent' AND actor_id % 10 = 1)""",
+WHERE h NOT IN (SELECT date_trunc('hour', created_at) FROM activity WHERE event_type = 'ForkEvent')""",
         ACTIVITY,
     ),
     "landing_report": query(

@@ -164,8 +164,8 @@ def landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours of January without any fork by a human with an odd id."""
-    forks = data.activity(spark, sf_dir).where("event_type = 'ForkEvent' AND actor_id % 10 = 1")
+    """Hours of January without any fork."""
+    forks = data.activity(spark, sf_dir).where("event_type = 'ForkEvent'")
     landed = forks.select(landing.hour_key(F.col("created_at")).alias("hour_key"))
     start, end = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 31, tzinfo=UTC)
     return landing.missing_hours(landing.hour_grid(spark, start, end), landed)
