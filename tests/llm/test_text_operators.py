@@ -18,6 +18,7 @@ from repopulse.llm import (
     jaccard_tiles,
     piece_lattice,
     retrieval_packing,
+    store,
     winnowing,
 )
 from tests.llm import brute
@@ -482,3 +483,42 @@ def test_counted_edits_odd_rows(odd):
     assert texts[1] == texts[2] == " z"
     empty = edit_counts.counted_edits(odd.limit(0), edits, RANKS, public_tokenizers.PATTERN)
     assert empty.count() == 0
+
+
+def test_extensions_of_many_pairs_equal_those_of_one():
+    rng = np.random.default_rng(5)
+    for wide, words in ((6, 2), (20, 4), (46, 30)):
+        a, b = np.full((40, wide), -1), np.full((40, wide), -2)
+        for row in range(40):
+            text = rng.integers(0, words, wide)
+            edited = np.where(rng.random(wide) < 0.2, rng.integers(0, words, wide), text)
+            edited = edited[rng.random(wide) > 0.1]
+            own = text[: rng.integers(0, wide + 1)]
+            a[row, : len(own)], b[row, : len(edited)] = own, edited
+        found = chaining.extended_many(a, b)
+        for row in range(40):
+            expected = np.full(wide, -1)
+            for i, j in chaining.extended(a[row][a[row] >= 0].tolist(), b[row][b[row] >= 0].tolist()):
+                expected[i] = j
+            assert found[row].tolist() == expected.tolist()
+
+
+def test_chains_of_ascending_pairs_have_the_best_predecessors():
+    rng = np.random.default_rng(6)
+    settings = chaining.Settings()
+    for _ in range(100):
+        n = int(rng.integers(1, 30))
+        x, y = (np.cumsum(rng.integers(1, 25, n)) for _ in range(2))
+        best = []
+        for i in range(n):
+            cost = [settings.gap_cost * (x[i] - x[j] + y[i] - y[j]) for j in range(i)]
+            best.append(settings.k + max([0.0, *(s - c for s, c in zip(best, cost, strict=True))]))
+        found = list(chaining.chains(x, y, settings))
+        assert sorted(i for part, _ in found for i in part.tolist()) == list(range(n))
+        assert max(score for _, score in found) == max(best)
+
+
+def test_stored_tables_leave_no_setting_behind(spark):
+    before = spark.conf.get(store.SHUFFLES_GO, None)
+    assert store.stored(spark.range(10).groupBy("id").count()).count() == 10
+    assert spark.conf.get(store.SHUFFLES_GO, None) == before
