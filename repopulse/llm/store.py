@@ -9,18 +9,27 @@ from pyspark.sql import functions as F
 
 from repopulse.session import shared_dir
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Write a table to the shared folder and go on from its files; options are the Parquet writer's.
 
     Each call takes a new folder below `<spark.checkpoint.dir>/llm`; the folder's owner expires them.
-    The shuffle files behind the table are of no more use then. Spark drops them when the driver has
-    collected its garbage, which may be long after, so a collection is asked for.
+    The shuffle files behind the table are of no more use then, and go when the write is done. The
+    session's own setting is put back.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid4().hex}"
-    df.write.options(**(options or {})).parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.options(**(options or {})).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
