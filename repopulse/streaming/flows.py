@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -123,10 +124,16 @@ def type_events(
     rows = silver.type_events(table_stream(spark, bronze, BRONZE_EVENT_DDL, max_files))
     sink = event_table(table, records)
     if within:
-        # Copies go before the table sees them, so the rules are counted on all rows by themselves.
-        into(rows, count_only(records, "all_events", silver.EVENT_RULES), f"{checkpoint}_counts")
-        rows = silver.EVENT_RULES.keep(rows).withWatermark("created_at", within)
-        rows = rows.dropDuplicatesWithinWatermark(["event_id"])
+        # Copies go before the table sees them, so the rules are counted on all rows by themselves,
+        # by a stream of their own at the same time.
+        count = count_only(records, "all_events", silver.EVENT_RULES)
+        single = silver.EVENT_RULES.keep(rows).withWatermark("created_at", within)
+        single = single.dropDuplicatesWithinWatermark(["event_id"])
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            counted = pool.submit(into, rows, count, f"{checkpoint}_counts")
+            query = into(single, sink, checkpoint)
+            counted.result()
+        return query
     return into(rows, sink, checkpoint)
 
 
