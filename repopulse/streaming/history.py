@@ -109,20 +109,21 @@ class HistorySink:
         # One row per key of the batch. Written, as all that follows looks keys up by it.
         self._write(intervals, "work", "intervals", "_from")
         intervals = self._read("work", "intervals")
+        near = self._near(intervals)
 
         after = F.col("_from").isNull() | (F.col(self.sequence) >= F.col("_from"))
         before = F.col("_to").isNull() | (F.col(self.sequence) < F.col("_to"))
         log = reduce(DataFrame.unionByName, [self._read("log", run) for run in stored.log])
-        known = self._touched(log, intervals).where(after & before).select(added.columns)
+        known = self._touched(log, intervals, near).where(after & before).select(added.columns)
         self._write(known.unionByName(added), "work", "snapshots", self.sequence)
         rows = self._read("work", "snapshots")
         built = scd2(rows, self.keys, self.sequence, self.tracked, self.tie, self.tasks)
-        linked = self._touched(built, intervals).withColumn(END, F.coalesce(END, "_to"))
+        linked = self._touched(built, intervals, near).withColumn(END, F.coalesce(END, "_to"))
         versions = linked.select(built.columns)
 
         after = F.col("_from").isNull() | (F.col(START) >= F.col("_from"))
         before = F.col("_to").isNull() | (F.col(START) < F.col("_to"))
-        replaced = self._touched(history, intervals).where(after & before).select(history.columns)
+        replaced = self._touched(history, intervals, near).where(after & before).select(history.columns)
         gone = replaced.join(*self._same(versions.select(*self.keys, START), START), "left_anti")
         return versions.withColumn(GONE, F.lit(False)).unionByName(
             gone.withColumn(GONE, F.lit(True))
@@ -149,18 +150,23 @@ class HistorySink:
         renamed = other.withColumnsRenamed({c: f"_of_{c}" for c in columns})
         return renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
 
-    def _touched(self, rows: DataFrame, intervals: DataFrame) -> DataFrame:
-        """Rows of a batch's keys, with their intervals.
+    def _near(self, intervals: DataFrame) -> Column:
+        """Whether a row lies between the least and the greatest key of a batch.
 
-        The least and greatest key are part of the plan, and so are pushed down to the scan: a batch of
-        few neighbouring keys reads little else.
+        They are part of the plan, and so are pushed down to the scan: a batch of few neighbouring keys
+        reads little else.
         """
         limits = [f(key) for key in self.keys for f in (F.min, F.max, F.count)]
         *ends, n = intervals.agg(*limits, F.count("*")).first()
+        near = F.lit(True)
         for key, low, high, known in zip(self.keys, ends[::3], ends[1::3], ends[2::3], strict=True):
             within = F.col(key).between(F.lit(low), F.lit(high))
-            rows = rows.where(within if known == n else within | F.col(key).isNull())
-        return rows.join(*self._same(intervals), "inner")
+            near &= within if known == n else within | F.col(key).isNull()
+        return near
+
+    def _touched(self, rows: DataFrame, intervals: DataFrame, near: Column) -> DataFrame:
+        """Rows of a batch's keys, with their intervals."""
+        return rows.where(near).join(*self._same(intervals), "inner")
 
     # --- runs -------------------------------------------------------------------------------------
 
