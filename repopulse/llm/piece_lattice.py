@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.llm.grams import lists, small_batches, span_hashes
+from repopulse.llm.grams import lists, mix, small_batches, span_hashes
 
 MARK = "▁"
 KNOWN_WORDS = 800_000
 GROUP = 1 << 18  # cells of a fold: words times length
 BYTE = "<0x{:02X}>"
+TOP = np.uint64(44)  # a hash's upper 20 bits are its place in a table
 
 
 class Pieces:
@@ -49,6 +50,8 @@ class Pieces:
         hashes = span_hashes(points.astype(np.uint64), starts, ends)
         order = np.argsort(hashes)
         self.hashes, self.ids = hashes[order], ordinary[order]
+        self.some = np.zeros(1 << 20, bool)  # places with a piece, to look up few others
+        self.some[self.hashes >> TOP] = True
         self.of_byte = [model.piece_to_id(BYTE.format(b)) for b in range(256)]
         self.out = [
             b"" if model.is_control(i) or model.is_unknown(i) else t.replace(MARK, " ").encode()
@@ -58,6 +61,8 @@ class Pieces:
             self.out[i] = bytes([value])
         self.size = size
         self.fits: dict[int, bool] = {}
+        # The pair last asked for in each place and its answer, for all pairs of a call at once.
+        self.pairs, self.answers = np.full(1 << 20, -1, np.int64), np.zeros(1 << 20, bool)
 
     def merged(self, text: str) -> list[str]:
         """A short text by the model's own rule: the best-scored neighbours merge, leftmost first."""
@@ -74,6 +79,16 @@ class Pieces:
 
     def go_together(self, pairs: np.ndarray) -> np.ndarray:
         """Whether two pieces (first * size + second) can be neighbours."""
+        place = mix(pairs.astype(np.uint64)) >> TOP
+        found = self.answers[place]
+        other = np.flatnonzero(self.pairs[place] != pairs)
+        if len(other):
+            found[other] = self._asked(pairs[other])
+            self.pairs[place[other]] = pairs[other]
+            self.answers[place[other]] = found[other]
+        return found
+
+    def _asked(self, pairs: np.ndarray) -> np.ndarray:
         distinct, place = np.unique(pairs, return_inverse=True)
         known = self.fits
         if len(known) > 4_000_000:
@@ -97,17 +112,22 @@ def edges(words: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
     first = np.cumsum(sizes) - sizes
     longest = min(pieces.longest, int(sizes.max()))
-    table = np.full((len(words), int(sizes.max()) + 1, longest + 1), -1, np.int64)
+    table = np.full((len(words), int(sizes.max()) + 1, longest + 1), -1, np.int32)
     word = np.repeat(np.arange(len(words)), sizes)
     place = np.arange(len(points)) - first[word]
     units = points.astype(np.uint64)
     for length in range(1, longest + 1):
         at = np.flatnonzero(place + length <= sizes[word])
         hashes = span_hashes(units, at, at + length)
-        near = np.minimum(np.searchsorted(pieces.hashes, hashes), len(pieces.hashes) - 1)
-        found = np.where(pieces.hashes[near] == hashes, pieces.ids[near], -1)
+        maybe = np.flatnonzero(pieces.some[hashes >> TOP])
+        near = np.searchsorted(pieces.hashes, hashes[maybe])
+        near = np.minimum(near, len(pieces.hashes) - 1)
+        same = pieces.hashes[near] == hashes[maybe]
         if length == 1:
-            found = np.where(found < 0, pieces.size + points[at], found)
+            found = pieces.size + points[at]
+            found[maybe[same]] = pieces.ids[near[same]]
+        else:
+            at, found = at[maybe[same]], pieces.ids[near[same]]
         table[word[at], place[at] + length, length] = found
     return table, sizes
 
@@ -120,8 +140,8 @@ def fold(
     Paths are piece ids; single characters that are no piece have theirs above the piece ids.
     """
     n, ends, longest = table.shape
-    last = np.full((n, ends), -1, np.int64)
-    taken = np.zeros((n, ends), np.int64)
+    last = np.full((n, ends), -1, np.int32)
+    taken = np.zeros((n, ends), np.int32)
     for end in range(1, ends):
         lengths = np.arange(1, min(longest - 1, end) + 1)
         piece = table[:, end, lengths]
@@ -132,9 +152,15 @@ def fold(
         ask = (piece >= 0) & (before >= 0) & ~starts & ~plain
         row, col = np.nonzero(ask)
         if len(row):
-            good[row, col] = pieces.go_together(before[row, col] * pieces.size + piece[row, col])
-        score = np.where(piece < pieces.size, pieces.scores[np.minimum(piece, pieces.size - 1)], 0.0)
-        best = np.where(good, score, -np.inf).argmax(axis=1)
+            pairs = before[row, col].astype(np.int64) * pieces.size + piece[row, col]
+            good[row, col] = pieces.go_together(pairs)
+        score = np.full(piece.shape, -np.inf)
+        row, col = np.nonzero(good)
+        own = piece[row, col]
+        score[row, col] = np.where(
+            own < pieces.size, pieces.scores[np.minimum(own, pieces.size - 1)], 0.0
+        )
+        best = score.argmax(axis=1)
         some = good.any(axis=1)
         every = np.arange(n)
         last[:, end] = np.where(some, piece[every, best], -1)

@@ -522,3 +522,21 @@ def test_stored_tables_leave_no_setting_behind(spark):
     before = spark.conf.get(store.SHUFFLES_GO, None)
     assert store.stored(spark.range(10).groupBy("id").count()).count() == 10
     assert spark.conf.get(store.SHUFFLES_GO, None) == before
+
+
+def test_piece_pairs_are_worked_out_once(monkeypatch):
+    pieces = piece_lattice.Pieces(PIECES)
+    rng = np.random.default_rng(5)
+    ordinary = np.sort(pieces.ids)
+    pairs = rng.choice(ordinary, 6000) * pieces.size + rng.choice(ordinary, 6000)
+    places = grams.mix(pairs.astype(np.uint64)) >> piece_lattice.TOP
+    assert len(np.unique(places)) < len(np.unique(pairs))  # some pairs share a place
+    texts = [(pieces.texts[p // pieces.size], pieces.texts[p % pieces.size]) for p in pairs.tolist()]
+    expected = [pieces.merged(a + b) == [a, b] for a, b in texts]
+    assert pieces.go_together(pairs).tolist() == expected
+    assert pieces.go_together(pairs[::-1]).tolist() == expected[::-1]
+    some, last = pairs[:50], expected[:50]
+    assert pieces.go_together(some).tolist() == last
+    pieces.fits.clear()
+    monkeypatch.setattr(pieces, "merged", None)
+    assert pieces.go_together(some).tolist() == last
