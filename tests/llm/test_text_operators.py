@@ -540,3 +540,39 @@ def test_piece_pairs_are_worked_out_once(monkeypatch):
     pieces.fits.clear()
     monkeypatch.setattr(pieces, "merged", None)
     assert pieces.go_together(some).tolist() == last
+
+
+def test_packing_ids_are_the_tokenizers_own_and_few_are_kept(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    letters = "aB zé É×÷ßÿĀñ'<>`~_09 \n\t\r\v\f\x00\x1c\x85\xa0 中İǅ日😀 AbC  dE.,;-ÀÖØÞ"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(3000)]
+    texts += ["", "é", "É", "Ã\x97", "a" * 5000, "don't STOP,now1234 (Ünder) x y"]
+    own = Tokenizer.from_file(WORD_BPE).encode_batch_fast(texts, add_special_tokens=False)
+    monkeypatch.setattr(retrieval_packing, "KNOWN_TOKENS", 500)
+    monkeypatch.setattr(retrieval_packing, "PLACES", 64)  # most runs share a place with others
+    encoder = retrieval_packing.WordEncoder(WORD_BPE)
+    for at in range(0, len(texts), 20):
+        found = encoder.encode([*texts[at : at + 20], None])
+        assert [x.tolist() for x in found] == [x.ids for x in own[at : at + 20]] + [[]]
+        assert len(encoder.keys) == 64 and len(encoder.ids) <= 1 << 16
+    assert retrieval_packing.id_kind(WORD_BPE) == np.dtype("<u2")
+
+
+def test_packing_order_and_neighbours_as_one_by_one():
+    rng = np.random.default_rng(4)
+    ids = [rng.integers(0, 300, n).astype(np.uint32) for n in rng.integers(0, 40, 600)]
+    corpus = retrieval_packing.Corpus(600, 20.0, np.bincount(np.concatenate(ids), minlength=300))
+    rarity = corpus.rarity()
+    bounds = np.append(0, np.cumsum([len(x) for x in ids]))
+    for doc, key in enumerate(retrieval_packing._keys(np.concatenate(ids), bounds, rarity).tolist()):
+        places = np.unique(rarity[ids[doc]])[:3].tolist() + [65_535] * 3
+        assert key == (places[0] << 32) + (places[1] << 16) + places[2]
+    whole, kept = retrieval_packing.Index(ids, corpus), retrieval_packing.Index(ids, corpus)
+    unused = rng.random(600) < 0.5
+    kept.keep(unused)
+    assert len(kept.docs) < len(whole.docs)
+    for doc in range(0, 600, 7):
+        found = whole.neighbours(doc, unused)
+        assert found.tolist() == kept.neighbours(doc, unused).tolist()
