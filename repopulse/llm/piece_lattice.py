@@ -25,6 +25,7 @@ MARK = "▁"
 KNOWN_WORDS = 800_000
 GROUP = 1 << 18  # cells of a fold: words times length
 BYTE = "<0x{:02X}>"
+BATCH = 1 << 20  # bytes of text, so that a lattice holds many words
 TOP = np.uint64(44)  # a hash's upper 20 bits are its place in a table
 
 
@@ -268,7 +269,7 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def work(batches):
         for whole in batches:
-            for batch in small_batches(whole, "text"):
+            for batch in small_batches(whole, "text", BATCH):
                 texts = batch.column("text").fill_null("").to_pylist()
                 ids = encoder(model).encode(texts)
                 first = np.append(0, np.cumsum([len(x) for x in ids]))
@@ -313,7 +314,7 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
     def work(batches):
         names = ["doc_id", "n_ids", "ids_crc32", "same"]
         for whole in batches:
-            for batch in small_batches(whole, "text"):
+            for batch in small_batches(whole, "text", BATCH):
                 texts = batch.column("text").fill_null("").to_pylist()
                 ids = encoder(model).encode(texts)
                 same = [

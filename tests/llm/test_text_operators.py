@@ -576,3 +576,15 @@ def test_packing_order_and_neighbours_as_one_by_one():
     for doc in range(0, 600, 7):
         found = whole.neighbours(doc, unused)
         assert found.tolist() == kept.neighbours(doc, unused).tolist()
+
+
+def test_stored_tables_reach_python_in_batches_of_a_few_mb(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    before = spark.conf.get(store.BATCH_BYTES)
+    long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("word "), 10_000).alias("text"))
+    found = store.stored(long.mapInArrow(sizes, "size bigint")).collect()
+    assert sum(r["size"] for r in found) > 19_000_000 and max(r["size"] for r in found) < 5_000_000
+    assert spark.conf.get(store.BATCH_BYTES) == before
