@@ -322,6 +322,25 @@ def test_passages_whose_seeds_were_first_seen_apart(spark):
     assert {r.source_id for r in found.where("matched >= 50").collect()} == {50}
 
 
+def test_edited_passages_whose_seeds_were_all_first_seen_elsewhere(spark, monkeypatch):
+    draw = random.Random(11)
+    fresh = lambda n: [f"u{draw.randint(0, 50_000)}" for _ in range(n)]
+    passage = fresh(72)
+    edited = [*passage]
+    edited[11::12] = fresh(6)
+    # Each run of 11 words that stays lies in a document of its own first, then the passage in one.
+    parts = {i: fresh(30) + passage[12 * i : 12 * i + 11] + fresh(30) for i in range(6)}
+    parts |= {50: fresh(20) + passage + fresh(20), 55: fresh(20) + passage + fresh(25)}
+    parts |= {60: fresh(40) + edited + fresh(40)}
+    rows = [(i, " ".join(p)) for i, p in parts.items()]
+    for pairs in (chaining.LEAST_BLOCK, 4):  # in one block, and in several
+        monkeypatch.setattr(chaining, "LEAST_BLOCK", pairs)
+        found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
+        assert spans == {55: [(20, 92)], 60: [(40, 111)]}
+        assert found.where("doc_id = 60").agg(F.min("source_id")).first()[0] == 50
+
+
 def test_passages_odd_rows(odd, docs):
     assert chaining.passages(odd.limit(0)).count() == 0
     found = chaining.passages(odd)
