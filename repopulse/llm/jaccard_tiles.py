@@ -11,7 +11,8 @@ keys of the next band as well, and so does a set with too few non-empty segments
 Sets that share a key are a tile. A link to the tile's smallest member joins most groups of copies.
 Within a tile only members of different groups are then compared: first by size, then by bitmap (a
 bit set in one and not in the other stands for a shingle only one of them has, which bounds the
-overlap from above), and what is left by exact intersection. Large tiles are cut into blocks.
+overlap from above), then by a bitmap that grows with the set, and what is left by exact intersection.
+Large tiles are cut into blocks.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from repopulse.llm.store import spread, stored, text_input
 
 BITMAP_WORDS = 16
 TILE_SIDE = 512
+BITS_EACH = 8  # of a set's wide bitmap, per shingle at least
 
 
 def differences(n: np.ndarray, percent: int) -> np.ndarray:
@@ -88,6 +90,22 @@ def bitmaps(values: np.ndarray, first: np.ndarray, words: int = BITMAP_WORDS) ->
     return np.packbits(flat, bitorder="little").view(np.uint64).reshape(len(n), words)
 
 
+def wide_bitmaps(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps in a row that grow with their set, and where each begins; none where `bitmaps` is as wide.
+
+    Lengths are powers of two, so the narrower bitmap of the same set is the wide one folded.
+    """
+    n = np.diff(first)
+    size = np.int64(1) << np.ceil(np.log2(np.maximum(n * BITS_EACH, 1))).astype(np.int64)
+    size = np.where(size > 64 * BITMAP_WORDS, size, 0)
+    stop = np.cumsum(size)
+    own = np.repeat(size > 0, n)
+    sizes, opens = (np.repeat(x, n)[own] for x in (size, stop - size))
+    flat = np.zeros(int(size.sum()), bool)
+    flat[opens + (mix(values[own]) & (sizes - 1).astype(np.uint64)).astype(np.int64)] = True
+    return np.packbits(flat, bitorder="little").view(np.uint64), np.append(0, stop) // 64
+
+
 def _sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
     words = words_of(batch.column("text"))
     hashes, text, _ = shingles(words, size)
@@ -133,13 +151,14 @@ def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, shingles, bits) of documents."""
+    """(doc_id, n, shingles, bits, wide) of documents."""
 
     def work(batches):
         for whole in batches:
             for batch in small_batches(whole, "text"):
                 values, first = _sets(batch, size)
                 bits = bitmaps(values, first)
+                wide, wide_first = wide_bitmaps(values, first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
@@ -149,12 +168,14 @@ def _with_sets(docs: DataFrame, size: int) -> DataFrame:
                             bits.reshape(-1).view(np.int64),
                             np.arange(len(bits) + 1) * BITMAP_WORDS,
                         ),
+                        lists(wide.view(np.int64), wide_first),
                     ],
-                    ["doc_id", "n", "shingles", "bits"],
+                    ["doc_id", "n", "shingles", "bits", "wide"],
                 )
 
     return docs.mapInArrow(
-        work, "doc_id bigint, n bigint, shingles array<bigint>, bits array<bigint>"
+        work,
+        "doc_id bigint, n bigint, shingles array<bigint>, bits array<bigint>, wide array<bigint>",
     )
 
 
@@ -168,6 +189,38 @@ def _only_left(left: str, right: str) -> Column:
     return F.aggregate(both, F.lit(0), lambda total, x: total + x)
 
 
+def _close(batch: pa.RecordBatch, percent: int) -> np.ndarray:
+    """Which pairs of sets may be similar enough by their bitmaps, the wider one folded."""
+    (a, a_at), (b, b_at) = (
+        (column.values.to_numpy().view(np.uint64), column.offsets.to_numpy())
+        for column in (batch.column("bits_a"), batch.column("bits_b"))
+    )
+    kept = np.zeros(batch.num_rows, bool)
+    sizes = zip(*[batch.column(c).to_pylist() for c in ("n_a", "n_b")], strict=True)
+    for i, (n_a, n_b) in enumerate(sizes):
+        x, y = a[a_at[i] : a_at[i + 1]], b[b_at[i] : b_at[i + 1]]
+        words = min(len(x), len(y))
+        x, y = (np.bitwise_or.reduce(bits.reshape(-1, words), axis=0) for bits in (x, y))
+        only_a, only_b = (int(np.bitwise_count(bits).sum()) for bits in (x & ~y, y & ~x))
+        common = min(n_a - only_a, n_b - only_b)
+        kept[i] = common * (100 + percent) >= (n_a + n_b) * percent
+    return kept
+
+
+def _sifted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) that wide bitmaps don't rule out."""
+    bits = F.when(F.size("wide") > 0, F.col("wide")).otherwise(F.col("bits"))
+    for name in ("a", "b"):
+        side = [F.col("doc_id").alias(name), F.col("n").alias(f"n_{name}"), bits.alias(f"bits_{name}")]
+        pairs = pairs.join(sets.select(side), name)
+
+    def sift(batches):
+        for batch in batches:
+            yield batch.select(["a", "b"]).filter(pa.array(_close(batch, percent)))
+
+    return pairs.mapInArrow(sift, "a bigint, b bigint")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) whose shingles are similar enough, by exact intersection."""
 
@@ -260,7 +313,9 @@ def jaccard_groups(
 
     links = stored(_linked(stars, sets, percent).union(same_id))
     labels = components(links)
-    rivals = _linked(_rivals(tiles, labels, sets, percent), sets, percent)
+    # Whole sets travel only for what is left, and their shuffle files go before links are followed.
+    rivals = stored(_sifted(_rivals(tiles, labels, sets, percent), sets, percent))
+    rivals = stored(_linked(rivals, sets, percent))
     labels = components(links.union(rivals))
 
     # Copies, then groups: two joins on ids, so that large groups are split like any skewed join.

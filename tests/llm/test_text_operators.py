@@ -106,6 +106,31 @@ def test_jaccard_tiles_larger_than_a_block(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == brute.groups(rows, 3, 75)
 
 
+def test_jaccard_rivals_of_many_shingles_are_sifted_without_loss(spark):
+    draw = random.Random(12)
+    fresh = lambda n: [f"w{draw.randint(0, 10**6)}" for _ in range(n)]
+    start, rows = fresh(3000), []
+    for i in range(8):  # half of the words are their own, or few, or a part is left out
+        rows.append((i, start[:1500] + fresh(1500)))
+        rows.append((10 + i, start[: 2950 - 60 * i] + fresh(40 * i)))
+        rows.append((20 + i, start[i : 60 + 30 * i] + fresh(3 * i)))
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    sets = jaccard_tiles._with_sets(frame, 4)
+    held = {i: brute.shingle_set(" ".join(w), 4) for i, w in rows}
+    pairs = [(a, b) for a in held for b in held if a < b]
+    links = {
+        (a, b)
+        for a, b in pairs
+        if 100 * len(held[a] & held[b]) >= 85 * len(held[a] | held[b])
+    }
+    n = {i: len(s) for i, s in held.items()}
+    near = [(a, b) for a, b in pairs if 100 * min(n[a], n[b]) >= 85 * max(n[a], n[b])]
+    found = jaccard_tiles._sifted(spark.createDataFrame(near, "a bigint, b bigint"), sets, 85)
+    found = {tuple(r) for r in found.collect()}
+    assert links and links <= found and len(found) <= len(links) + 5
+    assert len(near) > len(found) + 20
+
+
 def test_jaccard_odd_rows(odd, rows):
     found = rows(jaccard_tiles.jaccard_groups(odd, 4, 85), "doc_id", "component_id")
     assert found == sorted(
