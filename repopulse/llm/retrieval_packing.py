@@ -29,9 +29,10 @@ SHARD_BYTES = 8 << 20
 KEY_TOKENS = 3  # a document's place in the order: 16 bits of each, and 15 bits of salt
 RANGES = 8  # of the order, a shard
 END_ID = 1
-KNOWN_TOKENS = 1 << 22  # of the runs kept, 4 bytes each
-PLACES = 1 << 20  # of the table that finds them, 16 bytes each
+KNOWN_TOKENS = 1 << 23  # of the runs kept, 4 bytes each
+PLACES = 1 << 21  # of the table that finds them, 16 bytes each
 AT_ONCE = 256  # documents whose tokens are counted at a time
+USUAL = 4  # a token held by every fourth document or more has a score for each of them
 
 _encoders: dict[str, WordEncoder] = {}
 
@@ -174,16 +175,16 @@ class WordEncoder:
         odd = self.tokenizer.encode_batch_fast(list(whole.values()), add_special_tokens=False)
         odd = dict(zip(whole, odd, strict=True))
         tokenize, letters = self.model.tokenize, self.letters
-        found: list[int] = []
-        stops: list[int] = []
-        for n, span in enumerate(spans):
-            if n in odd:
-                found += odd[n].ids
-            else:
-                text = span if span.isascii() else span.translate(letters)
-                found += [t.id for t in tokenize(text)]
-            stops.append(len(found))
-        sizes = np.diff(stops, prepend=0).astype(np.int32)
+        if odd:
+            ids = [
+                odd[n].ids if n in odd else [t.id for t in tokenize(span.translate(letters))]
+                for n, span in enumerate(spans)
+            ]
+            found = [i for some in ids for i in some]
+        else:
+            ids = [tokenize(s if s.isascii() else s.translate(letters)) for s in spans]
+            found = [t.id for some in ids for t in some]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
         firsts = (self.held + np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.int32)
         stop = self.held + len(found)
         if stop > len(self.ids):
@@ -265,7 +266,10 @@ def _flat(column: pa.Array | pa.ChunkedArray, kind: np.dtype) -> tuple[np.ndarra
 
 
 class Index:
-    """BM25 over the token ids of a shard's documents, which are a corpus if none is given."""
+    """BM25 over the token ids of a shard's documents, which are a corpus if none is given.
+
+    A token that many of them hold has a row with a score for each document, others have lists.
+    """
 
     def __init__(
         self,
@@ -302,13 +306,24 @@ class Index:
         times = times[order]
         self.score = np.repeat(self.idf, held) * times * (k1 + 1) / (times + norm[self.docs])
         self.own = [tokens[a:z] for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-        self.n = n
+        usual = (held * USUAL >= n) & (self.idf > 0)
+        self.row = np.where(usual, np.cumsum(usual) - 1, -1)
+        self.rows = np.zeros((int(usual.sum()), n))
+        of = np.repeat(usual, held)
+        self.rows[np.repeat(self.row, held)[of], self.docs[of]] = self.score[of]
+        self.listed = np.arange(n)  # the documents that lists and rows are of
+        self._cut(~of)
         # What a query gathers goes to the same place each time.
         self._docs, self._score = np.empty_like(self.docs), np.empty_like(self.score)
 
     def keep(self, unused: np.ndarray) -> None:
         """Takes the entries of used documents out of the lists; all else stays as it is."""
-        kept = unused[self.docs]
+        kept = unused[self.listed]
+        self._cut(kept[self.docs])
+        self.docs = (np.cumsum(kept) - 1)[self.docs]
+        self.rows, self.listed = self.rows[:, kept], self.listed[kept]
+
+    def _cut(self, kept: np.ndarray) -> None:
         before = np.append(0, np.cumsum(kept))
         self.first, self.stop = before[self.first], before[self.stop]
         self.docs, self.score = self.docs[kept], self.score[kept]
@@ -319,21 +334,27 @@ class Index:
         telling = telling[self.idf[telling] > 0]
         if not len(telling):
             return telling
+        row = self.row[telling]
+        usual, telling = row[row >= 0].tolist(), telling[row < 0]
         bounds = zip(self.first[telling].tolist(), self.stop[telling].tolist(), strict=True)
         spans = [slice(a, z) for a, z in bounds]
         size = int((self.stop[telling] - self.first[telling]).sum())
         docs, parts = self._docs[:size], self._score[:size]
-        np.concatenate([self.docs[s] for s in spans], out=docs)
-        np.concatenate([self.score[s] for s in spans], out=parts)
-        score = np.bincount(docs, parts, self.n)
-        score[~unused] = 0
+        score = np.zeros(len(self.listed))
+        for i in usual:
+            score += self.rows[i]
+        if spans:
+            np.concatenate([self.docs[s] for s in spans], out=docs)
+            np.concatenate([self.score[s] for s in spans], out=parts)
+            score += np.bincount(docs, parts, len(score))
+        score[~unused[self.listed]] = 0
         found = np.flatnonzero(score)
         worst = -score[found]
         order = np.argsort(worst)
         ranked = worst[order]
         if (ranked[1:] == ranked[:-1]).any():
             order = np.argsort(worst, kind="stable")
-        return found[order]
+        return self.listed[found[order]]
 
 
 def fill(sizes: list[int], index: Index, window: int) -> list[tuple[int, int, int, int, int]]:
@@ -342,13 +363,14 @@ def fill(sizes: list[int], index: Index, window: int) -> list[tuple[int, int, in
     listed, left = len(sizes), len(sizes)  # documents that the index lists, and that are not used
     pieces: list[tuple[int, int, int, int, int]] = []
     sequence, room = 0, window
-    upcoming: list[int] = []  # neighbours of the seed, best last
+    upcoming, place = np.zeros(0, np.int64), 0  # neighbours of the seed, best first, and the next
     at = 0
     while True:
-        while upcoming and not unused[upcoming[-1]]:
-            upcoming.pop()
-        if upcoming:
-            doc = upcoming.pop()
+        while place < len(upcoming) and not unused[upcoming[place]]:
+            place += 1
+        if place < len(upcoming):
+            doc = int(upcoming[place])
+            place += 1
         else:
             while at < len(sizes) and not unused[at]:
                 at += 1
@@ -366,11 +388,11 @@ def fill(sizes: list[int], index: Index, window: int) -> list[tuple[int, int, in
             if room == 0:
                 sequence, room = sequence + 1, window
                 seeds = True
-        if seeds or not upcoming:
+        if seeds or place == len(upcoming):
             if left < listed - listed // 4:
                 index.keep(unused)
                 listed = left
-            upcoming = index.neighbours(doc, unused)[::-1].tolist()
+            upcoming, place = index.neighbours(doc, unused), 0
     return _tail_cut(pieces, sequence, window)
 
 

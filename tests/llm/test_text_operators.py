@@ -622,6 +622,32 @@ def test_packing_order_and_neighbours_as_one_by_one():
         assert found.tolist() == kept.neighbours(doc, unused).tolist()
 
 
+@pytest.mark.parametrize("usual", [1, 4, 1000])
+def test_rows_of_usual_tokens_score_like_lists(monkeypatch, usual):
+    rng = np.random.default_rng(6)
+    ids = [np.unique(rng.zipf(1.3, 60) % 400).astype(np.uint32) for _ in range(200)]
+    held = np.bincount(np.concatenate(ids), minlength=400)
+    monkeypatch.setattr(retrieval_packing, "USUAL", usual)
+    index = retrieval_packing.Index(ids, retrieval_packing.Corpus(200, 40.0, held))
+    assert (len(index.rows) > 0) == bool((held * usual >= 200).any())
+    unused = np.ones(200, bool)
+    for gone in (0, 60, 120):
+        unused[:gone] = False
+        index.keep(unused)
+        unused[gone : gone + 9] = False
+        for doc in range(0, 200, 11):
+            score = np.zeros(200)
+            for token in ids[doc][held[ids[doc]] > 1]:
+                with_it = [d for d in range(200) if token in ids[d]]
+                lengths = np.array([len(ids[d]) for d in with_it])
+                idf = np.log1p((200 - held[token] + 0.5) / (held[token] + 0.5))
+                score[with_it] += idf * 2.2 / (1 + 1.2 * (0.25 + 0.75 * lengths / 40.0))
+            score[~unused] = 0
+            found = index.neighbours(doc, unused)
+            assert sorted(found.tolist()) == np.flatnonzero(score).tolist()
+            assert (np.diff(score[found]) <= 1e-9).all()
+
+
 def test_stored_tables_reach_python_in_batches_of_a_few_mb(spark):
     def sizes(batches):
         for batch in batches:
