@@ -358,8 +358,10 @@ def test_edited_passages_whose_seeds_were_all_first_seen_elsewhere(spark, monkey
     parts |= {50: fresh(20) + passage + fresh(20), 55: fresh(20) + passage + fresh(25)}
     parts |= {60: fresh(40) + edited + fresh(40)}
     rows = [(i, " ".join(p)) for i, p in parts.items()]
-    for pairs in (chaining.LEAST_BLOCK, 4):  # in one block, and in several
-        monkeypatch.setattr(chaining, "LEAST_BLOCK", pairs)
+    assert chaining._sides(0, 9) == 0 and chaining._sides(9.0 * chaining.LEAST_BLOCK, 9) == 3
+    for sides, tables in ((1, 64), (2, 1)):  # in one block, and in four
+        monkeypatch.setattr(chaining, "_sides", lambda pairs, places, n=sides: n)
+        monkeypatch.setattr(chaining, "TABLES", tables)
         found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
         spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
         assert spans == {55: [(20, 92)], 60: [(40, 111)]}
