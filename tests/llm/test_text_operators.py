@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -368,6 +369,54 @@ def test_edited_passages_whose_seeds_were_all_first_seen_elsewhere(spark, monkey
         assert found.where("doc_id = 60").agg(F.min("source_id")).first()[0] == 50
 
 
+def test_a_common_line_does_not_pair_all_documents_that_have_it(spark, monkeypatch):
+    draw = random.Random(5)
+    fresh = lambda n: [f"c{draw.randint(0, 10**6)}" for _ in range(n)]
+    line, passage = fresh(14), fresh(60)
+    edited = [*passage]
+    edited[5::6] = fresh(10)
+    parts = {i: fresh(60) + line + fresh(60) for i in range(150)}
+    # Each run of words that stays is first seen in a document of its own, together with the line.
+    parts |= {i: parts[i] + passage[6 * i : 6 * i + 5] + fresh(50) for i in range(10)}
+    parts |= {200: fresh(9) + passage + line + fresh(9), 300: fresh(40) + edited + line + fresh(40)}
+    held, sides = [], chaining._sides
+    monkeypatch.setattr(chaining, "_sides", lambda pairs, n: held.append(pairs) or sides(pairs, n))
+    monkeypatch.setattr(chaining, "PLACES", 40)
+    rows = [(i, " ".join(p)) for i, p in parts.items()]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
+    assert spans == {300: [(40, 114)]} and held[0] < 300
+
+
+def test_runs_of_one_word_are_covered_by_later_holders(spark):
+    draw = random.Random(6)
+    fresh = lambda n: [f"r{draw.randint(0, 10**6)}" for _ in range(n)]
+    parts = {1: fresh(30) + ["the"] * 10 + fresh(30), 2: fresh(30) + ["the"] * 42 + fresh(30)}
+    parts |= {3: fresh(30) + ["the"] * 109 + fresh(30)}
+    rows = [(i, " ".join(p)) for i, p in parts.items()]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in chaining.merged(found).collect()}
+    assert spans == {3: [(30, 139)]}
+
+
+def test_sifted_places_are_those_with_enough_in_common():
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 9 if i % 2 else 60_000, 60).astype("<u2") for i in range(80)]
+    for i in range(0, 70, 5):
+        texts[i + 1] = np.concatenate([texts[i][:35], texts[i + 1][35:]])
+        texts[i + 2] = np.concatenate([texts[i + 2][:41], texts[i][: 16 + i // 5]])
+    column = pa.array([t.tobytes() for t in texts], pa.binary())
+    grams = chaining._grams(column, np.zeros(80, np.int64))
+    asking, asked = np.arange(0, 80, 2), np.arange(50)
+    counts = [Counter(zip(t, t[1:], t[2:], strict=False)) for t in texts]
+    pairs = {(a, b) for a in asking.tolist() for b in asked.tolist() if a != b}
+    for least in (3, 18):
+        wanted = {(a, b) for a, b in pairs if (counts[a] & counts[b]).total() >= least}
+        found = {*zip(*(x.tolist() for x in chaining._sifted(grams, asking, asked, least)), strict=True)}
+        assert wanted and found == wanted
+    assert chaining._least_common(chaining.Settings()) == 18
+
+
 def test_passages_odd_rows(odd, docs):
     assert chaining.passages(odd.limit(0)).count() == 0
     found = chaining.passages(odd)
