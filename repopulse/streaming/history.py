@@ -164,8 +164,11 @@ class HistorySink:
             near &= within if known == n else within | F.col(key).isNull()
         return near
 
-    def _touched(self, rows: DataFrame, intervals: DataFrame, near: Column) -> DataFrame:
-        """Rows of a batch's keys, with their intervals."""
+    def _touched(
+        self, rows: DataFrame, intervals: DataFrame, near: Column | None = None
+    ) -> DataFrame:
+        """Rows of a batch's keys, with their intervals; `near`, if not given, is looked up."""
+        near = self._near(intervals) if near is None else near
         return rows.where(near).join(*self._same(intervals), "inner")
 
     # --- runs -------------------------------------------------------------------------------------
