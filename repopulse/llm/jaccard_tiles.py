@@ -32,7 +32,7 @@ from repopulse.llm.grams import (
     span_hashes,
     words_of,
 )
-from repopulse.llm.store import spread, stored, text_input
+from repopulse.llm.store import dropped, spread, stored, text_input
 
 BITMAP_WORDS = 16
 TILE_SIDE = 512
@@ -150,8 +150,8 @@ def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(work, schema)
 
 
-def _with_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, shingles, bits, wide) of documents."""
+def _with_sets(docs: DataFrame, size: int, whole_sets: bool = True) -> DataFrame:
+    """(doc_id, n, shingles, bits, wide) of documents, or without `whole_sets` all but the shingles."""
 
     def work(batches):
         for whole in batches:
@@ -159,23 +159,21 @@ def _with_sets(docs: DataFrame, size: int) -> DataFrame:
                 values, first = _sets(batch, size)
                 bits = bitmaps(values, first)
                 wide, wide_first = wide_bitmaps(values, first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id"),
-                        pa.array(np.diff(first).astype(np.int64)),
-                        lists(values.view(np.int64), first),
-                        lists(
-                            bits.reshape(-1).view(np.int64),
-                            np.arange(len(bits) + 1) * BITMAP_WORDS,
-                        ),
-                        lists(wide.view(np.int64), wide_first),
-                    ],
-                    ["doc_id", "n", "shingles", "bits", "wide"],
-                )
-
+                columns = {
+                    "doc_id": batch.column("doc_id"),
+                    "n": pa.array(np.diff(first).astype(np.int64)),
+                    "shingles": lists(values.view(np.int64), first) if whole_sets else None,
+                    "bits": lists(
+                        bits.reshape(-1).view(np.int64), np.arange(len(bits) + 1) * BITMAP_WORDS
+                    ),
+                    "wide": lists(wide.view(np.int64), wide_first),
+                }
+                columns = {name: c for name, c in columns.items() if c is not None}
+                yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+
+    shingles = "shingles array<bigint>, " if whole_sets else ""
     return docs.mapInArrow(
-        work,
-        "doc_id bigint, n bigint, shingles array<bigint>, bits array<bigint>, wide array<bigint>",
+        work, f"doc_id bigint, n bigint, {shingles}bits array<bigint>, wide array<bigint>"
     )
 
 
@@ -221,8 +219,15 @@ def _sifted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(sift, "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose shingles are similar enough, by exact intersection."""
+def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those stored pairs (a, b) whose shingles are similar enough, by exact intersection.
+
+    Sets are made for the documents of the pairs only, and go when the pairs are held against each other.
+    """
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = stored(
+        _with_sets(docs.join(ends, "doc_id", "left_semi"), size).select("doc_id", "n", "shingles")
+    )
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -233,11 +238,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return both.where(_enough(common, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    enough = _enough(common, F.col("n_a"), F.col("n_b"), percent)
+    found = stored(both.where(enough).select("a", "b").distinct())
+    dropped(sets, pairs)
+    return found
 
 
-def _rivals(tiles: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a tile from different groups that size and bitmaps don't rule out."""
+def _members(tiles: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of tiles in which different groups meet, with their bitmaps and blocks."""
     grouped = tiles.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     grouped = grouped.withColumn("label", F.coalesce("label", "doc_id"))
     mixed = grouped.groupBy("key").agg(
@@ -246,7 +254,11 @@ def _rivals(tiles: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
     blocks = F.ceil(F.col("members") / TILE_SIDE).cast("int").alias("blocks")
     mixed = mixed.where("least < most").select("key", blocks)
     rows = grouped.join(mixed, "key").join(sets.select("doc_id", "n", "bits"), "doc_id")
-    rows = stored(rows.withColumn("block", F.pmod(spread("doc_id"), "blocks").cast("int")))
+    return rows.withColumn("block", F.pmod(spread("doc_id"), "blocks").cast("int"))
+
+
+def _rivals(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a tile's `_members` from different groups that size and bitmaps don't rule out."""
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
 
     def side(name: str) -> DataFrame:
@@ -299,6 +311,8 @@ def jaccard_groups(
     tiles = stored(
         shared.join(member, "doc_id").select("key", F.col("class").alias("doc_id")).distinct()
     )
+    sizes = stored(about.select("doc_id", "n"))
+    dropped(about)
     least = tiles.groupBy("key").agg(
         F.min("doc_id").alias("hub"), F.max("doc_id").alias("most")
     )
@@ -309,21 +323,27 @@ def jaccard_groups(
     )
     stars = stored(stars.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
     wanted = in_tile.select("doc_id").union(in_tile.select("hub")).distinct()
-    sets = stored(_with_sets(docs.join(wanted, "doc_id", "left_semi"), size))
+    sketches = stored(_with_sets(docs.join(wanted, "doc_id", "left_semi"), size, whole_sets=False))
 
-    links = stored(_linked(stars, sets, percent).union(same_id))
+    # Whole sets travel only for what the bitmaps leave, and tables go as soon as nothing reads them.
+    likely = stored(_sifted(stars, sketches, percent).distinct())
+    dropped(stars)
+    links = _linked(likely, docs, size, percent).union(same_id)
     labels = components(links)
-    # Whole sets travel only for what is left, and their shuffle files go before links are followed.
-    rivals = stored(_sifted(_rivals(tiles, labels, sets, percent), sets, percent))
-    rivals = stored(_linked(rivals, sets, percent))
-    labels = components(links.union(rivals))
+    rows = stored(_members(tiles, labels, sketches))
+    dropped(tiles)
+    rivals = stored(_rivals(rows, percent))
+    dropped(rows)
+    likely = stored(_sifted(rivals, sketches, percent).distinct())
+    dropped(rivals, sketches)
+    labels = components(links.union(_linked(likely, docs, size, percent)))
 
     # Copies, then groups: two joins on ids, so that large groups are split like any skewed join.
     labelled = member.join(labels.withColumnRenamed("node", "class"), "class", "left")
     labelled = labelled.groupBy("doc_id").agg(
         F.min(F.coalesce("label", "class")).alias("component_id")
     )
-    result = about.select("doc_id", F.col("n").alias("n_shingles")).join(labelled, "doc_id", "left")
+    result = sizes.select("doc_id", F.col("n").alias("n_shingles")).join(labelled, "doc_id", "left")
     return result.select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import random
 import zlib
 from collections import Counter
@@ -22,6 +23,7 @@ from repopulse.llm import (
     store,
     winnowing,
 )
+from repopulse.session import shared_dir
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -107,6 +109,19 @@ def test_jaccard_tiles_larger_than_a_block(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in found.collect()} == brute.groups(rows, 3, 75)
 
 
+def test_jaccard_leaves_no_tables_of_sets_and_keys_behind(spark):
+    frame = spark.createDataFrame(
+        [(i, " ".join(f"w{i // 3}_{j}" for j in range(60 - i % 3))) for i in range(60)],
+        "doc_id bigint, text string",
+    )
+    folder = pathlib.Path(shared_dir(spark)) / "llm"
+    before = set(folder.glob("*"))
+    found = jaccard_tiles.jaccard_groups(frame, 4, 80)
+    left = {c for p in set(folder.glob("*")) - before for c in spark.read.parquet(str(p)).columns}
+    assert not left & {"keys", "shingles", "bits", "wide"}
+    assert {r.component_id for r in found.collect()} == set(range(0, 60, 3))
+
+
 def test_jaccard_rivals_of_many_shingles_are_sifted_without_loss(spark):
     draw = random.Random(12)
     fresh = lambda n: [f"w{draw.randint(0, 10**6)}" for _ in range(n)]
