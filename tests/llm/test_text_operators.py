@@ -414,6 +414,74 @@ def test_runs_of_one_word_are_covered_by_later_holders(spark):
     assert spans == {3: [(30, 139)]}
 
 
+def test_shared_seeds_are_kept_by_document_with_their_first_holder(spark):
+    draw = random.Random(3)
+    words = [f"s{i}" for i in range(12)]
+    rows = [(i // 2 if i > 40 else i, " ".join(draw.choices(words, k=draw.randint(0, 40)))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    settings = chaining.Settings()
+    held: dict[int, list[tuple[int, int]]] = {}
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    for seed, text, pos in zip(*(x.tolist() for x in chaining._seeds(batch, settings)), strict=True):
+        held.setdefault(seed, []).append((rows[text][0], pos))
+    wanted = sorted(
+        (doc, pos, np.uint64(seed).view(np.int64), *min(places))
+        for seed, places in held.items()
+        for doc, pos in places
+        if len({d for d, _ in places}) > 1
+    )
+    found = []
+    for r in chaining._shared(frame, 7, settings).collect():
+        pos, homes = (np.frombuffer(x, "<i4").tolist() for x in (r.pos, r.homes))
+        seeds, firsts = (np.frombuffer(x, "<i8").tolist() for x in (r.seeds, r.firsts))
+        found += zip([r.doc_id] * len(pos), pos, seeds, firsts, homes, strict=True)
+    assert sorted(found) == wanted and wanted
+
+
+def test_chains_made_at_once_are_those_of_each_two_documents():
+    rng, settings = np.random.default_rng(4), chaining.Settings(flank=10)
+    for _ in range(30):
+        n = int(rng.integers(1, 300))
+        doc, other = rng.integers(0, 3, n), rng.integers(0, 4, n)
+        x = rng.integers(0, int(rng.choice([40, 400, 4000])), n)
+        y = np.maximum(x + rng.integers(-9, 9, n) * rng.integers(0, 2), 0)
+        order = np.lexsort((y, x, other, doc))
+        doc, other, x, y = (c[order] for c in (doc, other, x, y))
+        wanted = []
+        for d, o in sorted({*zip(doc.tolist(), other.tolist(), strict=True)}):
+            at = np.flatnonzero((doc == d) & (other == o))
+            for found, _ in chaining.chains(x[at], y[at], settings):
+                px, py = x[at][found], y[at][found]
+                cut = np.flatnonzero(np.maximum(np.diff(px), np.diff(py)) > settings.stretch) + 1
+                for part in np.split(np.arange(len(px)), cut):
+                    wanted.append((d, o, px[part].tolist(), py[part].tolist()))
+        rows = chaining._chain_rows(doc, other, x, y, settings, by_pair=True).to_pylist()
+        assert sorted((r["doc_id"], r["other"], r["pos"], r["other_pos"]) for r in rows) == sorted(wanted)
+
+
+def test_chains_that_take_their_words_in_halves_give_the_same_passages(spark, monkeypatch):
+    draw = random.Random(21)
+    lines = [" ".join(f"h{draw.randint(0, 10**6)}" for _ in range(30)) for _ in range(12)]
+    rows = [(i, " ".join(draw.sample(lines, 5))) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    whole = {tuple(r) for r in chaining.passages(frame).collect()}
+    monkeypatch.setattr(chaining, "FEW_CHAINS", 0)
+    assert {tuple(r) for r in chaining.passages(frame).collect()} == whole != set()
+
+
+def test_passages_leave_no_tables_of_seeds_and_words_behind(spark):
+    line = " ".join(f"p{j}" for j in range(60))
+    frame = spark.createDataFrame(
+        [(i, f"a{i} " * i + line) for i in range(9)], "doc_id bigint, text string"
+    )
+    folder = pathlib.Path(shared_dir(spark)) / "llm"
+    before = set(folder.glob("*"))
+    found = chaining.passages(frame)
+    left = {c for p in set(folder.glob("*")) - before for c in spark.read.parquet(str(p)).columns}
+    assert left == {"doc_id", "source_id", "start", "stop", "source_start", "source_stop", "matched"}
+    assert {r.doc_id for r in found.collect()} == set(range(1, 9))
+
+
 def test_sifted_places_are_those_with_enough_in_common():
     rng = np.random.default_rng(8)
     texts = [rng.integers(0, 9 if i % 2 else 60_000, 60).astype("<u2") for i in range(80)]
